@@ -106,6 +106,25 @@ def lag_and_rolling(df: DataFrame, target: str, group_cols: list[str] | None = N
                          history=_history(cols, lags, windows, closed), chunk_rows=chunk_rows)
 
 
+def scalar_row(df: DataFrame, aggs: list[Column]):
+    """Global aggregates as one scalar subquery; returns ``i -> Column`` for the i-th value.
+
+    The values travel as one double array: every reference is then the same
+    subquery plan, which Spark evaluates once and reuses (a struct would be
+    pruned per field into separate subqueries).  Nothing is collected.
+    """
+    arr = df.select(F.array(*[a.cast("double") for a in aggs])).scalar()
+    return lambda i: F.element_at(arr, i + 1)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared ``spark.checkpoint.dir``."""
+    from retailcast.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     """Numeric columns by schema (booleans are not numeric)."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -143,19 +162,22 @@ def fill_missing(df: DataFrame, group_cols: list[str] | None = None, order_col:
     if seq_cols and group_cols:
         w = Window.partitionBy(*group_cols).orderBy(order_col)
         ff = w.rowsBetween(Window.unboundedPreceding, 0)
-        bf = w.rowsBetween(0, Window.unboundedFollowing)
+        # After a forward fill only a group's leading nulls remain, and their backward
+        # fill is the group's first non-null value: one whole-partition frame, O(n).
+        # (A [current row, unbounded following] frame is re-aggregated per row: O(n^2).)
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         out = out.withColumns({c: F.last(c, ignorenulls=True).over(ff) for c in seq_cols})
         if not compat:
-            out = out.withColumns({c: F.coalesce(F.col(c), F.first(c, ignorenulls=True).over(bf))
+            out = out.withColumns({c: F.coalesce(F.col(c), F.first(c, ignorenulls=True).over(whole))
                                    for c in seq_cols})
         else:
             out = _compat_carry(out, df, seq_cols, group_cols, order_col)
     elif seq_cols:
         out = _compat_carry(out, df, seq_cols, [order_col], order_col)
     if mean_cols:
-        stats = df.agg(*[F.avg(c).alias(c) for c in mean_cols])
-        out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), stats.select(c).scalar())
-                               for c in mean_cols})
+        means = scalar_row(df, [F.avg(c) for c in mean_cols])
+        out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), means(i))
+                               for i, c in enumerate(mean_cols)})
     return out
 
 
@@ -169,11 +191,11 @@ def _compat_carry(filled: DataFrame, raw: DataFrame, cols: list[str], group_cols
     carry = per_group.select(*group_cols, *[F.last(c, ignorenulls=True).over(gw).alias(f"__carry_{c}")
                                             for c in cols])
     order_key = F.struct(*[F.col(g) for g in dict.fromkeys(group_cols + [order_col])])
-    first_any = raw.agg(*[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order_key)).alias(c)
-                          for c in cols])
+    first_any = scalar_row(raw, [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order_key))
+                                 for c in cols])
     j = filled.join(carry, group_cols, "left")
-    return j.withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}"), first_any.select(c).scalar())
-                          for c in cols}).drop(*[f"__carry_{c}" for c in cols])
+    return j.withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}"), first_any(i))
+                          for i, c in enumerate(cols)}).drop(*[f"__carry_{c}" for c in cols])
 
 
 DERIVED_FROM_DATE = ("year", "month", "day", "day_of_week", "quarter", "week_of_year", "is_weekend",
@@ -185,8 +207,13 @@ def create_all_features(df: DataFrame, target: str = "sales", date_col: str = "d
                         group_cols: list[str] | None = None, categorical_cols: list[str] | None = None,
                         compat_fill: bool = False, closed: str = "right",
                         chunk_rows: int | None = None, lags=LAGS, windows=ROLLING_WINDOWS,
-                        functions=ROLLING_FUNCTIONS) -> DataFrame:
-    """Date parts -> lags -> rolling -> cyclical -> interactions -> fill (one lazy plan)."""
+                        functions=ROLLING_FUNCTIONS, checkpoint: bool = False) -> DataFrame:
+    """Date parts -> lags -> rolling -> cyclical -> interactions -> fill.
+
+    One lazy plan unless ``checkpoint``: then the windowed frame is written to
+    the shared checkpoint folder once, because the fill reads it up to three
+    times (rows, per-group carry, global first value).
+    """
     from retailcast.functions.calendar import cyclical_features, date_parts, interaction_features
 
     out = date_parts(df, date_col)
@@ -194,4 +221,6 @@ def create_all_features(df: DataFrame, target: str = "sales", date_col: str = "d
     out = cyclical_features(out, date_col)
     if categorical_cols:
         out = interaction_features(out, categorical_cols)
+    if checkpoint:
+        out = materialize(out)
     return fill_missing(out, group_cols, date_col, compat=compat_fill, exclude=DERIVED_FROM_DATE)
