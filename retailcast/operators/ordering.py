@@ -21,8 +21,18 @@ POS = "row_index"
 
 
 def row_index(df: DataFrame, order_cols: list[str], group_cols: list[str] | None = None,
-              out_col: str = POS) -> DataFrame:
+              out_col: str = POS, bucket_expr: Column | None = None) -> DataFrame:
+    """0-based position in ``order_cols`` order (per ``group_cols`` if given).
+
+    ``bucket_expr`` replaces the first order column as the bucket; it must be
+    non-decreasing in the order (e.g. a coarse range bucket of a continuous
+    value, so the counts frame stays small even when every value is distinct).
+    """
     group_cols = list(group_cols or [])
+    if bucket_expr is not None:
+        df = df.withColumn("__bucket", bucket_expr)
+        out = row_index(df, ["__bucket"] + list(order_cols), group_cols, out_col)
+        return out.drop("__bucket")
     bucket, rest = order_cols[0], list(order_cols[1:])
     keys = group_cols + [bucket]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
@@ -68,3 +78,10 @@ def thin_evenly(df: DataFrame, order_cols: list[str], points: int = 500,
 
 def position_column() -> Column:
     return F.col(POS)
+
+
+def range_bucket(col: str, lo: Column, hi: Column, buckets: int = 4096) -> Column:
+    """Coarse, order-preserving bucket of a numeric column within [lo, hi]."""
+    width = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
+    b = F.floor((F.col(col) - lo) / width * buckets)
+    return F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1)).cast("int")

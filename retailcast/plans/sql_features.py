@@ -50,7 +50,7 @@ BASE_COLS = ["date", "store_id", "sales", "quantity_sold", "profit", "has_promot
 MEAN_FILL = ["sales", "quantity_sold", "profit", "has_promotion", "customer_traffic"]
 
 
-def feature_frame_sql(compat: bool = False) -> tuple[str, str]:
+def feature_frame_sql(compat: bool = False, rounded: bool = True) -> tuple[str, str]:
     """(extra CTEs, final SELECT) computing the full feature frame with fills."""
     seq = {**lag_exprs("sales"), **rolling_exprs("sales")}
     raw_cols = ",\n  ".join([f"{e} AS {n}" for n, e in DATE_PART_SQL.items()] +
@@ -65,11 +65,22 @@ def feature_frame_sql(compat: bool = False) -> tuple[str, str]:
     else:
         w_ff = "OVER (PARTITION BY store_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         w_bf = "OVER (PARTITION BY store_id ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    r = rnd if rounded else (lambda e, d: e)
     sel = ["date", "store_id"]
-    sel += [f"{rnd(f'coalesce(CAST({c} AS DOUBLE), m_{c})', 3)} AS {c}" for c in MEAN_FILL]
+    sel += [f"{r(f'coalesce(CAST({c} AS DOUBLE), m_{c})', 3)} AS {c}" for c in MEAN_FILL]
     sel += list(DATE_PART_SQL)
-    sel += [f"{rnd(f'coalesce(last_value({n} IGNORE NULLS) {w_ff}, first_value({n} IGNORE NULLS) {w_bf})', 3)} AS {n}"
+    sel += [f"{r(f'coalesce(last_value({n} IGNORE NULLS) {w_ff}, first_value({n} IGNORE NULLS) {w_bf})', 3)} AS {n}"
             for n in seq]
-    sel += [f"{rnd(n, 6)} AS {n}" for n in CYCLICAL_SQL]
+    sel += [f"{r(n, 6)} AS {n}" for n in CYCLICAL_SQL]
     body = "SELECT " + ",\n  ".join(sel) + "\nFROM rc_feat_raw, rc_feat_means"
     return ctes, body
+
+
+FEATURE_COLUMNS = (MEAN_FILL[1:] + list(DATE_PART_SQL) + list(lag_exprs("sales")) + list(rolling_exprs("sales"))
+                   + list(CYCLICAL_SQL))
+
+
+def feature_ctes() -> str:
+    """CTEs ending in rc_features: the unrounded, filled feature frame."""
+    ctes, body = feature_frame_sql(False, rounded=False)
+    return f"{ctes},\nrc_features AS ({body})"
