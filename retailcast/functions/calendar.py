@@ -223,3 +223,52 @@ def interaction_features(df: DataFrame, categorical_cols: list[str]) -> DataFram
 
 def iso_format(c: Column, fmt: str = "yyyy-MM-dd") -> Column:
     return F.date_format(c, fmt)
+
+
+# --- fixed values: promotional events (name, month, day, days, discount) -----
+# Black Friday starts the day after the fourth Thursday of November; the other
+# events start on the given month and day (Cyber Monday therefore on 4 November,
+# as in the original calendar).
+PROMOTION_EVENTS = [
+    ("Black Friday", 11, 4, 5, 0.25),
+    ("Cyber Monday", 11, 4, 2, 0.20),
+    ("Christmas Sale", 12, 15, 10, 0.15),
+    ("New Year Sale", 1, 1, 7, 0.20),
+    ("Presidents Day", 2, 15, 3, 0.15),
+    ("Memorial Day", 5, 25, 3, 0.15),
+    ("July 4th Sale", 7, 1, 5, 0.15),
+    ("Labor Day", 9, 1, 3, 0.15),
+    ("Back to School", 8, 1, 14, 0.10),
+]
+# -----------------------------------------------------------------------------
+
+
+def promotion_calendar(spark: SparkSession, start: Column, end: Column) -> DataFrame:
+    """Promotion days (date, promotion_type, discount_percent) for events starting in [start, end].
+
+    Years come from ``sequence(year(start), year(end))``; each event expands to
+    its duration, days after ``end`` are dropped.
+    """
+    years = spark.range(1).select(F.explode(F.sequence(F.year(start), F.year(end))).alias("y"))
+    ev = F.array(*[F.struct(F.lit(n).alias("promotion_type"),
+                            (_nth_weekday(F.col("y"), 11, "Thu", 4) + 1 if n == "Black Friday"
+                             else F.make_date(F.col("y"), F.lit(m), F.lit(d))).alias("start_date"),
+                            F.lit(dur).alias("duration"), F.lit(disc).alias("discount_percent"))
+                   for n, m, d, dur, disc in PROMOTION_EVENTS])
+    e = years.select(F.explode(ev).alias("e")).select("e.*")
+    e = e.where((F.col("start_date") >= start) & (F.col("start_date") <= end))
+    days = expand_events(e, "start_date", "duration", hi=end)
+    return days.select("date", "promotion_type", "discount_percent")
+
+
+def store_calendar(df: DataFrame, group_col: str = "store_id", date_col: str = "date") -> DataFrame:
+    """Every day from each group's first to last date (a generator per group, no cross join)."""
+    span = df.groupBy(group_col).agg(F.min(date_col).alias("__d0"), F.max(date_col).alias("__d1"))
+    return span.select(group_col, F.explode(F.sequence("__d0", "__d1")).alias(date_col))
+
+
+def densify(df: DataFrame, group_col: str = "store_id", date_col: str = "date") -> DataFrame:
+    """Left-join the frame onto its per-group daily calendar; ``observed`` flags real rows."""
+    cal = store_calendar(df, group_col, date_col)
+    return cal.join(df.withColumn("observed", F.lit(True)), [group_col, date_col], "left") \
+              .withColumn("observed", F.coalesce("observed", F.lit(False)))

@@ -4,7 +4,8 @@
 buffer; a hot group would have to fit in one task's memory.  Here:
 
 1. ``percentile_approx`` (rank error <= n/accuracy) gives values ``lo``/``hi``
-   whose ranks bracket the wanted ranks;
+   around the wanted ranks, widened by the nearest distinct value on either
+   side so the bracket provably holds them;
 2. rows inside [lo, hi] are pre-aggregated to (value, count) - so a value
    repeated a billion times is one row;
 3. a prefix sum over that small bracket frame, offset by count(x < lo),
@@ -41,7 +42,15 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], group_cols: lis
     h = (F.col("__n") - 1) * F.element_at(probs_arr, F.col("__i") + 1)
     qs = qs.select(*g, "__i", F.col("__b.__lo").alias("__lo"), F.col("__b.__hi").alias("__hi"),
                    F.floor(h).cast("long").alias("__k"), (h - F.floor(h)).alias("__frac"))
-    # rows below each bracket, and distinct values inside it with their counts
+    # widen each bracket by the nearest distinct value on either side: the approximate
+    # bracket may be narrower than one rank in a small group, the widened one always
+    # holds the order statistics k and k + 1
+    j = base.join(F.broadcast(qs), g) if ungrouped else base.join(qs, g)
+    edges = j.groupBy(*g, "__i").agg(F.max(F.when(F.col("__x") < F.col("__lo"), F.col("__x"))).alias("__prev"),
+                                     F.min(F.when(F.col("__x") > F.col("__hi"), F.col("__x"))).alias("__next"))
+    qs = (qs.join(edges, g + ["__i"])
+            .withColumns({"__lo": F.coalesce("__prev", "__lo"), "__hi": F.coalesce("__next", "__hi")})
+            .drop("__prev", "__next"))
     # ungrouped: qs holds exactly len(probs) rows, so broadcasting it is safe; grouped:
     # qs has len(probs) rows per group and Spark/AQE choose the join (skew-split if needed)
     j = base.join(F.broadcast(qs), g) if ungrouped else base.join(qs, g)
