@@ -8,6 +8,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retailcast.config import IQR_MULTIPLIER, THIN_POINTS, TOP_FEATURES_PER_MODEL
 from retailcast.operators.ordering import POS, range_bucket, row_index, thin_evenly
@@ -67,7 +68,7 @@ def scale_location(preds: DataFrame) -> DataFrame:
              .drop("__sd"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_ppf(p: pd.Series) -> pd.Series:
     """Inverse standard-normal CDF (Arrow batches; the one Python function in the library)."""
     from statistics import NormalDist

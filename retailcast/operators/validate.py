@@ -52,15 +52,21 @@ def per_file_checks(df: DataFrame, quantity: str = "quantity_sold", revenue: str
         F.count_if(F.col(revenue) < 0).alias("negative_revenue"))
 
 
+def _norm_path(c):
+    """'file:///x' and 'file:/x' name the same file: keep one slash after the scheme."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.regexp_replace(col, r"^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
 def file_checks(spark: SparkSession, expected: DataFrame, root: str, schema: T.StructType | None = None) -> DataFrame:
     """Missing / zero-byte files (expected but not listed) and unreadable or empty ones
     (listed but never seen by a tolerant scan).  ``expected`` has a ``path`` column."""
     from retailcast.sources.files import list_files, read_parquet_tolerant
 
-    listed = list_files(spark, root, "*.parquet").select("path")
-    missing = expected.select("path").join(listed, "path", "left_anti") \
+    listed = list_files(spark, root, "*.parquet").select(_norm_path("path").alias("path"))
+    missing = expected.select(_norm_path("path").alias("path")).join(listed, "path", "left_anti") \
                       .select(F.lit("missing_or_empty_file").alias("issue"), F.col("path").alias("detail"))
-    seen = read_parquet_tolerant(spark, root, schema).select(F.input_file_name().alias("path")).distinct()
+    seen = read_parquet_tolerant(spark, root, schema).select(_norm_path(F.input_file_name()).alias("path")).distinct()
     unreadable = listed.join(seen, "path", "left_anti") \
                        .select(F.lit("unreadable_or_no_rows").alias("issue"), F.col("path").alias("detail"))
     return missing.unionByName(unreadable)

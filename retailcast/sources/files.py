@@ -12,7 +12,8 @@ def read_parquet_tolerant(spark: SparkSession, root: str, schema: T.StructType |
     """Scan every parquet file under ``root``; unreadable and zero-byte files are skipped.
 
     ``partition_filter`` (a Column on partition columns) is pruned at planning
-    time, which replaces reading "the first N files".
+    time, which replaces reading "the first N files".  Pass ``schema``: inferring
+    it would read one footer, which may be the corrupt file.
     """
     r = spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "false")
     if schema is not None:
