@@ -121,7 +121,9 @@ def holiday_dimension(spark: SparkSession, years: tuple[int, int] = HOLIDAY_YEAR
 def holiday_flag(df: DataFrame, date_col: str = "date", out_col: str = "is_holiday") -> DataFrame:
     """Add a 0/1 tinyint flag: is ``date_col`` a holiday (actual or observed)."""
     spark = df.sparkSession
-    hol = (holiday_dimension(spark).select(F.col("date").alias("__hdate")).distinct()
+    # dates are unique by construction (an observed date never lands on another
+    # holiday; tests/test_calendar_sources.py checks every year), so no distinct
+    hol = (holiday_dimension(spark).select(F.col("date").alias("__hdate"))
            .withColumn("__hflag", F.lit(1).cast("tinyint")))
     # The holiday calendar holds at most 12 * (number of years) rows: broadcast is
     # safe regardless of the size of ``df``.

@@ -59,14 +59,22 @@ def safe_corr(x, y):
 
 def target_correlations(df: DataFrame, target: str, cols: list[str],
                         threshold: float = LEAKAGE_CORRELATION) -> DataFrame:
-    """Pearson r of each column with the target (pairwise null skipping), one pass.
+    """Pearson r of each column with the target (pairwise null skipping).
 
+    The columns are unpivoted to (feature, value) rows and one small aggregate
+    runs per feature: the plan stays a handful of expressions however many
+    features there are, and partial aggregation keeps the extra rows cheap.
     Constant columns give null.  Output: (feature, correlation, high).
     """
-    aggs = [safe_corr(F.col(c), F.col(target)).alias(c) for c in cols]
-    wide = df.agg(*aggs)
-    long = wide.unpivot([], cols, "feature", "correlation")
-    return long.withColumn("high", F.abs("correlation") > threshold)
+    long = long_features(df, cols, [target])
+    corr = long.groupBy("feature").agg(safe_corr(F.col("value"), F.col(target)).alias("correlation"))
+    return corr.withColumn("high", F.abs("correlation") > threshold)
+
+
+def long_features(df: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
+    """(keep..., feature, value) with every feature cast to double."""
+    x = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols])
+    return x.unpivot(keep, cols, "feature", "value")
 
 
 def prediction_analysis(preds: DataFrame) -> DataFrame:

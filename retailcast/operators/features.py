@@ -41,6 +41,18 @@ def _rolling_expr(target: str, func: str, frame) -> Column:
     raise ValueError(f"unknown rolling function {func!r}")
 
 
+def cluster_by(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Hash-partition by the window keys into ``spark.sql.shuffle.partitions`` partitions.
+
+    The window then needs no exchange of its own.  An explicit partition count
+    is not coalesced by AQE, so few but compute-heavy series (25 stores, 32
+    window columns) still spread over every core instead of the 1-2 tasks that
+    size-based coalescing would leave.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols)
+
+
 def lag_columns(target: str, lags=LAGS) -> dict[str, callable]:
     return {f"{target}_lag_{k}": (lambda w, k=k: F.lag(target, k).over(w)) for k in lags}
 
@@ -70,14 +82,14 @@ def apply_windows(df: DataFrame, columns: dict[str, callable], group_cols: list[
     group_cols = list(group_cols or [])
     if group_cols and not chunk_rows:
         spec = Window.partitionBy(*group_cols).orderBy(order_col)
-        return df.withColumns({n: f(spec) for n, f in columns.items()})
+        return cluster_by(df, group_cols).withColumns({n: f(spec) for n, f in columns.items()})
     chunk_rows = max(int(chunk_rows or 4096), history + 1)
     idx = row_index(df, [order_col], group_cols)
     chunk = F.floor(F.col(POS) / chunk_rows)
     own = idx.withColumns({CHUNK: chunk, CARRY: F.lit(False)})
     carried = (idx.where((F.col(POS) % chunk_rows) >= chunk_rows - history)
                   .withColumns({CHUNK: chunk + 1, CARRY: F.lit(True)}))
-    both = own.unionByName(carried)
+    both = cluster_by(own.unionByName(carried), group_cols + [CHUNK])
     spec = Window.partitionBy(*group_cols, CHUNK).orderBy(POS)
     out = both.withColumns({n: f(spec) for n, f in columns.items()})
     return out.where(~F.col(CARRY)).drop(CHUNK, CARRY, POS)
@@ -118,7 +130,13 @@ def scalar_row(df: DataFrame, aggs: list[Column]):
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared ``spark.checkpoint.dir``."""
+    """Cut lineage with a reliable checkpoint in the shared ``spark.checkpoint.dir``.
+
+    Checkpoint files are serialized rows, so even wide frames need no
+    per-column write buffers, and a lost executor never forces recomputation
+    of the upstream plan.  (Callers checkpoint frames that are small by
+    construction - store-day grain - or narrow them first.)
+    """
     from retailcast.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
@@ -166,7 +184,7 @@ def fill_missing(df: DataFrame, group_cols: list[str] | None = None, order_col:
         # fill is the group's first non-null value: one whole-partition frame, O(n).
         # (A [current row, unbounded following] frame is re-aggregated per row: O(n^2).)
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        out = out.withColumns({c: F.last(c, ignorenulls=True).over(ff) for c in seq_cols})
+        out = cluster_by(out, group_cols).withColumns({c: F.last(c, ignorenulls=True).over(ff) for c in seq_cols})
         if not compat:
             out = out.withColumns({c: F.coalesce(F.col(c), F.first(c, ignorenulls=True).over(whole))
                                    for c in seq_cols})

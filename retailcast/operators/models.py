@@ -20,6 +20,10 @@ from retailcast.operators.features import materialize, numeric_columns
 from retailcast.operators.quantiles import exact_quantiles
 
 FEATURES = "features"
+# Memory for split statistics per task.  It only decides how many tree nodes are
+# grouped into one pass over the data, never which splits are chosen; 64 MB keeps
+# eight concurrent tasks inside a small driver heap in local mode.
+TREE_MEMORY_MB = 64
 
 
 def prepare_matrix(df: DataFrame, target: str, exclude=("date", "split", "row_index"),
@@ -41,13 +45,15 @@ def prepare_matrix(df: DataFrame, target: str, exclude=("date", "split", "row_in
 def fit_boosted(train_val: DataFrame, target: str, params: dict | None = None):
     """Gradient-boosted trees; the validation rows (``is_val``) drive early stopping."""
     p = {**GBT_PARAMS, **(params or {})}
-    gbt = GBTRegressor(featuresCol=FEATURES, labelCol=target, validationIndicatorCol="is_val", **p)
+    gbt = GBTRegressor(featuresCol=FEATURES, labelCol=target, validationIndicatorCol="is_val",
+                       maxMemoryInMB=TREE_MEMORY_MB, **p)
     return gbt.fit(train_val)
 
 
 def fit_forest(train: DataFrame, target: str, params: dict | None = None):
     p = {"numTrees": 100, "maxDepth": 5, "seed": 42, **(params or {})}
-    return RandomForestRegressor(featuresCol=FEATURES, labelCol=target, **p).fit(train)
+    return RandomForestRegressor(featuresCol=FEATURES, labelCol=target, maxMemoryInMB=TREE_MEMORY_MB,
+                                 **p).fit(train)
 
 
 def predict_long(model, df: DataFrame, name: str, target: str, keys=("date", "store_id", "split")) -> DataFrame:
@@ -74,7 +80,9 @@ def train_all(feature_split: DataFrame, target: str = "sales", gbt_params: dict
     # checkpoint first: the encoders' statistics are scalar subqueries over this frame,
     # and they must reference a short plan, not the whole feature build
     mat, names = prepare_matrix(materialize(feature_split), target)
-    mat = materialize(mat.withColumn("is_val", F.col("split") == "validation"))
+    # keep only what fitting and prediction read: keys, label, split and the vector
+    mat = materialize(mat.select("date", "store_id", "split", target, FEATURES,
+                                 (F.col("split") == "validation").alias("is_val")))
     train = mat.where(F.col("split") == "train")
     gbt = fit_boosted(mat.where(F.col("split") != "test"), target, gbt_params)
     forest = fit_forest(train, target, forest_params)

@@ -86,6 +86,17 @@ def enriched_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_traffic(with_promotion_flag(daily, promo), traffic)
 
 
-def store_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The training frame: one row per (date, store)."""
-    return store_daily_sales(enriched_daily_sales(spark, sf_dir))
+def store_days(spark: SparkSession, sf_dir: str, checkpoint: bool = False) -> DataFrame:
+    """The training frame: one row per (date, store).
+
+    Its size is bounded by stores x days, whatever the volume of sales lines.
+    With ``checkpoint`` it is written once to the shared checkpoint folder, so
+    the many passes of split, quantiles and metrics read that small table
+    instead of re-running the scan, joins and roll-ups (and survive the loss of
+    an executor without recomputing them).
+    """
+    sd = store_daily_sales(enriched_daily_sales(spark, sf_dir))
+    if checkpoint:
+        from retailcast.operators.features import materialize
+        sd = materialize(sd)
+    return sd

@@ -185,10 +185,10 @@ def stand_in_importances(spark, sf_dir):
     f = feature_split(spark, sf_dir).where(F.col("split") == "test")
     preds = test_preds(spark, sf_dir).where(F.col("model").isin(*_BASE_MODELS))
     j = preds.select("model", "date", "store_id", "prediction").join(f, ["date", "store_id"])
-    cols = list(sqlf.FEATURE_COLUMNS)
-    wide = j.groupBy("model").agg(*[F.abs(diag.safe_corr(F.col(c), F.col("prediction"))).alias(c)
-                                    for c in cols])
-    return wide.unpivot(["model"], cols, "feature", "importance").where(F.col("importance").isNotNull())
+    long = diag.long_features(j, list(sqlf.FEATURE_COLUMNS), ["model", "prediction"])
+    imp = long.groupBy("model", "feature").agg(F.abs(diag.safe_corr(F.col("value"), F.col("prediction")))
+                                               .alias("importance"))
+    return imp.where(F.col("importance").isNotNull())
 
 
 def _importance_sql() -> str:

@@ -16,13 +16,19 @@ TRAIN_FRAC = 1 - TEST_SIZE - VALIDATION_SIZE
 
 
 def store_split(spark, sf_dir):
-    sd = rollups.store_days(spark, sf_dir)
+    sd = rollups.store_days(spark, sf_dir, checkpoint=True)
     return split.chronological_split(sd, ["date", "store_id"], "sales")
 
 
 def all_predictions(spark, sf_dir):
-    """Stand-in forecasts plus their validation-weighted ensemble (long form)."""
-    preds = evaluation.baseline_predictions(store_split(spark, sf_dir))
+    """Stand-in forecasts plus their validation-weighted ensemble (long form).
+
+    The stand-in forecasts are read three times (validation metrics, weights,
+    ensemble), so they are checkpointed once.
+    """
+    from retailcast.operators.features import materialize
+
+    preds = materialize(evaluation.baseline_predictions(store_split(spark, sf_dir)))
     val = metrics.model_metrics(preds.where(F.col("split") == "validation"), by=("model",))
     w = evaluation.ensemble_weights(val.select("model", "r2"))
     ens = evaluation.ensemble_predictions(preds, w, ["date", "store_id", "split"])

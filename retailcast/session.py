@@ -17,6 +17,12 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # The driver keeps a plan graph per SQL execution even with the UI off; wide
+    # feature plans make each one large, so a long-lived session keeps few.
+    "spark.sql.ui.retainedExecutions": "20",
+    "spark.ui.retainedJobs": "100",
+    "spark.ui.retainedStages": "100",
+    "spark.ui.retainedTasks": "10000",
 }
 
 

@@ -21,6 +21,11 @@ def test_holidays_2024_and_observed(spark):
     assert D(2024, 3, 1) not in h
 
 
+def test_holiday_dates_unique_over_all_years(spark):
+    h = cal.holiday_dimension(spark)
+    assert h.count() == h.select("date").distinct().count()
+
+
 def test_date_parts_and_cyclical(spark):
     df = spark.createDataFrame([(D(2024, 1, 6),), (D(2024, 7, 4),)], "date date")
     r = cal.cyclical_features(cal.date_parts(df), "date").orderBy("date").collect()
