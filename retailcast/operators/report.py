@@ -34,7 +34,9 @@ def density_histogram(df: DataFrame, col: str, bins: int = 30, group_cols=("mode
                      F.when(F.col("__mx") > F.col("__mn"), F.col("__mn")).otherwise(F.col("__mn") - 0.5).alias("__lo"),
                      F.when(F.col("__mx") > F.col("__mn"), F.col("__mx")).otherwise(F.col("__mx") + 0.5).alias("__hi"))
     b = F.floor((x - F.col("__lo")) * bins / (F.col("__hi") - F.col("__lo"))).cast("int") + 1
-    counted = (df.where(x.isNotNull()).select(*g, x).join(F.broadcast(rng), g)
+    # one row per group, and groups are the caller's: no broadcast hint - AQE
+    # broadcasts it from the measured size, or keeps a shuffle join past the limit
+    counted = (df.where(x.isNotNull()).select(*g, x).join(rng, g)
                  .groupBy(*g, F.least(b, F.lit(bins)).alias("bin")).agg(F.count(F.lit(1)).alias("count")))
     all_bins = rng.select(*g, "__n", "__lo", "__hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
     width = (F.col("__hi") - F.col("__lo")) / bins
@@ -52,7 +54,7 @@ def box_statistics(df: DataFrame, col: str, group_cols=("model",), k: float = IQ
     x = F.col(col)
     lo = F.col("q1") - k * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + k * (F.col("q3") - F.col("q1"))
-    j = df.where(x.isNotNull()).select(*g, x).join(F.broadcast(q), g)
+    j = df.where(x.isNotNull()).select(*g, x).join(q, g)  # AQE sizes the per-group side
     inside = (x >= lo) & (x <= hi)
     return j.groupBy(*g, "q1", "median", "q3").agg(
         F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
