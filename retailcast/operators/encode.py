@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retailcast.config import TARGET_ENCODING_SMOOTHING
 from retailcast.operators.features import scalar_row
@@ -12,10 +13,19 @@ from retailcast.operators.features import scalar_row
 def fit_label_codes(train: DataFrame, col: str) -> DataFrame:
     """(col, code): classes in ascending order, codes 0..k-1.
 
-    The window runs over the distinct classes only (one row per class).
+    String classes are numbered with ``row_index`` bucketed by their first two
+    characters (a prefix never decreases in string order), so millions of
+    classes are ranked over many tasks, not in one.  Other types use a window
+    over the distinct classes.
     """
+    from retailcast.operators.ordering import row_index
+
     classes = train.select(col).where(F.col(col).isNotNull()).distinct()
-    return classes.withColumn(f"{col}_code", (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
+    code = f"{col}_code"
+    if isinstance(classes.schema[col].dataType, T.StringType):
+        idx = row_index(classes, [col], out_col=code, bucket_expr=F.substring(col, 1, 2))
+        return idx.select(col, F.col(code).cast("int").alias(code))
+    return classes.withColumn(code, (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
 
 
 def apply_label_codes(df: DataFrame, codes: DataFrame, col: str, replace: bool = True) -> DataFrame:

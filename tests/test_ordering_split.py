@@ -66,3 +66,16 @@ def test_expanding_folds(spark):
         assert (fold.role == "test").sum() == size
         assert (fold.role == "train").sum() == start
         assert fold[fold.role == "train"].date.max() < fold[fold.role == "test"].date.min()
+
+
+def test_label_codes_follow_string_order(spark):
+    from retailcast.operators.encode import apply_label_codes, fit_label_codes
+
+    words = ["b", "a", "ab", "abc", "A", "Z", "zz", "é", "éa", "10", "9", "100", "a", None, "b"]
+    df = spark.createDataFrame([(w,) for w in words], "cat string")
+    codes = dict(fit_label_codes(df, "cat").collect())
+    classes = sorted({w for w in words if w is not None}, key=lambda w: w.encode("utf-8"))
+    assert codes == {w: i for i, w in enumerate(classes)}
+    out = apply_label_codes(spark.createDataFrame([("zz",), ("new",)], "cat string"),
+                            fit_label_codes(df, "cat"), "cat")
+    assert sorted(r.cat for r in out.collect()) == [-1, codes["zz"]]
