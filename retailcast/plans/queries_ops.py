@@ -170,6 +170,29 @@ def q_promotion_calendar(spark, sf_dir):
 _DOW = ", ".join(str(x) for x in cal.DOW_FACTORS)
 
 
+_MARGIN = 1 - retail.COST_RATIO
+_ECON_SQL = with_fixtures(f"""
+SELECT date, store_id, product_id, quantity_sold,
+       {rnd('unit_price * (1 - discount_percent)', 4)} AS actual_price,
+       {rnd('quantity_sold * unit_price * (1 - discount_percent)', 2)} AS revenue,
+       {rnd(f'quantity_sold * unit_price * (1 - {_MARGIN!r})', 2)} AS cost,
+       {rnd(f'quantity_sold * unit_price * (1 - discount_percent) - quantity_sold * unit_price * (1 - {_MARGIN!r})', 2)}
+         AS profit
+FROM rc_sales""")
+
+
+@register("sales_economics", _ECON_SQL)
+def q_sales_economics(spark, sf_dir):
+    """Per sales line: actual price, revenue, cost and profit from price, discount and margin."""
+    s = retail.sales(spark, sf_dir).select("date", "store_id", "product_id", "quantity_sold", "unit_price",
+                                          "discount_percent", F.lit(_MARGIN).alias("margin"))
+    e = cal.sales_economics(s, price="unit_price", discount="discount_percent",
+                            quantity="quantity_sold", margin="margin")
+    return e.select("date", "store_id", "product_id", "quantity_sold",
+                    rounded("actual_price", 4).alias("actual_price"), rounded("revenue", 2).alias("revenue"),
+                    rounded("cost", 2).alias("cost"), rounded("profit", 2).alias("profit"))
+
+
 @register("expected_traffic", with_fixtures(f"""
 SELECT date, store_id, customer_traffic,
        CAST(trunc(base * list_extract([{_DOW}], isodow(date)) * CASE WHEN is_holiday = 1 THEN 1.3 ELSE 1.0 END
