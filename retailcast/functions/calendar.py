@@ -1,8 +1,7 @@
 """Calendar functions as native Spark expressions (no Python UDFs).
 
-``holiday_dimension`` builds the US federal holiday calendar from rules over a
-bounded range of years, so it has a proven size (at most 12 dates per year)
-and is safe to broadcast.
+Holidays are rules evaluated on the date itself (``is_holiday``), so no range of
+years bounds them and no join is needed.
 """
 
 from __future__ import annotations
@@ -13,26 +12,33 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
-HOLIDAY_YEARS = (1971, 2099)
-# (name, month, weekday, nth, first year); nth = -1 means last in the month
+# US federal holidays.  (name, month, weekday, nth, first year, last year);
+# nth = -1 means the last one in the month, -2 the one before it
 NTH_WEEKDAY_HOLIDAYS = [
-    ("Martin Luther King Jr. Day", 1, "Mon", 3, 1986),
-    ("Washington's Birthday", 2, "Mon", 3, 1971),
-    ("Memorial Day", 5, "Mon", -1, 1971),
-    ("Labor Day", 9, "Mon", 1, 1971),
-    ("Columbus Day", 10, "Mon", 2, 1971),
-    ("Thanksgiving", 11, "Thu", 4, 1971),
+    ("Martin Luther King Jr. Day", 1, "Mon", 3, 1986, None),
+    ("Washington's Birthday", 2, "Mon", 3, 1971, None),
+    ("Memorial Day", 5, "Mon", -1, 1971, None),
+    ("Labor Day", 9, "Mon", 1, 1894, None),
+    ("Columbus Day", 10, "Mon", 2, 1971, None),
+    ("Veterans Day", 10, "Mon", 4, 1971, 1977),
+    ("Thanksgiving", 11, "Thu", -1, 1870, 1938),
+    ("Thanksgiving", 11, "Thu", -2, 1939, 1941),
+    ("Thanksgiving", 11, "Thu", 4, 1942, None),
 ]
-# (name, month, day, first year); moved to Friday/Monday when on a weekend
+# (name, month, day, first year, last year); from OBSERVED_SINCE on also observed
+# on the Friday before or the Monday after when on a weekend
 FIXED_DATE_HOLIDAYS = [
-    ("New Year's Day", 1, 1, 1971),
-    ("Juneteenth National Independence Day", 6, 19, 2021),
-    ("Independence Day", 7, 4, 1971),
-    ("Veterans Day", 11, 11, 1978),
-    ("Christmas Day", 12, 25, 1971),
+    ("New Year's Day", 1, 1, 1871, None),
+    ("Washington's Birthday", 2, 22, 1880, 1970),
+    ("Memorial Day", 5, 30, 1888, 1970),
+    ("Juneteenth National Independence Day", 6, 19, 2021, None),
+    ("Independence Day", 7, 4, 1870, None),
+    ("Veterans Day", 11, 11, 1938, 1970),
+    ("Veterans Day", 11, 11, 1978, None),
+    ("Christmas Day", 12, 25, 1870, None),
 ]
-# Veterans Day fell on the fourth Monday of October from 1971 to 1977.
-VETERANS_OCTOBER_YEARS = (1971, 1977)
+OBSERVED_SINCE = 1971
+WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 DOW_FACTORS = [0.9, 0.85, 0.85, 0.9, 1.1, 1.3, 1.2]  # Monday .. Sunday
 # -----------------------------------------------------------------------------
 
@@ -79,57 +85,45 @@ def cyclical_features(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def _nth_weekday(year: Column, month: int, dow: str, nth: int) -> Column:
-    if nth > 0:
-        first = F.make_date(year, F.lit(month), F.lit(1))
-        return F.date_add(F.next_day(F.date_sub(first, 1), dow), 7 * (nth - 1))
-    last = F.last_day(F.make_date(year, F.lit(month), F.lit(1)))
-    return F.next_day(F.date_sub(last, 7), dow)
+    first = F.make_date(year, F.lit(month), F.lit(1))
+    return F.date_add(F.next_day(F.date_sub(first, 1), dow), 7 * (nth - 1))
 
 
-def _observed(d: Column) -> Column:
-    wd = weekday0(d)
-    return F.when(wd == 5, F.date_sub(d, 1)).when(wd == 6, F.date_add(d, 1)).otherwise(d)
+def _in_years(year: Column, since: int, until: int | None) -> Column:
+    return (year >= since) if until is None else year.between(since, until)
 
 
-def holiday_dimension(spark: SparkSession, years: tuple[int, int] = HOLIDAY_YEARS) -> DataFrame:
-    """US federal holidays, actual and observed dates: columns (date, holiday).
+def _fixed_date(d: Column) -> Column:
+    """Is the date itself a holiday with a fixed month and day (observed dates left out)?"""
+    hit = F.lit(False)
+    for _name, month, day, since, until in FIXED_DATE_HOLIDAYS:
+        hit = hit | ((F.month(d) == month) & (F.dayofmonth(d) == day) & _in_years(F.year(d), since, until))
+    return hit
 
-    Size is bounded by 12 rows per year of ``years``; it is built from a
-    ``sequence`` of years, not from data, so it never grows with the tables.
-    """
-    y = spark.range(1).select(F.explode(F.sequence(F.lit(years[0]), F.lit(years[1]))).alias("y"))
-    yc = F.col("y")
-    rows = []
-    for name, month, dow, nth, since in NTH_WEEKDAY_HOLIDAYS:
-        rows.append(F.when(yc >= since, F.struct(_nth_weekday(yc, month, dow, nth).alias("date"),
-                                                 F.lit(name).alias("holiday"))))
-    lo, hi = VETERANS_OCTOBER_YEARS
-    rows.append(F.when(yc.between(lo, hi), F.struct(_nth_weekday(yc, 10, "Mon", 4).alias("date"),
-                                                    F.lit("Veterans Day").alias("holiday"))))
-    for name, month, day, since in FIXED_DATE_HOLIDAYS:
-        actual = F.make_date(yc, F.lit(month), F.lit(day))
-        rows.append(F.when(yc >= since, F.struct(actual.alias("date"), F.lit(name).alias("holiday"))))
-        rows.append(F.when((yc >= since) & (weekday0(actual) >= 5),
-                           F.struct(_observed(actual).alias("date"),
-                                    F.lit(f"{name} (observed)").alias("holiday"))))
-    out = (y.select(F.explode(F.array(*rows)).alias("h"))
-             .where(F.col("h").isNotNull())
-             .select("h.date", "h.holiday"))
-    return out
+
+def is_holiday(d: Column) -> Column:
+    """Is the date a US federal holiday, actual or observed?  Null dates give null."""
+    hit = _fixed_date(d)
+    day, left = F.dayofmonth(d), F.dayofmonth(F.last_day(d)) - F.dayofmonth(d)
+    for _name, month, dow, nth, since, until in NTH_WEEKDAY_HOLIDAYS:
+        # the nth such weekday lies in days 7n-6 .. 7n, counted from the month's end if n < 0
+        place = day.between(7 * nth - 6, 7 * nth) if nth > 0 else left.between(-7 * nth - 7, -7 * nth - 1)
+        hit = hit | ((F.month(d) == month) & (weekday0(d) == WEEKDAYS.index(dow)) & place & _in_years(F.year(d), since, until))
+    moved = ((weekday0(d) == 4) & _fixed_date(F.date_add(d, 1))) | ((weekday0(d) == 0) & _fixed_date(F.date_sub(d, 1)))
+    return hit | ((F.year(F.date_add(d, 1)) >= OBSERVED_SINCE) & moved)
+
+
+def holiday_dimension(spark: SparkSession, years: tuple[int, int]) -> DataFrame:
+    """Every US federal holiday of the given years, actual and observed dates: one column ``date``."""
+    first, last = (F.make_date(F.lit(y), F.lit(m), F.lit(d)) for y, m, d in ((years[0], 1, 1), (years[1], 12, 31)))
+    days = spark.range(1).select(F.explode(F.sequence(first, last)).alias("date"))
+    return days.where(is_holiday(F.col("date")))
 
 
 def holiday_flag(df: DataFrame, date_col: str = "date", out_col: str = "is_holiday") -> DataFrame:
-    """Add a 0/1 tinyint flag: is ``date_col`` a holiday (actual or observed)."""
-    spark = df.sparkSession
-    # dates are unique by construction (an observed date never lands on another
-    # holiday; tests/test_calendar_sources.py checks every year), so no distinct
-    hol = (holiday_dimension(spark).select(F.col("date").alias("__hdate"))
-           .withColumn("__hflag", F.lit(1).cast("tinyint")))
-    # The holiday calendar holds at most 12 * (number of years) rows: broadcast is
-    # safe regardless of the size of ``df``.
-    j = df.join(F.broadcast(hol), F.col(date_col) == F.col("__hdate"), "left")
-    return j.withColumn(out_col, F.coalesce(F.col("__hflag"), F.lit(0).cast("tinyint"))) \
-            .drop("__hdate", "__hflag")
+    """Add a 0/1 tinyint flag: is ``date_col`` a holiday (actual or observed)?  Null dates get 0."""
+    d = F.col(date_col).cast("date")
+    return df.withColumn(out_col, F.coalesce(is_holiday(d), F.lit(False)).cast("tinyint"))
 
 
 def day_of_week_factor(d: Column) -> Column:

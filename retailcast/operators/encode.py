@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from retailcast.config import TARGET_ENCODING_SMOOTHING
 from retailcast.operators.features import scalar_row
@@ -13,19 +12,16 @@ from retailcast.operators.features import scalar_row
 def fit_label_codes(train: DataFrame, col: str) -> DataFrame:
     """(col, code): classes in ascending order, codes 0..k-1.
 
-    String classes are numbered with ``row_index`` bucketed by their first two
-    characters (a prefix never decreases in string order), so millions of
-    classes are ranked over many tasks, not in one.  Other types use a window
-    over the distinct classes.
+    Classes of any type are numbered with ``row_index`` over ranges cut at sampled
+    classes, so millions of classes are ranked over many tasks, whatever prefix
+    they share.
     """
-    from retailcast.operators.ordering import row_index
+    from retailcast.operators.ordering import cut_bucket, range_cuts, row_index
 
     classes = train.select(col).where(F.col(col).isNotNull()).distinct()
     code = f"{col}_code"
-    if isinstance(classes.schema[col].dataType, T.StringType):
-        idx = row_index(classes, [col], out_col=code, bucket_expr=F.substring(col, 1, 2))
-        return idx.select(col, F.col(code).cast("int").alias(code))
-    return classes.withColumn(code, (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
+    idx = row_index(classes, [col], out_col=code, bucket_expr=cut_bucket(col, range_cuts(classes, col)))
+    return idx.select(col, F.col(code).cast("int").alias(code))
 
 
 def apply_label_codes(df: DataFrame, codes: DataFrame, col: str, replace: bool = True) -> DataFrame:
@@ -38,18 +34,17 @@ def apply_label_codes(df: DataFrame, codes: DataFrame, col: str, replace: bool =
 def fit_scaler(train: DataFrame, cols: list[str]):
     """Mean and population std of each column on ``train`` (zero std -> 1).
 
-    Returns ``transform(df) -> DataFrame``; statistics are one scalar subquery.
+    Returns ``transform(df) -> DataFrame``; statistics are one row, joined once.
     """
-    stats = scalar_row(train, [F.avg(c) for c in cols] + [F.stddev_pop(c) for c in cols])
-    k = len(cols)
+    stats = train.agg(*[F.avg(c).alias(f"__m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"__s_{c}") for c in cols])
 
     def transform(df: DataFrame) -> DataFrame:
-        out = {}
-        for i, c in enumerate(cols):
-            sd = stats(k + i)
-            sd = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
-            out[c] = (F.col(c).cast("double") - stats(i)) / sd
-        return df.withColumns(out)
+        # one row of statistics, joined once
+        j = df.join(F.broadcast(stats))
+        sd = {c: F.col(f"__s_{c}") for c in cols}
+        out = {c: (F.col(c).cast("double") - F.col(f"__m_{c}")) /
+               F.when(s.isNull() | (s == 0), F.lit(1.0)).otherwise(s) for c, s in sd.items()}
+        return j.withColumns(out).drop(*[f"__m_{c}" for c in cols], *[f"__s_{c}" for c in cols])
 
     return transform
 

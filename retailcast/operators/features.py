@@ -5,12 +5,13 @@ order), as in the original workflow.  All lag and rolling columns of one call
 share one window specification, so Spark plans a single Exchange + Sort +
 Window for all of them.
 
-Scale: with ``chunk_rows`` set, each group is cut into chunks of that many
+Scale: each group is cut into chunks of ``chunk_rows``
 positions and the last ``history`` rows of every chunk are copied into the
 next one; windows then run per (group, chunk).  A long or hot series is spread
 over many tasks and the result is exact (no row ever needs history beyond the
-copied rows).  Without groups the chunked path is always used, so an
-ungrouped window never collapses the frame into one task.
+copied rows).  ``chunk_rows=None`` keeps a group whole.  Without groups the chunked
+path is always used, so an ungrouped window never collapses the frame into one task.
+Rows that share a date are numbered by a hash of the row; null dates come last.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retailcast.config import LAGS, ROLLING_FUNCTIONS, ROLLING_WINDOWS
-from retailcast.operators.ordering import POS, row_index
+from retailcast.operators.ordering import POS, null_safe, row_index
 
+CHUNK_ROWS = 8192  # rows of a series that one task handles, about
 CHUNK = "__chunk"
 CARRY = "__carry"
 
@@ -42,15 +44,11 @@ def _rolling_expr(target: str, func: str, frame) -> Column:
 
 
 def cluster_by(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Hash-partition by the window keys into ``spark.sql.shuffle.partitions`` partitions.
+    """Hash-partition by the window keys, so that the windows that follow share one exchange.
 
-    The window then needs no exchange of its own.  An explicit partition count
-    is not coalesced by AQE, so few but compute-heavy series (25 stores, 32
-    window columns) still spread over every core instead of the 1-2 tasks that
-    size-based coalescing would leave.
+    No partition count is pinned: adaptive execution may merge or split partitions.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *cols)
+    return df.repartition(*cols)
 
 
 def lag_columns(target: str, lags=LAGS) -> dict[str, callable]:
@@ -77,11 +75,11 @@ def _history(names: dict, lags, windows, closed) -> int:
 
 
 def apply_windows(df: DataFrame, columns: dict[str, callable], group_cols: list[str] | None,
-                  order_col: str = "date", history: int = 30, chunk_rows: int | None = None) -> DataFrame:
+                  order_col: str = "date", history: int = 30, chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
     """Add window columns (name -> fn(window_spec) -> Column) in one window pass."""
     group_cols = list(group_cols or [])
     if group_cols and not chunk_rows:
-        spec = Window.partitionBy(*group_cols).orderBy(order_col)
+        spec = Window.partitionBy(*group_cols).orderBy(F.col(order_col).asc_nulls_last())
         return cluster_by(df, group_cols).withColumns({n: f(spec) for n, f in columns.items()})
     chunk_rows = max(int(chunk_rows or 4096), history + 1)
     idx = row_index(df, [order_col], group_cols)
@@ -96,14 +94,14 @@ def apply_windows(df: DataFrame, columns: dict[str, callable], group_cols: list[
 
 
 def lag_features(df: DataFrame, target: str, group_cols: list[str] | None = None,
-                 order_col: str = "date", lags=LAGS, chunk_rows: int | None = None) -> DataFrame:
+                 order_col: str = "date", lags=LAGS, chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
     return apply_windows(df, lag_columns(target, lags), group_cols, order_col,
                          history=max(lags), chunk_rows=chunk_rows)
 
 
 def rolling_features(df: DataFrame, target: str, group_cols: list[str] | None = None,
                      order_col: str = "date", windows=ROLLING_WINDOWS, functions=ROLLING_FUNCTIONS,
-                     closed: str = "right", chunk_rows: int | None = None) -> DataFrame:
+                     closed: str = "right", chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
     cols = rolling_columns(target, windows, functions, closed)
     return apply_windows(df, cols, group_cols, order_col,
                          history=_history(cols, (), windows, closed), chunk_rows=chunk_rows)
@@ -112,7 +110,7 @@ def rolling_features(df: DataFrame, target: str, group_cols: list[str] | None =
 def lag_and_rolling(df: DataFrame, target: str, group_cols: list[str] | None = None,
                     order_col: str = "date", lags=LAGS, windows=ROLLING_WINDOWS,
                     functions=ROLLING_FUNCTIONS, closed: str = "right",
-                    chunk_rows: int | None = None) -> DataFrame:
+                    chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
     cols = {**lag_columns(target, lags), **rolling_columns(target, windows, functions, closed)}
     return apply_windows(df, cols, group_cols, order_col,
                          history=_history(cols, lags, windows, closed), chunk_rows=chunk_rows)
@@ -157,7 +155,7 @@ def _is_sequence_col(name: str) -> bool:
 
 
 def fill_missing(df: DataFrame, group_cols: list[str] | None = None, order_col: str = "date",
-                 compat: bool = False, exclude: tuple = ()) -> DataFrame:
+                 compat: bool = False, exclude: tuple = (), chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Fill nulls: lag/rolling columns forward then backward, other numeric columns by mean.
 
     Default: forward/backward fill inside each group.  ``compat=True``
@@ -178,17 +176,8 @@ def fill_missing(df: DataFrame, group_cols: list[str] | None = None, order_col:
                  if not _is_sequence_col(c) and c not in exclude and c not in group_cols]
     out = df
     if seq_cols and group_cols:
-        w = Window.partitionBy(*group_cols).orderBy(order_col)
-        ff = w.rowsBetween(Window.unboundedPreceding, 0)
-        # After a forward fill only a group's leading nulls remain, and their backward
-        # fill is the group's first non-null value: one whole-partition frame, O(n).
-        # (A [current row, unbounded following] frame is re-aggregated per row: O(n^2).)
-        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        out = cluster_by(out, group_cols).withColumns({c: F.last(c, ignorenulls=True).over(ff) for c in seq_cols})
-        if not compat:
-            out = out.withColumns({c: F.coalesce(F.col(c), F.first(c, ignorenulls=True).over(whole))
-                                   for c in seq_cols})
-        else:
+        out = _fill_chunks(out, seq_cols, group_cols, order_col, chunk_rows, backward=not compat)
+        if compat:
             out = _compat_carry(out, df, seq_cols, group_cols, order_col)
     elif seq_cols:
         out = _compat_carry(out, df, seq_cols, [order_col], order_col)
@@ -199,6 +188,31 @@ def fill_missing(df: DataFrame, group_cols: list[str] | None = None, order_col:
     return out
 
 
+def _fill_chunks(df: DataFrame, cols: list[str], group_cols: list[str], order_col: str, chunk_rows: int,
+                 backward: bool) -> DataFrame:
+    """Forward fill inside each group, then (``backward``) its leading nulls from its first value.
+
+    A group is cut into chunks.  A chunk is filled by itself; what is null at its start takes the last
+    value of the chunks before it, from a frame of one row per chunk.
+    """
+    idx = row_index(df, [order_col], group_cols).withColumn(CHUNK, F.floor(F.col(POS) / chunk_rows))
+    keys = group_cols + [CHUNK]
+    ff = Window.partitionBy(*keys).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    # one struct per chunk and column: its first and last value that is not null
+    ends = idx.groupBy(*keys).agg(*[
+        F.struct(F.min_by(c, F.when(F.col(c).isNotNull(), F.col(POS))).alias("first"),
+                 F.max_by(c, F.when(F.col(c).isNotNull(), F.col(POS))).alias("last")).alias(c) for c in cols])
+    w = Window.partitionBy(*group_cols).orderBy(CHUNK)
+    past, whole = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carry = {c: F.last(F.col(c)["last"], ignorenulls=True).over(past) for c in cols}
+    if backward:
+        carry = {c: F.coalesce(v, F.first(F.col(c)["first"], ignorenulls=True).over(whole)) for c, v in carry.items()}
+    carry = ends.select(*keys, *[v.alias(f"__carry_{c}") for c, v in carry.items()])
+    filled = cluster_by(idx, keys).withColumns({c: F.last(c, ignorenulls=True).over(ff) for c in cols})
+    return (null_safe(filled, carry, keys, "left").withColumns({c: F.coalesce(c, f"__carry_{c}") for c in cols})
+            .drop(POS, CHUNK, *[f"__carry_{c}" for c in cols]))
+
+
 def _compat_carry(filled: DataFrame, raw: DataFrame, cols: list[str], group_cols: list[str],
                   order_col: str) -> DataFrame:
     # last non-null value per group (by date), one row per group
@@ -211,7 +225,7 @@ def _compat_carry(filled: DataFrame, raw: DataFrame, cols: list[str], group_cols
     order_key = F.struct(*[F.col(g) for g in dict.fromkeys(group_cols + [order_col])])
     first_any = scalar_row(raw, [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order_key))
                                  for c in cols])
-    j = filled.join(carry, group_cols, "left")
+    j = null_safe(filled, carry, group_cols, "left")
     return j.withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}"), first_any(i))
                           for i, c in enumerate(cols)}).drop(*[f"__carry_{c}" for c in cols])
 
@@ -224,7 +238,7 @@ DERIVED_FROM_DATE = ("year", "month", "day", "day_of_week", "quarter", "week_of_
 def create_all_features(df: DataFrame, target: str = "sales", date_col: str = "date",
                         group_cols: list[str] | None = None, categorical_cols: list[str] | None = None,
                         compat_fill: bool = False, closed: str = "right",
-                        chunk_rows: int | None = None, lags=LAGS, windows=ROLLING_WINDOWS,
+                        chunk_rows: int | None = CHUNK_ROWS, lags=LAGS, windows=ROLLING_WINDOWS,
                         functions=ROLLING_FUNCTIONS, checkpoint: bool = False) -> DataFrame:
     """Date parts -> lags -> rolling -> cyclical -> interactions -> fill.
 
@@ -241,4 +255,5 @@ def create_all_features(df: DataFrame, target: str = "sales", date_col: str = "d
         out = interaction_features(out, categorical_cols)
     if checkpoint:
         out = materialize(out)
-    return fill_missing(out, group_cols, date_col, compat=compat_fill, exclude=DERIVED_FROM_DATE)
+    return fill_missing(out, group_cols, date_col, compat=compat_fill, exclude=DERIVED_FROM_DATE,
+                        chunk_rows=chunk_rows or CHUNK_ROWS)

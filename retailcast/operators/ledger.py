@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +38,9 @@ def read(spark: SparkSession, root: str, table: str) -> DataFrame:
     schema = _SCHEMAS[table]
     try:
         return spark.read.schema(schema).parquet(_path(root, table))
-    except Exception:  # folder absent: nothing logged
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # anything else is no empty ledger
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -90,13 +93,26 @@ def best_run(spark: SparkSession, root: str, key: str, ascending: bool = True) -
 
 
 def register_version(spark: SparkSession, root: str, model_name: str, run_id: str) -> DataFrame:
-    """Append version max(version)+1 of ``model_name`` and return that row."""
-    v = read(spark, root, "model_versions").where(F.col("model_name") == model_name)
-    nxt = v.agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    row = spark.createDataFrame([(model_name, int(nxt), run_id, now)], VERSIONS)
-    _append(row, root, "model_versions")
-    return row
+    """Append the next free version of ``model_name`` and return that row.
+
+    Two writers may claim one version: the earlier claim (then the smaller run id) holds, and the
+    other writer, which reads its claim back, tries the next one.  Reads ignore lost claims.
+    """
+    while True:
+        v = read(spark, root, "model_versions").where(F.col("model_name") == model_name)
+        nxt = int(v.agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0])
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        _append(spark.createDataFrame([(model_name, nxt, run_id, now)], VERSIONS), root, "model_versions")
+        own = versions(spark, root).where((F.col("model_name") == model_name) & (F.col("version") == nxt))
+        if own.first()["run_id"] == run_id:
+            return own
+
+
+def versions(spark: SparkSession, root: str) -> DataFrame:
+    """Registered versions: of several claims to one version the earliest, then the smallest run id."""
+    claims = read(spark, root, "model_versions")
+    first = F.min(F.struct("created_at", "run_id")).alias("__first")
+    return claims.groupBy("model_name", "version").agg(first).select("model_name", "version", "__first.run_id", "__first.created_at")
 
 
 def set_stage(spark: SparkSession, root: str, model_name: str, version: int, stage: str) -> None:
@@ -108,7 +124,7 @@ def current_versions(spark: SparkSession, root: str) -> DataFrame:
     """Every version with its latest stage ('None' when never staged)."""
     ev = read(spark, root, "version_stages")
     last = ev.groupBy("model_name", "version").agg(F.max_by("stage", "changed_at").alias("stage"))
-    return (read(spark, root, "model_versions").join(last, ["model_name", "version"], "left")
+    return (versions(spark, root).join(last, ["model_name", "version"], "left")
             .withColumn("stage", F.coalesce("stage", F.lit("None"))))
 
 

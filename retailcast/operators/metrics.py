@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailcast.config import CV_EPSILON, METRICS, STABILITY_WINDOW
+from retailcast.operators.features import CHUNK_ROWS, apply_windows
 
 
 def _r2(sse: Column, sst: Column) -> Column:
@@ -79,22 +80,25 @@ def normalized_scores(long: DataFrame, names=METRICS) -> DataFrame:
 
 
 def rolling_metrics(preds: DataFrame, keys=("store_id",), order_col: str = "date",
-                    window: int = STABILITY_WINDOW) -> DataFrame:
+                    window: int = STABILITY_WINDOW, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """MAE, RMSE, R^2 over the ``window`` rows *before* each row, per (model, keys).
 
-    Row i (0-based) is labelled with its own date and exists only for i >= window.
+    Row i (0-based) is labelled with its own date and exists only for i >= window.  A series is cut
+    into chunks that carry ``window`` rows of the chunk before.
     """
-    w = Window.partitionBy("model", *keys).orderBy(order_col)
-    fr = w.rowsBetween(-window, -1)
     e = F.col("actual") - F.col("prediction")
-    sse = F.sum(e * e).over(fr)
-    sst = F.var_pop("actual").over(fr) * F.count("actual").over(fr)
-    x = preds.select("model", *keys, order_col,
-                     F.row_number().over(w).alias("__rn"),
-                     F.avg(F.abs(e)).over(fr).alias("rolling_mae"),
-                     F.sqrt(F.avg(e * e).over(fr)).alias("rolling_rmse"),
-                     _r2(sse, sst).alias("rolling_r2"))
-    return x.where(F.col("__rn") > window).drop("__rn")
+
+    def over(column):
+        return lambda w: column(w.rowsBetween(-window, -1))
+
+    def r2(fr):
+        return _r2(F.sum(e * e).over(fr), F.var_pop("actual").over(fr) * F.count("actual").over(fr))
+
+    columns = {"__n": over(lambda fr: F.count(F.lit(1)).over(fr)), "rolling_mae": over(lambda fr: F.avg(F.abs(e)).over(fr)),
+               "rolling_rmse": over(lambda fr: F.sqrt(F.avg(e * e).over(fr))), "rolling_r2": over(r2)}
+    rows = preds.select("model", *keys, order_col, "actual", "prediction")
+    out = apply_windows(rows, columns, ["model", *keys], order_col, window, chunk_rows)
+    return out.where(F.col("__n") == window).select("model", *keys, order_col, "rolling_mae", "rolling_rmse", "rolling_r2")
 
 
 def stability_scores(rolling: DataFrame, eps: float = CV_EPSILON) -> DataFrame:
@@ -107,7 +111,11 @@ def stability_scores(rolling: DataFrame, eps: float = CV_EPSILON) -> DataFrame:
 
 
 def performance_alerts(long: DataFrame, thresholds: dict[str, float]) -> DataFrame:
-    """Metrics above their alert threshold: (model, metric, value, threshold, alert)."""
+    """Metrics above their alert threshold: (model, metric, value, threshold, alert).
+
+    ``mape`` is a percentage in the metric tables and a share in the thresholds.
+    """
     th = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v)))])
     x = long.withColumn("threshold", th[F.col("metric")]).where(F.col("threshold").isNotNull())
-    return x.withColumn("alert", F.col("value") > F.col("threshold"))
+    share = F.when(F.col("metric") == "mape", F.col("value") / 100).otherwise(F.col("value"))
+    return x.withColumn("alert", share > F.col("threshold"))

@@ -3,14 +3,17 @@
 ``percentile`` keeps every distinct value of a group in one aggregation
 buffer; a hot group would have to fit in one task's memory.  Here:
 
-1. ``percentile_approx`` (rank error <= n/accuracy) gives values ``lo``/``hi``
-   around the wanted ranks, widened by the nearest distinct value on either
-   side so the bracket provably holds them;
-2. rows inside [lo, hi] are pre-aggregated to (value, count) - so a value
-   repeated a billion times is one row;
-3. a prefix sum over that small bracket frame, offset by count(x < lo),
-   finds the exact order statistics, which are interpolated linearly
+1. one aggregate per group gives n and, from ``percentile_approx`` (rank error
+   <= n/accuracy), values ``lo``/``hi`` below and above each wanted rank; a group
+   of up to ``SMALL`` rows takes its whole range instead;
+2. each row meets its group's one row of brackets and is kept for the
+   quantiles whose bracket holds it; kept rows are pre-aggregated to
+   (value, count), so a value repeated a billion times is one row;
+3. brackets are cut into slices with running totals, so that a hot bracket is
+   sorted slice by slice, and the exact order statistics are interpolated linearly
    (the same definition as ``percentile`` / DuckDB ``quantile_cont``).
+
+Null values are left out; rows with a null group are a group of their own.
 """
 
 from __future__ import annotations
@@ -18,57 +21,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from retailcast.operators.features import materialize
+from retailcast.operators.ordering import null_safe
+
 ACCURACY = 10000
 MARGIN = 4.0 / ACCURACY
+SMALL = 20_000
+SLICES = 64
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], group_cols: list[str] | None = None,
                     prefix: str = "q") -> DataFrame:
-    """One row per group with columns ``{prefix}_{i}`` = linear quantile probs[i] of ``col``."""
-    ungrouped = not group_cols
+    """One row per group with columns ``{prefix}_{i}`` = linear quantile probs[i] of ``col``.
+
+    The group and value columns are written once, since three passes read them.
+    """
     g = list(group_cols or ["__all"])
     x = F.col(col)
-    src = df.withColumn("__all", F.lit(0)) if ungrouped else df
-    base = src.where(x.isNotNull()).select(*g, x.cast("double").alias("__x"))
-    lo_p = [max(0.0, p - MARGIN) for p in probs]
-    hi_p = [min(1.0, p + MARGIN) for p in probs]
-    stats = base.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__x", F.array(*[F.lit(p) for p in lo_p]), ACCURACY).alias("__lo"),
-        F.percentile_approx("__x", F.array(*[F.lit(p) for p in hi_p]), ACCURACY).alias("__hi"))
-    # one row per (group, quantile): the ranks wanted and the bracket
-    qs = stats.select(*g, "__n", F.posexplode(F.arrays_zip(F.col("__lo"), F.col("__hi"))).alias("__i", "__b"))
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    h = (F.col("__n") - 1) * F.element_at(probs_arr, F.col("__i") + 1)
-    qs = qs.select(*g, "__i", F.col("__b.__lo").alias("__lo"), F.col("__b.__hi").alias("__hi"),
-                   F.floor(h).cast("long").alias("__k"), (h - F.floor(h)).alias("__frac"))
-    # widen each bracket by the nearest distinct value on either side: the approximate
-    # bracket may be narrower than one rank in a small group, the widened one always
-    # holds the order statistics k and k + 1
-    j = base.join(F.broadcast(qs), g) if ungrouped else base.join(qs, g)
-    edges = j.groupBy(*g, "__i").agg(F.max(F.when(F.col("__x") < F.col("__lo"), F.col("__x"))).alias("__prev"),
-                                     F.min(F.when(F.col("__x") > F.col("__hi"), F.col("__x"))).alias("__next"))
-    qs = (qs.join(edges, g + ["__i"])
-            .withColumns({"__lo": F.coalesce("__prev", "__lo"), "__hi": F.coalesce("__next", "__hi")})
-            .drop("__prev", "__next"))
-    # ungrouped: qs holds exactly len(probs) rows, so broadcasting it is safe; grouped:
-    # qs has len(probs) rows per group and Spark/AQE choose the join (skew-split if needed)
-    j = base.join(F.broadcast(qs), g) if ungrouped else base.join(qs, g)
-    below = j.groupBy(*g, "__i").agg(F.count_if(F.col("__x") < F.col("__lo")).alias("__below"))
-    inside = (j.where((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
-               .groupBy(*g, "__i", "__x").agg(F.count(F.lit(1)).alias("__c")))
-    w = Window.partitionBy(*g, "__i").orderBy("__x")
-    cum = inside.withColumn("__end", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    cum = cum.join(below, g + ["__i"]).join(qs.select(*g, "__i", "__k", "__frac"), g + ["__i"])
-    # rank (0-based) of the last copy of each value = below + end - 1
-    last_rank = F.col("__below") + F.col("__end") - 1
+    src = df if group_cols else df.withColumn("__all", F.lit(0))
+    base = materialize(src.where(x.isNotNull()).select(*g, x.cast("double").alias("__x")))
+    k = len(probs)
+    approx = lambda ps: F.percentile_approx("__x", F.array(*[F.lit(p) for p in ps]), ACCURACY)
+    stats = base.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__mn"), F.max("__x").alias("__mx"),
+                                 approx([max(0.0, p - MARGIN) for p in probs]).alias("__lo"),
+                                 approx([min(1.0, p + MARGIN) for p in probs]).alias("__hi"))
+    small = F.col("__n") <= SMALL
+    stats = stats.select(*g, "__n", F.when(small, F.array_repeat("__mn", k)).otherwise(F.col("__lo")).alias("__lo"),
+                         F.when(small, F.array_repeat("__mx", k)).otherwise(F.col("__hi")).alias("__hi"))
+    j = null_safe(base, stats, g)
+    below = j.groupBy(*g).agg(F.first("__n").alias("__n"), F.array(*[
+        F.count_if(F.col("__x") < F.col("__lo")[i]) for i in range(k)]).alias("__below"))
+    held = F.filter(F.sequence(F.lit(0), F.lit(k - 1)),
+                    lambda i: (F.col("__x") >= F.col("__lo")[i]) & (F.col("__x") <= F.col("__hi")[i]))
+    inside = j.select(*g, "__x", "__lo", "__hi", F.explode(held).alias("__i"))
+    lo, hi = F.col("__lo")[F.col("__i")], F.col("__hi")[F.col("__i")]
+    slice_ = F.when(hi > lo, F.least(F.floor((F.col("__x") - lo) / (hi - lo) * SLICES), F.lit(SLICES - 1))).otherwise(0)
+    inside = inside.groupBy(*g, "__i", slice_.alias("__s"), "__x").agg(F.count(F.lit(1)).alias("__c"))
+    totals = inside.groupBy(*g, "__i", "__s").agg(F.sum("__c").alias("__t"))
+    before = Window.partitionBy(*g, "__i").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*g, "__i", "__s", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__off"))
+    run = Window.partitionBy(*g, "__i", "__s").orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
+    cum = null_safe(inside.withColumn("__run", F.sum("__c").over(run)), totals, g + ["__i", "__s"])
+    cum = null_safe(cum, below, g)
+    h = (F.col("__n") - 1) * F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1)
+    # rank (0-based) of the last copy of each value
+    last_rank = F.col("__below")[F.col("__i")] + F.col("__off") + F.col("__run") - 1
     picked = cum.groupBy(*g, "__i").agg(
-        F.min_by("__x", F.when(last_rank >= F.col("__k"), F.col("__x"))).alias("__v0"),
-        F.min_by("__x", F.when(last_rank >= F.col("__k") + 1, F.col("__x"))).alias("__v1"),
-        F.first("__frac").alias("__frac"))
+        F.min(F.when(last_rank >= F.floor(h), F.col("__x"))).alias("__v0"),
+        F.min(F.when(last_rank >= F.floor(h) + 1, F.col("__x"))).alias("__v1"),
+        F.first(h - F.floor(h)).alias("__frac"))
     val = F.when(F.col("__frac") == 0, F.col("__v0")).otherwise(
         F.col("__v0") + F.col("__frac") * (F.coalesce(F.col("__v1"), F.col("__v0")) - F.col("__v0")))
-    long = picked.select(*g, "__i", val.alias("__q"))
-    wide = long.groupBy(*g).pivot("__i", list(range(len(probs)))).agg(F.first("__q"))
-    keep = [] if ungrouped else g
-    return wide.select(*keep, *[F.col(str(i)).alias(f"{prefix}_{i}") for i in range(len(probs))])
+    wide = picked.select(*g, "__i", val.alias("__q")).groupBy(*g).agg(
+        *[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(f"{prefix}_{i}") for i in range(k)])
+    return wide if group_cols else wide.drop("__all")

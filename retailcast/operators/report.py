@@ -5,13 +5,11 @@ every function returns a small aggregated DataFrame (or per-row values).
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from retailcast.config import IQR_MULTIPLIER, THIN_POINTS, TOP_FEATURES_PER_MODEL
-from retailcast.operators.ordering import POS, range_bucket, row_index, thin_evenly
+from retailcast.operators.ordering import POS, cut_bucket, null_safe, range_cuts, row_index, thin_evenly
 from retailcast.operators.quantiles import exact_quantiles
 
 
@@ -36,11 +34,11 @@ def density_histogram(df: DataFrame, col: str, bins: int = 30, group_cols=("mode
     b = F.floor((x - F.col("__lo")) * bins / (F.col("__hi") - F.col("__lo"))).cast("int") + 1
     # one row per group, and groups are the caller's: no broadcast hint - AQE
     # broadcasts it from the measured size, or keeps a shuffle join past the limit
-    counted = (df.where(x.isNotNull()).select(*g, x).join(rng, g)
+    counted = (null_safe(df.where(x.isNotNull()).select(*g, x), rng, g)
                  .groupBy(*g, F.least(b, F.lit(bins)).alias("bin")).agg(F.count(F.lit(1)).alias("count")))
     all_bins = rng.select(*g, "__n", "__lo", "__hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
     width = (F.col("__hi") - F.col("__lo")) / bins
-    out = all_bins.join(counted, g + ["bin"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    out = null_safe(all_bins, counted, g + ["bin"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
     return out.select(*g, "bin", (F.col("__lo") + (F.col("bin") - 1) * width).alias("bin_start"),
                       (F.col("__lo") + F.col("bin") * width).alias("bin_end"), "count",
                       (F.col("count") / (F.col("__n") * width)).alias("density"))
@@ -54,7 +52,7 @@ def box_statistics(df: DataFrame, col: str, group_cols=("model",), k: float = IQ
     x = F.col(col)
     lo = F.col("q1") - k * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + k * (F.col("q3") - F.col("q1"))
-    j = df.where(x.isNotNull()).select(*g, x).join(q, g)  # AQE sizes the per-group side
+    j = null_safe(df.where(x.isNotNull()).select(*g, x), q, g)  # AQE sizes the per-group side
     inside = (x >= lo) & (x <= hi)
     return j.groupBy(*g, "q1", "median", "q3").agg(
         F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
@@ -70,32 +68,60 @@ def scale_location(preds: DataFrame) -> DataFrame:
              .drop("__sd"))
 
 
-@F.pandas_udf(T.DoubleType())
-def normal_ppf(p: pd.Series) -> pd.Series:
-    """Inverse standard-normal CDF (Arrow batches; the one Python function in the library)."""
-    from statistics import NormalDist
-
-    nd = NormalDist()
-    return p.map(lambda v: nd.inv_cdf(v) if v is not None and 0.0 < v < 1.0 else float("nan"))
-
-
-def qq_points(preds: DataFrame, buckets: int = 4096) -> DataFrame:
+# --- fixed values: Wichura's algorithm AS 241 (PPND16), rational approximations of the
+# inverse normal CDF, numerator and denominator from the constant term upwards
+PPF_CENTRE = (
+    (3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3, 1.3731693765509461125e4,
+     4.5921953931549871457e4, 6.7265770927008700853e4, 3.3430575583588128105e4, 2.5090809287301226727e3),
+    (1.0, 4.2313330701600911252e1, 6.8718700749205790830e2, 5.3941960214247511077e3,
+     2.1213794301586595867e4, 3.9307895800092710610e4, 2.8729085735721942674e4, 5.2264952788528545610e3))
+PPF_MIDDLE = (
+    (1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0, 3.64784832476320460504e0,
+     1.27045825245236838258e0, 2.41780725177450611770e-1, 2.27238449892691845833e-2, 7.74545014278341407640e-4),
+    (1.0, 2.05319162663775882187e0, 1.67638483018380384940e0, 6.89767334985100004550e-1,
+     1.48103976427480074590e-1, 1.51986665636164571966e-2, 5.47593808499534494600e-4, 1.05075007164441684324e-9))
+PPF_TAIL = (
+    (6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133580e0, 2.96560571828504891230e-1,
+     2.65321895265761230930e-2, 1.24266094738807843860e-3, 2.71155556874348757815e-5, 2.01033439929228813265e-7),
+    (1.0, 5.99832206555887937690e-1, 1.36929880922735805310e-1, 1.48753612908506148525e-2,
+     7.86869131145613259100e-4, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15))
+# -----------------------------------------------------------------------------
+
+
+def _ratio(x: Column, coefficients) -> Column:
+    parts = []
+    for c in coefficients:
+        value = F.lit(c[-1])
+        for k in reversed(c[:-1]):
+            value = value * x + F.lit(k)
+        parts.append(value)
+    return parts[0] / parts[1]
+
+
+def normal_ppf(p: Column) -> Column:
+    """Inverse standard-normal CDF as built-in expressions (null outside (0, 1))."""
+    q = p - 0.5
+    r = F.sqrt(-F.ln(F.least(p, 1 - p)))
+    tail = F.when(r <= 5, _ratio(r - 1.6, PPF_MIDDLE)).otherwise(_ratio(r - 5, PPF_TAIL))
+    value = F.when(F.abs(q) <= 0.425, q * _ratio(0.180625 - q * q, PPF_CENTRE)).otherwise(F.signum(q) * tail)
+    return F.when((p > 0) & (p < 1), value)
+
+
+def qq_points(preds: DataFrame, parts: int = 64) -> DataFrame:
     """Sorted residuals against normal quantiles ppf(i / (n + 1)), plus the least-squares line.
 
-    Ranks come from ``row_index`` bucketed by a coarse residual range, so each
-    model's residuals are never sorted in one task.
+    Ranks come from ``row_index`` over ranges cut at sampled residuals, so each
+    model's residuals are never sorted in one task.  Null residuals have no rank.
     """
-    r = residuals(preds).select("model", "residual")
-    rng = r.groupBy("model").agg(F.min("residual").alias("__lo"), F.max("residual").alias("__hi"),
-                                 F.count(F.lit(1)).alias("__n"))
-    j = r.join(F.broadcast(rng), "model")
-    idx = row_index(j, ["residual"], ["model"], bucket_expr=range_bucket("residual", F.col("__lo"),
-                                                                        F.col("__hi"), buckets))
+    r = residuals(preds).select("model", "residual").where(F.col("residual").isNotNull())
+    r = r.withColumn("__bk", cut_bucket("residual", range_cuts(r, "residual", parts)))
+    n = r.groupBy("model").agg(F.count(F.lit(1)).alias("__n"))
+    idx = null_safe(row_index(r, ["residual"], ["model"], bucket_expr=F.col("__bk")), n, ["model"])
     pts = idx.withColumn("theoretical", normal_ppf((F.col(POS) + 1) / (F.col("__n") + 1)))
     line = pts.groupBy("model").agg(F.regr_slope("residual", "theoretical").alias("slope"),
                                     F.regr_intercept("residual", "theoretical").alias("intercept"))
-    return (pts.join(F.broadcast(line), "model")
-               .select("model", F.col(POS).alias("rank"), "theoretical", "residual", "slope", "intercept"))
+    return (null_safe(pts, line, ["model"])
+            .select("model", F.col(POS).alias("rank"), "theoretical", "residual", "slope", "intercept"))
 
 
 def thinned_series(preds: DataFrame, order_cols=("date", "store_id"), points: int = THIN_POINTS) -> DataFrame:

@@ -1,37 +1,38 @@
 """Roll-ups of line-level sales to product-day and store-day grain.
 
 Physical plan notes (see tests/test_plans.py):
-* ``daily_sales`` hash-partitions lines once on ``(date, product_id)``.  That
-  partitioning satisfies the 4-key aggregate (its keys are a superset) *and*
-  the promotion join on ``(date, product_id)``; the promotion summary derived
-  from the same lines reuses the same exchange.  One shuffle of line data
-  instead of three.  Product-day keys are near-unique at line grain, so a
-  map-side partial aggregate would not shrink the data anyway.
+* The lines are scanned once.  The promotion flag of a (date, product) comes from the deepest
+  discount, which the product-day aggregate carries along; a window over the product-days
+  spreads it, so the lines meet no promotion table.
+* The product-day and store-day aggregates pre-aggregate on the map side, so a product or a
+  store with a third of all rows is merged before its shuffle.
 * The traffic summary is store-day grain (calendar x stores); AQE broadcasts
   it when its measured size is under the broadcast threshold and otherwise
   keeps a shuffle join.
-* The store-day aggregate does map-side partial aggregation, so a store with a
-  third of all rows is pre-aggregated before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 DAILY_KEYS = ["date", "store_id", "product_id", "category"]
 
 
-def daily_sales(sales: DataFrame, cluster: bool = True) -> DataFrame:
-    """Sum quantity, revenue (as ``sales``), cost, profit; mean discount and unit price."""
-    src = sales.repartition("date", "product_id") if cluster else sales
-    return (src.groupBy(*DAILY_KEYS)
-               .agg(F.sum("quantity_sold").alias("quantity_sold"),
-                    F.sum("revenue").alias("sales"),
-                    F.sum("cost").alias("cost"),
-                    F.sum("profit").alias("profit"),
-                    F.avg("discount_percent").alias("discount_percent"),
-                    F.avg("unit_price").alias("unit_price")))
+def daily_sales(sales: DataFrame, promotion_min: float | None = None) -> DataFrame:
+    """Sum quantity, revenue (as ``sales``), cost, profit; mean discount and unit price.
+
+    With ``promotion_min`` also ``has_promotion``: 1 if any line of the (date, product), in any
+    store, has at least that discount.
+    """
+    aggs = [F.sum("quantity_sold").alias("quantity_sold"), F.sum("revenue").alias("sales"), F.sum("cost").alias("cost"),
+            F.sum("profit").alias("profit"), F.avg("discount_percent").alias("discount_percent"),
+            F.avg("unit_price").alias("unit_price")]
+    if promotion_min is None:
+        return sales.groupBy(*DAILY_KEYS).agg(*aggs)
+    daily = sales.groupBy(*DAILY_KEYS).agg(*aggs, F.max("discount_percent").alias("__deepest"))
+    deepest = F.max("__deepest").over(Window.partitionBy("date", "product_id"))
+    return daily.withColumn("has_promotion", F.coalesce(deepest >= promotion_min, F.lit(False)).cast("tinyint")).drop("__deepest")
 
 
 def promotion_summary(promotions: DataFrame) -> DataFrame:
@@ -77,13 +78,10 @@ def store_daily_sales(daily: DataFrame) -> DataFrame:
 
 def enriched_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product-day sales with promotion flag and store traffic (D1 + C1 + D3 + C2)."""
-    from retailcast.sources.retail import customer_traffic, promotions, sales
+    from retailcast.sources.retail import PROMOTION_MIN_DISCOUNT, customer_traffic, sales
 
-    lines = sales(spark, sf_dir).repartition("date", "product_id")
-    daily = daily_sales(lines, cluster=False)
-    promo = promotion_summary(promotions(spark, sf_dir, lines))
-    traffic = traffic_summary(customer_traffic(spark, sf_dir))
-    return with_traffic(with_promotion_flag(daily, promo), traffic)
+    daily = daily_sales(sales(spark, sf_dir), PROMOTION_MIN_DISCOUNT)
+    return with_traffic(daily, traffic_summary(customer_traffic(spark, sf_dir)))
 
 
 def store_days(spark: SparkSession, sf_dir: str, checkpoint: bool = False) -> DataFrame:

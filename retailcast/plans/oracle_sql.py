@@ -9,8 +9,7 @@ rule lists).
 
 from __future__ import annotations
 
-from retailcast.functions.calendar import (FIXED_DATE_HOLIDAYS, HOLIDAY_YEARS, NTH_WEEKDAY_HOLIDAYS,
-                                           VETERANS_OCTOBER_YEARS)
+from retailcast.functions.calendar import FIXED_DATE_HOLIDAYS, NTH_WEEKDAY_HOLIDAYS, OBSERVED_SINCE
 from retailcast.sources.retail import COST_RATIO, PROMOTION_MIN_DISCOUNT
 
 _ISO = {"Mon": 1, "Tue": 2, "Wed": 3, "Thu": 4, "Fri": 5, "Sat": 6, "Sun": 7}
@@ -22,47 +21,45 @@ def _nth_sql(month: int, dow: str, nth: int) -> str:
         first = f"make_date(y, {month}, 1)"
         return f"{first} + CAST(({iso} - isodow({first}) + 7) % 7 + {7 * (nth - 1)} AS INTEGER)"
     last = f"last_day(make_date(y, {month}, 1))"
-    return f"{last} - CAST((isodow({last}) - {iso} + 7) % 7 AS INTEGER)"
+    return f"{last} - CAST((isodow({last}) - {iso} + 7) % 7 + {7 * (-nth - 1)} AS INTEGER)"
 
 
 def _holiday_cte() -> str:
-    y0, y1 = HOLIDAY_YEARS
-    parts = []
-    for _name, month, dow, nth, since in NTH_WEEKDAY_HOLIDAYS:
-        parts.append(f"SELECT {_nth_sql(month, dow, nth)} AS d FROM rc_years WHERE y >= {since}")
-    lo, hi = VETERANS_OCTOBER_YEARS
-    parts.append(f"SELECT {_nth_sql(10, 'Mon', 4)} AS d FROM rc_years WHERE y BETWEEN {lo} AND {hi}")
-    fixed = " UNION ALL ".join(f"SELECT make_date(y, {m}, {d}) AS d FROM rc_years WHERE y >= {since}"
-                               for _n, m, d, since in FIXED_DATE_HOLIDAYS)
-    parts.append("SELECT d FROM rc_fixed")
-    parts.append("SELECT CASE WHEN isodow(d) = 6 THEN d - 1 ELSE d + 1 END FROM rc_fixed WHERE isodow(d) >= 6")
-    return (f"rc_years AS (SELECT CAST(range AS INTEGER) AS y FROM range({y0}, {y1 + 1})),\n"
+    """Holidays of every year that the tables' dates touch, and of the years next to them."""
+    nth = " UNION ALL ".join(f"SELECT {_nth_sql(month, dow, n)} AS d FROM rc_years WHERE y BETWEEN {since} AND {until or 9999}"
+                             for _name, month, dow, n, since, until in NTH_WEEKDAY_HOLIDAYS)
+    fixed = " UNION ALL ".join(f"SELECT make_date(y, {m}, {d}) AS d FROM rc_years WHERE y BETWEEN {since} AND {until or 9999}"
+                               for _name, m, d, since, until in FIXED_DATE_HOLIDAYS)
+    return ("rc_years AS (SELECT CAST(unnest(range(min(y) - 1, max(y) + 2)) AS INTEGER) AS y FROM ("
+            "SELECT year(l_shipdate) AS y FROM lineitem UNION ALL SELECT year(o_orderdate) FROM orders)),\n"
             f"rc_fixed AS ({fixed}),\n"
-            f"rc_holidays AS (SELECT DISTINCT d AS date FROM ({' UNION ALL '.join(parts)}))")
+            f"rc_holidays AS (SELECT DISTINCT d AS date FROM ({nth} UNION ALL SELECT d FROM rc_fixed UNION ALL "
+            "SELECT CASE WHEN isodow(d) = 6 THEN d - 1 ELSE d + 1 END FROM rc_fixed "
+            f"WHERE isodow(d) >= 6 AND year(d) >= {OBSERVED_SINCE}))")
 
 
 FIXTURES = f"""{_holiday_cte()},
-rc_sales AS (
-  SELECT CAST(l.l_shipdate AS DATE) AS date,
-         CAST(s.s_nationkey AS VARCHAR) AS store_id,
+rc_raw_sales AS (
+  SELECT l.l_quantity AS raw_quantity, CAST(l.l_shipdate AS DATE) AS date,
+         coalesce(CAST(s.s_nationkey AS VARCHAR), 'unknown') AS store_id,
          CAST(l.l_partkey AS VARCHAR) AS product_id,
-         p.p_type AS category,
+         coalesce(p.p_type, 'unknown') AS category,
          CAST(l.l_quantity AS BIGINT) AS quantity_sold,
-         l.l_extendedprice / l.l_quantity AS unit_price,
+         l.l_extendedprice / nullif(l.l_quantity, 0) AS unit_price,
          l.l_discount AS discount_percent,
          l.l_extendedprice * (1 - l.l_discount) AS revenue,
          l.l_extendedprice * {COST_RATIO} AS cost,
          l.l_extendedprice * (1 - l.l_discount) - l.l_extendedprice * {COST_RATIO} AS profit
-  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-                  JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE l.l_quantity > 0),
+  FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+                  LEFT JOIN part p ON l.l_partkey = p.p_partkey),
+rc_sales AS (SELECT * EXCLUDE raw_quantity FROM rc_raw_sales WHERE raw_quantity > 0),
 rc_promotions AS (
   SELECT date, product_id, max(discount_percent) AS discount_percent, 'Discount' AS promotion_type
   FROM rc_sales WHERE discount_percent >= {PROMOTION_MIN_DISCOUNT} GROUP BY date, product_id),
 rc_traffic_raw AS (
-  SELECT CAST(o.o_orderdate AS DATE) AS date, CAST(c.c_nationkey AS VARCHAR) AS store_id,
+  SELECT CAST(o.o_orderdate AS DATE) AS date, coalesce(CAST(c.c_nationkey AS VARCHAR), 'unknown') AS store_id,
          count(*) AS customer_traffic
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2),
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2),
 rc_traffic AS (
   SELECT t.*, CAST(CASE WHEN h.date IS NULL THEN 0 ELSE 1 END AS TINYINT) AS is_holiday
   FROM rc_traffic_raw t LEFT JOIN rc_holidays h ON t.date = h.date),

@@ -255,7 +255,8 @@ def q_stability_scores(spark, sf_dir):
 
 
 @register("performance_alerts", with_fixtures(f"""
-SELECT model, metric, {rnd('value', 6)} AS value, threshold, value > threshold AS alert FROM (
+SELECT model, metric, {rnd('value', 6)} AS value, threshold,
+       value > threshold * CASE metric WHEN 'mape' THEN 100 ELSE 1 END AS alert FROM (
   SELECT l.*, CASE metric WHEN 'rmse' THEN {ALERT_THRESHOLDS['rmse']} WHEN 'mape' THEN {ALERT_THRESHOLDS['mape']} END
               AS threshold FROM rc_test_long l) WHERE threshold IS NOT NULL""", EVAL_CTES))
 def q_performance_alerts(spark, sf_dir):

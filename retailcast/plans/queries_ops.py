@@ -24,20 +24,24 @@ _LO, _HI = VALUE_RANGES["sales"]
 # -------------------------------------------------------------- validation --
 @register("value_checks", with_fixtures(f"""
 SELECT 'sales' AS dataset, 'negative_quantity' AS "check", count(*) AS n_rows,
-       count(CASE WHEN quantity_sold < 0 THEN 1 END) AS n_failed FROM rc_sales
-UNION ALL SELECT 'sales', 'negative_revenue', count(*), count(CASE WHEN revenue < 0 THEN 1 END) FROM rc_sales
-UNION ALL SELECT 'sales', 'null_date', count(*), count(CASE WHEN date IS NULL THEN 1 END) FROM rc_sales
-UNION ALL SELECT 'sales', 'null_store', count(*), count(CASE WHEN store_id IS NULL THEN 1 END) FROM rc_sales
+       count(CASE WHEN quantity_sold < 0 THEN 1 END) AS n_failed FROM rc_raw_sales
+UNION ALL SELECT 'sales', 'zero_quantity', count(*), count(CASE WHEN quantity_sold = 0 THEN 1 END) FROM rc_raw_sales
+UNION ALL SELECT 'sales', 'negative_revenue', count(*), count(CASE WHEN revenue < 0 THEN 1 END) FROM rc_raw_sales
+UNION ALL SELECT 'sales', 'null_date', count(*), count(CASE WHEN date IS NULL THEN 1 END) FROM rc_raw_sales
+UNION ALL SELECT 'sales', 'unknown_store', count(*), count(CASE WHEN store_id = 'unknown' THEN 1 END) FROM rc_raw_sales
+UNION ALL SELECT 'sales', 'unknown_category', count(*), count(CASE WHEN category = 'unknown' THEN 1 END) FROM rc_raw_sales
 UNION ALL SELECT 'store_days', 'sales_out_of_range', count(*),
        count(CASE WHEN NOT (sales BETWEEN {_LO} AND {_HI}) THEN 1 END) FROM rc_store_days
 UNION ALL SELECT 'store_days', 'null_traffic', count(*), count(CASE WHEN customer_traffic IS NULL THEN 1 END)
        FROM rc_store_days"""))
 def q_value_checks(spark, sf_dir):
-    s = retail.sales(spark, sf_dir)
+    s = retail.sales(spark, sf_dir, every_line=True)  # before any line is dropped
     a = validate.value_checks(s, {"negative_quantity": F.col("quantity_sold") < 0,
+                                  "zero_quantity": F.col("quantity_sold") == 0,
                                   "negative_revenue": F.col("revenue") < 0,
                                   "null_date": F.col("date").isNull(),
-                                  "null_store": F.col("store_id").isNull()}, "sales")
+                                  "unknown_store": F.col("store_id") == retail.UNKNOWN,
+                                  "unknown_category": F.col("category") == retail.UNKNOWN}, "sales")
     sd = rollups.store_days(spark, sf_dir)
     b = validate.value_checks(sd, {**validate.range_checks(),
                                    "null_traffic": F.col("customer_traffic").isNull()}, "store_days")

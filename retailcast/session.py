@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -15,6 +14,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # The driver keeps a plan graph per SQL execution even with the UI off; wide
@@ -51,19 +51,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the operator and must be a shared
-    file system; only when nothing is configured (tests, a laptop) do we create
-    a local scratch folder.
+    file system; only a local master (tests, a laptop) may go without, and gets a
+    scratch folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="retailcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir
-
-
-def checkpoint_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for a materialised table."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,11 +61,11 @@ def write_weekly_snapshot(df: DataFrame, root: str, date_col: str = "date") -> N
 
 def write_small(df: DataFrame, path: str) -> None:
     """A small dimension table as a single file (callers guarantee the size)."""
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    df.repartition(1).write.mode("overwrite").parquet(path)
 
 
 def write_json_report(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.repartition(1).write.mode("overwrite").json(path)
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
@@ -72,7 +74,7 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
     Built from the listing only: one row per file is read, never file contents.
     """
     files = list_files(spark, root)
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + root.rstrip("/") + "/", "")
+    rel = F.regexp_replace(F.col("path"), r"^.*?" + re.escape(root.rstrip("/")) + "/", "")
     dataset = F.regexp_replace(F.split(rel, "/").getItem(0), r"\.parquet$", "")
     per = files.groupBy(dataset.alias("dataset")).agg(F.count(F.lit(1)).alias("n_files"),
                                                        F.sum("length").alias("total_bytes"))

@@ -20,11 +20,15 @@ from retailcast.sources.tables import read_table
 COST_RATIO = 0.7
 PROMOTION_MIN_DISCOUNT = 0.09
 PROMOTION_TYPE = "Discount"
+UNKNOWN = "unknown"
 # -----------------------------------------------------------------------------
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-level sales with the retail column names; keeps quantity > 0 only."""
+def sales(spark: SparkSession, sf_dir: str, every_line: bool = False) -> DataFrame:
+    """Line-level sales with the retail column names; keeps quantity > 0 unless ``every_line``.
+
+    A line whose supplier or part is not listed belongs to the store or category ``unknown``.
+    """
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"])
     sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
@@ -32,16 +36,17 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Dimension joins: Spark picks broadcast from file statistics when a side is
     # under spark.sql.autoBroadcastJoinThreshold and a shuffle join otherwise,
     # and AQE re-decides from the measured size at runtime.
-    joined = (li.join(sup, li.l_suppkey == sup.s_suppkey)
-                .join(part, li.l_partkey == part.p_partkey))
+    if not every_line:
+        li = li.where(F.col("l_quantity") > 0)
+    joined = (li.join(sup, li.l_suppkey == sup.s_suppkey, "left")
+                .join(part, li.l_partkey == part.p_partkey, "left"))
     revenue = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     cost = F.col("l_extendedprice") * F.lit(COST_RATIO)
     return (joined
-            .where(F.col("l_quantity") > 0)
             .select(F.to_date("l_shipdate").alias("date"),
-                    F.col("s_nationkey").cast("string").alias("store_id"),
+                    F.coalesce(F.col("s_nationkey").cast("string"), F.lit(UNKNOWN)).alias("store_id"),
                     F.col("l_partkey").cast("string").alias("product_id"),
-                    F.col("p_type").alias("category"),
+                    F.coalesce("p_type", F.lit(UNKNOWN)).alias("category"),
                     F.col("l_quantity").cast("long").alias("quantity_sold"),
                     F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"),
                     F.col("l_discount").alias("discount_percent"),
@@ -63,8 +68,8 @@ def customer_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily customer traffic per store (orders per customer nation and day)."""
     o = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderdate"])
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
-    t = (o.join(c, o.o_custkey == c.c_custkey)
+    t = (o.join(c, o.o_custkey == c.c_custkey, "left")
           .groupBy(F.to_date("o_orderdate").alias("date"),
-                   F.col("c_nationkey").cast("string").alias("store_id"))
+                   F.coalesce(F.col("c_nationkey").cast("string"), F.lit(UNKNOWN)).alias("store_id"))
           .agg(F.count(F.lit(1)).alias("customer_traffic")))
     return holiday_flag(t, "date", "is_holiday")

@@ -21,9 +21,20 @@ def test_holidays_2024_and_observed(spark):
     assert D(2024, 3, 1) not in h
 
 
-def test_holiday_dates_unique_over_all_years(spark):
-    h = cal.holiday_dimension(spark)
-    assert h.count() == h.select("date").distinct().count()
+# written out by hand: (dates that are holidays, dates that are none)
+@pytest.mark.parametrize("days, flag", [
+    (["1870-12-25", "1900-07-04", "1970-12-25", "1969-05-30", "1965-02-22", "1950-11-11", "1939-11-23", "1940-11-21",
+      "1938-11-24", "1975-10-27", "1993-12-24", "1994-12-26", "1999-12-31", "2004-12-31", "2010-12-31", "2022-06-20",
+      "2026-07-03", "2100-12-25", "2105-11-26", "2150-09-07"], 1),
+    (["1869-12-25", "1969-05-26", "1939-11-30", "1975-11-11", "1970-12-28", "1985-01-21", "2020-06-19", "2024-11-29",
+      "2100-12-26", "2023-12-26", "2024-10-28"], 0)])
+def test_holidays_by_rule_in_any_year(spark, days, flag):
+    df = spark.createDataFrame([(D.fromisoformat(x),) for x in days], "date date")
+    assert {str(r.date): r.is_holiday for r in cal.holiday_flag(df).collect()} == dict.fromkeys(days, flag)
+
+
+def test_null_date_is_no_holiday(spark):
+    assert cal.holiday_flag(spark.createDataFrame([(None,)], "date date")).first().is_holiday == 0
 
 
 def test_date_parts_and_cyclical(spark):

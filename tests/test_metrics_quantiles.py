@@ -133,3 +133,32 @@ def test_importance_summaries(spark):
     mat = report.importance_matrix(imp, 15).toPandas()
     assert len(mat) == 20 * 2
     assert mat.groupby("feature").normalized.max().between(0.99, 1.0).all()
+
+
+def test_quantiles_keep_null_groups_and_survive_skew(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    values = {"hot": np.concatenate([rng.normal(size=60_000), np.zeros(20_000), [1e9]]), None: rng.normal(size=7), "one": np.array([4.0])}
+    rows = [(g, float(x)) for g, v in values.items() for x in v] + [("hot", None), (None, None)]
+    got = {r.g: r for r in exact_quantiles(spark.createDataFrame(rows, "g string, x double"), "x", [0.0, 0.25, 0.5, 0.999, 1.0], ["g"]).collect()}
+    for g, v in values.items():
+        want = np.quantile(v, [0.0, 0.25, 0.5, 0.999, 1.0])
+        assert [got[g][f"q_{i}"] for i in range(5)] == pytest.approx(list(want), rel=1e-12, abs=1e-12)
+
+
+def test_alerts_compare_shares(spark):
+    long = spark.createDataFrame([("a", "mape", 12.0), ("a", "rmse", 2000.0), ("b", "mape", 25.0)], "model string, metric string, value double")
+    got = {(r.model, r.metric): r.alert for r in metrics.performance_alerts(long, {"rmse": 1000.0, "mape": 0.2}).collect()}
+    assert got == {("a", "mape"): False, ("a", "rmse"): True, ("b", "mape"): True}
+
+
+def test_normal_ppf_against_the_library(spark):
+    from statistics import NormalDist
+
+    from retailcast.operators.report import normal_ppf
+
+    ps = [1e-12, 1e-5, 0.01, 0.074, 0.075, 0.2, 0.5, 0.7, 0.926, 0.99, 1 - 1e-9]
+    df = spark.createDataFrame([(p,) for p in [*ps, 0.0, 1.0]], "p double")
+    got = [r[0] for r in df.select(normal_ppf(F.col("p"))).collect()]
+    assert got[:-2] == pytest.approx([NormalDist().inv_cdf(p) for p in ps], rel=1e-9) and got[-2:] == [None, None]

@@ -79,3 +79,40 @@ def test_label_codes_follow_string_order(spark):
     out = apply_label_codes(spark.createDataFrame([("zz",), ("new",)], "cat string"),
                             fit_label_codes(df, "cat"), "cat")
     assert sorted(r.cat for r in out.collect()) == [-1, codes["zz"]]
+
+
+def test_row_index_with_nulls_and_ties(spark):
+    rows = [("a", 1, 0), ("a", 1, 1), ("a", 1, 1), ("a", None, 5), ("a", 0, 9), (None, 2, 0), (None, None, 1), (None, 2, 1)]
+    df = spark.createDataFrame(rows, "g string, d int, v int")
+    got = row_index(df, ["d"], ["g"]).collect()
+    for g in ("a", None):
+        own = sorted((r[POS], r.d) for r in got if r.g == g)
+        assert [p for p, _ in own] == list(range(len(own)))
+        days = [d for _, d in own]
+        assert days == sorted(days, key=lambda d: (d is None, d or 0))  # nulls last
+    assert sorted(r[POS] for r in row_index(df, ["d"]).collect()) == list(range(len(rows)))
+
+
+def test_ungrouped_lag_with_repeated_dates(spark):
+    from retailcast.operators.features import lag_features
+
+    df = spark.createDataFrame([(i // 5, float(i)) for i in range(60)], "date int, x double")
+    out = lag_features(df, "x", None, "date", lags=(1, 3), chunk_rows=8).toPandas()
+    assert out["x_lag_1"].isna().sum() == 1 and out["x_lag_3"].isna().sum() == 3
+
+
+def test_label_codes_of_any_type_and_shared_prefix(spark):
+    from retailcast.operators.encode import fit_label_codes
+
+    df = spark.range(3000).selectExpr("concat('store_', lpad(id, 5, '0')) as s", "cast(id * 7 - 900 as int) as k").repartition(5)
+    for col in ("s", "k"):
+        codes = fit_label_codes(df, col).toPandas().sort_values(col)
+        assert list(codes[f"{col}_code"]) == list(range(3000))
+
+
+def test_range_cuts_are_even_whatever_the_values(spark):
+    from retailcast.operators.ordering import cut_bucket, range_cuts
+
+    df = spark.range(20_000).selectExpr("cast(id as double) as x").union(spark.createDataFrame([(1e12,)], "x double"))
+    per = df.groupBy(cut_bucket("x", range_cuts(df, "x", 32)).alias("b")).count().toPandas()
+    assert len(per) == 32 and per["count"].max() < 3 * 20_000 / 32
