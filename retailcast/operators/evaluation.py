@@ -34,6 +34,15 @@ def baseline_predictions(df: DataFrame, target: str = "sales", group_cols=("stor
              .where(F.col("prediction").isNotNull()))
 
 
+def join_actuals(actuals: DataFrame, preds: DataFrame, keys=("date", "store_id"), target: str = "sales") -> DataFrame:
+    """Predictions with the ``actual`` of their keys; predictions of unknown keys are left out.
+
+    ``keys`` must name one row of ``actuals`` each, or rows multiply.
+    """
+    own = actuals.select(*keys, F.col(target).alias("actual"))
+    return preds.drop("actual").join(own, list(keys))
+
+
 def ensemble_weights(val_metrics: DataFrame, min_weight: float = MIN_ENSEMBLE_WEIGHT) -> DataFrame:
     """Weights from validation R^2: max(min_weight, r2_i / sum r2), renormalised.
 

@@ -7,11 +7,13 @@ Training data are the store-day feature rows; fitting runs on executors
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from retailcast.config import (CONFIDENCE_LEVELS, FEATURE_IMPORTANCE_THRESHOLD, FOREST_PARAMS, GBT_PARAMS,
                                PREDICTION_HORIZON)
@@ -26,20 +28,63 @@ FEATURES = "features"
 TREE_MEMORY_MB = 64
 
 
+@dataclass
+class Preprocessor:
+    """Label codes and scaling statistics fitted on training rows, as tables that can be written and read.
+
+    ``codes``: (column, value, code), ``stats``: (column, mean, std), one row per class or column.
+    """
+
+    codes: DataFrame
+    stats: DataFrame
+    names: list[str]
+    categorical: tuple[str, ...]
+
+    @classmethod
+    def fit(cls, train: DataFrame, target: str, exclude=("date", "split", "row_index"), categorical=("store_id",)) -> Preprocessor:
+        tables = [encode.fit_label_codes(train, c).select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"),
+                                                          F.col(f"{c}_code").alias("code")) for c in categorical]
+        codes = materialize(reduce(DataFrame.unionByName, tables)) if tables else \
+            train.sparkSession.createDataFrame([], "column string, value string, code int")
+        coded = cls(codes, None, [], tuple(categorical))._coded(train)
+        names = [c for c in numeric_columns(coded) if c != target and c not in exclude]
+        wide = coded.agg(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in names])
+        stats = wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), f"{c}.mean", f"{c}.std") for c in names])).alias("s"))
+        return cls(codes, materialize(stats.select("s.*")), names, tuple(categorical))
+
+    def _coded(self, df: DataFrame) -> DataFrame:
+        for c in self.categorical:
+            own = self.codes.where(F.col("column") == c).select(F.col("value").alias("__v"), F.col("code").alias(f"{c}_enc"))
+            df = df.join(own, F.col(c).cast("string") == F.col("__v"), "left").drop("__v")
+            df = df.withColumn(f"{c}_enc", F.coalesce(f"{c}_enc", F.lit(-1)))  # unseen when fitted
+        return df
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Add the vector column of coded and scaled features; null features stay NaN in it."""
+        stats = {r["column"]: (r["mean"], r["std"] or 1.0) for r in self.stats.collect()}  # one row per feature
+        scaled = {c: (F.col(c).cast("double") - stats[c][0]) / stats[c][1] for c in self.names if stats[c][0] is not None}
+        return VectorAssembler(inputCols=self.names, outputCol=FEATURES, handleInvalid="keep").transform(self._coded(df).withColumns(scaled))
+
+    def save(self, root: str) -> None:
+        self.codes.write.mode("overwrite").parquet(f"{root}/codes")
+        self.stats.write.mode("overwrite").parquet(f"{root}/stats")
+        spark = self.codes.sparkSession
+        rows = [("feature", i, n) for i, n in enumerate(self.names)] + [("categorical", i, n) for i, n in enumerate(self.categorical)]
+        spark.createDataFrame(rows, "kind string, place int, name string").write.mode("overwrite").parquet(f"{root}/columns")
+
+    @classmethod
+    def load(cls, spark: SparkSession, root: str) -> Preprocessor:
+        columns = spark.read.parquet(f"{root}/columns").orderBy("place").collect()
+        kind = lambda k: [r["name"] for r in columns if r["kind"] == k]
+        return cls(spark.read.parquet(f"{root}/codes"), spark.read.parquet(f"{root}/stats"), kind("feature"), tuple(kind("categorical")))
+
+
 def prepare_matrix(df: DataFrame, target: str, exclude=("date", "split", "row_index"),
                    categorical=("store_id",)) -> tuple[DataFrame, list[str]]:
     """Label-encode categoricals (fitted on train), scale numerics (train mean / population std),
     assemble a vector column.  Returns (frame with ``features``, feature names)."""
-    train = df.where(F.col("split") == "train")
-    out = df
-    for c in categorical:
-        codes = encode.fit_label_codes(train, c)
-        out = encode.apply_label_codes(out, codes, c, replace=False).withColumnRenamed(f"{c}_code", f"{c}_enc")
-    num = [c for c in numeric_columns(out) if c != target and c not in exclude]
-    scale = encode.fit_scaler(out.where(F.col("split") == "train"), num)
-    out = scale(out)
-    assembled = VectorAssembler(inputCols=num, outputCol=FEATURES, handleInvalid="keep").transform(out)
-    return assembled, num
+    p = Preprocessor.fit(df.where(F.col("split") == "train"), target, exclude, categorical)
+    return p.apply(df), p.names
 
 
 def fit_boosted(train_val: DataFrame, target: str, params: dict | None = None):
@@ -79,7 +124,9 @@ def train_all(feature_split: DataFrame, target: str = "sales", gbt_params: dict
     spark = feature_split.sparkSession
     # checkpoint first: the encoders' statistics are scalar subqueries over this frame,
     # and they must reference a short plan, not the whole feature build
-    mat, names = prepare_matrix(materialize(feature_split), target)
+    rows = materialize(feature_split)
+    prepared = Preprocessor.fit(rows.where(F.col("split") == "train"), target)
+    mat, names = prepared.apply(rows), prepared.names
     # keep only what fitting and prediction read: keys, label, split and the vector
     mat = materialize(mat.select("date", "store_id", "split", target, FEATURES,
                                  (F.col("split") == "validation").alias("is_val")))
@@ -96,7 +143,34 @@ def train_all(feature_split: DataFrame, target: str = "sales", gbt_params: dict
         importances(spark, forest, names, "random_forest"))
     return {"predictions": all_preds, "metrics": metrics.model_metrics(all_preds), "weights": weights,
             "importances": imps, "models": {"boosted_trees": gbt, "random_forest": forest},
-            "feature_names": names}
+            "feature_names": names, "preprocessor": prepared}
+
+
+_LEARNERS = {"boosted_trees": GBTRegressionModel, "random_forest": RandomForestRegressionModel}
+
+
+def save_bundle(result: dict, root: str) -> None:
+    """Write what ``train_all`` returned: models, preprocessor, ensemble weights and importances."""
+    for name, model in result["models"].items():
+        model.write().overwrite().save(f"{root}/models/{name}")
+    result["preprocessor"].save(f"{root}/preprocessor")
+    result["weights"].write.mode("overwrite").parquet(f"{root}/weights")
+    result["importances"].write.mode("overwrite").parquet(f"{root}/importances")
+
+
+def load_bundle(spark: SparkSession, root: str) -> dict:
+    """Read back what ``save_bundle`` wrote."""
+    return {"models": {name: kind.load(f"{root}/models/{name}") for name, kind in _LEARNERS.items()},
+            "preprocessor": Preprocessor.load(spark, f"{root}/preprocessor"),
+            "weights": spark.read.parquet(f"{root}/weights"), "importances": spark.read.parquet(f"{root}/importances")}
+
+
+def predict_bundle(bundle: dict, df: DataFrame, target: str, keys=("date", "store_id", "split")) -> DataFrame:
+    """Predictions of every model of a bundle and of the weighted ensemble, long form."""
+    mat = bundle["preprocessor"].apply(df)
+    parts = [predict_long(m, mat, name, target, keys) for name, m in bundle["models"].items()]
+    preds = reduce(DataFrame.unionByName, parts)
+    return preds.unionByName(evaluation.ensemble_predictions(preds, bundle["weights"], list(keys)))
 
 
 def select_features(feature_split: DataFrame, target: str = "sales",
@@ -127,28 +201,66 @@ def prediction_intervals(preds: DataFrame, levels=CONFIDENCE_LEVELS, keys=("stor
     return test.withColumns(cols).drop(*[f"q_{i}" for i in range(len(probs))])
 
 
-def recursive_forecast(history: DataFrame, target: str = "sales", group_col: str = "store_id",
-                       date_col: str = "date", horizon: int = PREDICTION_HORIZON, window: int = 7) -> DataFrame:
-    """Forecast ``horizon`` days ahead per group, feeding each forecast back as history.
+def _tail(history: DataFrame, target: str, group_col: str, date_col: str, rows: int) -> DataFrame:
+    """(group, last date, its last ``rows`` values, oldest first): one row per group."""
+    w = Window.partitionBy(group_col).orderBy(F.desc(date_col))
+    last = history.select(group_col, date_col, F.col(target).cast("double").alias("__v")) \
+                  .withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= rows)
+    return last.groupBy(group_col).agg(F.max(date_col).alias(date_col),
+                                       F.transform(F.array_sort(F.collect_list(F.struct(-F.col("__rn"), "__v"))),
+                                                   lambda x: x["__v"]).alias("__tail"))
+
 
-    The step model is the trailing mean of the last ``window`` values.  Only the
-    last ``window`` rows of every group take part in a step (a bounded tail per
-    group), and each step is checkpointed, so lineage stays one step long.
-    Output: (group, date, step, prediction).
+def trailing_mean_forecast(history: DataFrame, target: str = "sales", group_col: str = "store_id",
+                           date_col: str = "date", horizon: int = PREDICTION_HORIZON, window: int = 7) -> DataFrame:
+    """Forecast ``horizon`` days ahead per group: the mean of the last ``window`` values, each forecast
+    fed back as history.  (group, date, step, prediction).
+
+    A group's tail is an array of ``window`` values at most, and the steps fold over it in one expression.
     """
-    w = Window.partitionBy(group_col).orderBy(F.desc(date_col))
-    tail = (history.select(group_col, date_col, F.col(target).cast("double").alias("value"))
-                   .withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= window).drop("__rn")
-                   .withColumn("step", F.lit(0)))
-    tail = materialize(tail)
-    out = None
+    mean = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a)
+    start = F.struct(F.col("__tail").alias("tail"), F.array().cast("array<double>").alias("out"))
+
+    def step(s, _):
+        m = mean(s["tail"])
+        grown = F.concat(s["tail"], F.array(m))
+        return F.struct(F.when(F.size(grown) > window, F.slice(grown, 2, window)).otherwise(grown).alias("tail"),
+                        F.concat(s["out"], F.array(m)).alias("out"))
+
+    fold = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step, lambda s: s["out"])
+    rows = _tail(history, target, group_col, date_col, window).select(group_col, date_col, F.posexplode(fold).alias("__i", "prediction"))
+    return rows.select(group_col, F.date_add(date_col, F.col("__i") + 1).alias(date_col), (F.col("__i") + 1).alias("step"), "prediction")
+
+
+LAG_FEATURES = ("lag_1", "lag_2", "lag_3", "lag_7", "mean_3", "mean_7", "day_of_week", "month")
+
+
+def _lag_matrix(rows: DataFrame, date_col: str) -> DataFrame:
+    """Vector of LAG_FEATURES from ``__tail`` (the values before ``date_col``, oldest first)."""
+    at = lambda k: F.try_element_at("__tail", F.lit(-k))
+    mean = lambda k: F.aggregate(F.slice("__tail", -k, k), F.lit(0.0), lambda s, x: s + x) / k
+    columns = dict(zip(LAG_FEATURES, (at(1), at(2), at(3), at(7), mean(3), mean(7), F.weekday(date_col), F.month(date_col))))
+    return VectorAssembler(inputCols=list(LAG_FEATURES), outputCol=FEATURES).transform(
+        rows.where(F.size("__tail") >= 7).withColumns({n: c.cast("double") for n, c in columns.items()}))
+
+
+def recursive_forecast(history: DataFrame, target: str = "sales", group_col: str = "store_id",
+                       date_col: str = "date", horizon: int = PREDICTION_HORIZON, params: dict | None = None) -> DataFrame:
+    """Forecast ``horizon`` days ahead per group with a random forest fitted on lag features of ``history``,
+    each prediction fed back as the next step's history.  (group, date, step, prediction); groups of less
+    than seven rows are left out.  A step works on one row per group; every tenth step cuts the lineage.
+    """
+    w = Window.partitionBy(group_col).orderBy(date_col).rowsBetween(-7, -1)
+    past = history.select(group_col, date_col, F.col(target).cast("double").alias("label")) \
+                  .withColumn("__tail", F.collect_list("label").over(w))
+    model = fit_forest(materialize(_lag_matrix(past, date_col).select(FEATURES, "label")), "label", {**FOREST_PARAMS, **(params or {})})
+    state = materialize(_tail(history, target, group_col, date_col, 7))
+    parts = []
     for step in range(1, horizon + 1):
-        nxt = tail.groupBy(group_col).agg(F.date_add(F.max(date_col), 1).alias(date_col),
-                                          F.avg("value").alias("value")).withColumn("step", F.lit(step))
-        # keep the newest window-1 rows plus the new forecast
-        keep = (tail.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= window - 1)
-                    .drop("__rn"))
-        tail = materialize(keep.unionByName(nxt))
-        out = nxt if out is None else out.unionByName(nxt)
-        out = materialize(out) if step % 10 == 0 else out
-    return out.select(group_col, date_col, "step", F.col("value").alias("prediction"))
+        ahead = _lag_matrix(state.withColumn(date_col, F.date_add(date_col, 1)), date_col)
+        done = model.transform(ahead)
+        state = done.select(group_col, date_col, F.concat(F.slice("__tail", 2, 6), F.array("prediction")).alias("__tail"))
+        if step % 10 == 0:
+            state = materialize(state)
+        parts.append(done.select(group_col, date_col, F.lit(step).alias("step"), "prediction"))
+    return reduce(DataFrame.unionByName, parts)

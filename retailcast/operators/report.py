@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retailcast.config import IQR_MULTIPLIER, THIN_POINTS, TOP_FEATURES_PER_MODEL
+from retailcast.config import IQR_MULTIPLIER, STABILITY_WINDOW, THIN_POINTS, TOP_FEATURES_PER_MODEL
+from retailcast.operators import metrics
 from retailcast.operators.ordering import POS, cut_bucket, null_safe, range_cuts, row_index, thin_evenly
 from retailcast.operators.quantiles import exact_quantiles
 
@@ -154,3 +155,34 @@ def importance_matrix(importances: DataFrame, n: int = TOP_FEATURES_PER_MODEL, e
                .withColumn("importance", F.coalesce("importance", F.lit(0.0)))
     mx = F.max("importance").over(Window.partitionBy("feature"))
     return vals.select("feature", "model", (F.col("importance") / (mx + eps)).alias("normalized"))
+
+
+def performance_report(preds: DataFrame) -> DataFrame:
+    """One row per model: test rows, first and last date, error metrics, average rank."""
+    test = preds.where(F.col("split") == "test")
+    m = metrics.model_metrics(test, by=("model",))
+    rank = metrics.average_rank(metrics.to_long(m))
+    span = test.groupBy("model").agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    return m.join(rank, "model").join(span, "model")
+
+
+def comparison_bundle(preds: DataFrame, importance: DataFrame | None = None, window: int = STABILITY_WINDOW,
+                      keys=("store_id",)) -> dict[str, DataFrame]:
+    """The data of a model comparison, frame by frame, on test predictions.
+
+    Stability comes only if the test set has more than 2 * ``window`` rows (one count).
+    """
+    test = preds.where(F.col("split") == "test")
+    res = residuals(test)
+    long = metrics.to_long(metrics.model_metrics(test, by=("model",)))
+    out = {"metrics": long, "best": metrics.best_per_metric(long), "ranks": metrics.average_rank(long),
+           "scores": metrics.normalized_scores(long), "histogram": density_histogram(res, "residual"),
+           "box": box_statistics(res, "residual"), "scale_location": scale_location(test), "qq": qq_points(test),
+           "series": thinned_series(test)}
+    if test.count() > 2 * window:
+        rolling = metrics.rolling_metrics(test, keys, "date", window)
+        out |= {"rolling": rolling, "stability": metrics.stability_scores(rolling)}
+    if importance is not None:
+        out |= {"top_features": top_features(importance), "consistency": feature_consistency(importance),
+                "importance_matrix": importance_matrix(importance)}
+    return out

@@ -44,8 +44,22 @@ def range_checks(ranges=VALUE_RANGES) -> dict[str, F.Column]:
     return {f"{c}_out_of_range": ~F.col(c).between(lo, hi) for c, (lo, hi) in ranges.items()}
 
 
-def per_file_checks(df: DataFrame, quantity: str = "quantity_sold", revenue: str = "revenue") -> DataFrame:
-    """Per source file: rows, min quantity / revenue and negative counts."""
+def per_file_checks(df: DataFrame, quantity: str = "quantity_sold", revenue: str = "revenue",
+                    listed: DataFrame | None = None) -> DataFrame:
+    """Per source file: rows, min quantity / revenue and negative counts.
+
+    ``df`` reads the files directly.  A file of ``listed`` (column ``path``) that gave no row is
+    returned with 0 rows.
+    """
+    per = _per_file(df, quantity, revenue)
+    if listed is None:
+        return per
+    names = listed.select(_norm_path("path").alias("file")).distinct()
+    rows = per.withColumn("file", _norm_path("file"))
+    return names.join(rows, "file", "left").fillna(0, ["rows", "negative_quantity", "negative_revenue"])
+
+
+def _per_file(df: DataFrame, quantity: str, revenue: str) -> DataFrame:
     return df.groupBy(F.input_file_name().alias("file")).agg(
         F.count(F.lit(1)).alias("rows"), F.min(quantity).alias("min_quantity"), F.min(revenue).alias("min_revenue"),
         F.count_if(F.col(quantity) < 0).alias("negative_quantity"),

@@ -9,7 +9,7 @@ from retailcast.operators import drift, features as feat, report, rollups, split
 from retailcast.plans import sql_features as sqlf
 from retailcast.plans.oracle_sql import with_fixtures
 from retailcast.plans.queries_eval import EVAL_CTES, SPLIT_CTES, all_predictions, store_split
-from retailcast.plans.registry import present, register, rnd
+from retailcast.plans.registry import present, register, rnd, rounded
 
 _BASE_MODELS = ("naive_lag_1", "naive_lag_7", "trailing_mean_7")
 
@@ -148,9 +148,36 @@ def q_scale_location(spark, sf_dir):
                     F.round(F.col("scale_location") + 1e-8, 6).alias("scale_location"))
 
 
-@register("qq_points")
+def _ratio_sql(x: str, coefficients) -> str:
+    def poly(c):
+        out = repr(c[-1])
+        for k in reversed(c[:-1]):
+            out = f"({out} * {x} + {k!r}::DOUBLE)"
+        return out.replace(repr(c[-1]), f"{c[-1]!r}::DOUBLE", 1)
+    return f"({poly(coefficients[0])} / {poly(coefficients[1])})"
+
+
+_QQ_SQL = f"""
+WITH_T AS (
+  SELECT model, residual, row_number() OVER (PARTITION BY model ORDER BY residual) - 1 AS rank,
+         row_number() OVER (PARTITION BY model ORDER BY residual) / (count(*) OVER (PARTITION BY model) + 1)::DOUBLE AS p
+  FROM (SELECT model, actual - prediction AS residual FROM rc_all_preds WHERE split = 'test') WHERE residual IS NOT NULL),
+rc_qr AS (SELECT *, p - 0.5 AS q, sqrt(-ln(least(p, 1 - p))) AS r FROM WITH_T),
+rc_qt AS (
+  SELECT model, rank, residual, CASE WHEN abs(q) <= 0.425 THEN q * {_ratio_sql('(0.180625 - q * q)', report.PPF_CENTRE)}
+         ELSE sign(q) * CASE WHEN r <= 5 THEN {_ratio_sql('(r - 1.6)', report.PPF_MIDDLE)}
+                        ELSE {_ratio_sql('(r - 5)', report.PPF_TAIL)} END END AS theoretical FROM rc_qr),
+rc_ql AS (SELECT model, regr_slope(residual, theoretical) AS slope, regr_intercept(residual, theoretical) AS intercept
+          FROM rc_qt GROUP BY model)""".replace("WITH_T", "rc_qp")
+
+
+@register("qq_points", with_fixtures(f"""
+SELECT model, rank, {rnd('theoretical', 6)} AS theoretical, {rnd('residual', 3)} AS residual, {rnd('slope', 3)} AS slope,
+       {rnd('intercept', 3)} AS intercept FROM rc_qt JOIN rc_ql USING (model)""", EVAL_CTES + "," + _QQ_SQL))
 def q_qq_points(spark, sf_dir):
-    return report.qq_points(test_preds(spark, sf_dir))
+    q = report.qq_points(test_preds(spark, sf_dir))
+    return q.select("model", "rank", rounded("theoretical", 6).alias("theoretical"), rounded("residual", 3).alias("residual"),
+                    rounded("slope", 3).alias("slope"), rounded("intercept", 3).alias("intercept"))
 
 
 @register("thinned_series", with_fixtures(f"""

@@ -3,12 +3,15 @@ calendar-derived frames, trained models and recursive forecasts."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from retailcast.config import VALUE_RANGES
 from retailcast.functions import calendar as cal
 from retailcast.operators import diagnostics as diag
-from retailcast.operators import evaluation, ledger, metrics, models, rollups, validate
+from retailcast.operators import encode, evaluation, ledger, metrics, models, report, rollups, validate
+from retailcast.operators.features import materialize
 from retailcast.plans import sql_features as sqlf
 from retailcast.plans.oracle_sql import with_fixtures
 from retailcast.plans.queries_diag import FEAT_CTES, _corr_sql, feature_frame, feature_split
@@ -16,6 +19,7 @@ from retailcast.plans.queries_eval import (EVAL_CTES, SPLIT_CTES, all_prediction
                                           test_metrics_long)
 from retailcast.plans.registry import present, register, rnd, rounded
 from retailcast.sources import files, retail
+from retailcast.session import ensure_checkpoint_dir
 from retailcast.sources.tables import read_table
 
 _LO, _HI = VALUE_RANGES["sales"]
@@ -247,5 +251,116 @@ def q_model_importances(spark, sf_dir):
 
 @register("recursive_forecast")
 def q_recursive_forecast(spark, sf_dir):
-    sd = rollups.store_days(spark, sf_dir).select("date", "store_id", "sales")
+    sd = rollups.store_days(spark, sf_dir, checkpoint=True).select("date", "store_id", "sales")
     return models.recursive_forecast(sd)
+
+
+@register("trailing_mean_forecast", with_fixtures(f"""
+SELECT store_id, date, step, {rnd('prediction', 3)} AS prediction FROM rc_steps WHERE step > 0""", """
+rc_steps AS (
+  WITH RECURSIVE r AS (
+    SELECT store_id, max(date) AS date, 0 AS step, list(sales ORDER BY date) AS tail, CAST(NULL AS DOUBLE) AS prediction
+    FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY date DESC) AS rn FROM rc_store_days)
+    WHERE rn <= 7 GROUP BY store_id
+    UNION ALL
+    SELECT store_id, date + 1, step + 1, list_append(CASE WHEN len(tail) >= 7 THEN tail[2:] ELSE tail END, list_avg(tail)), list_avg(tail)
+    FROM r WHERE step < 30)
+  SELECT * FROM r)"""))
+def q_trailing_mean_forecast(spark, sf_dir):
+    sd = rollups.store_days(spark, sf_dir).select("date", "store_id", "sales")
+    return present(models.trailing_mean_forecast(sd), 3)
+
+
+# ------------------------------------------------- counts, reports, files --
+@register("category_counts", with_fixtures("SELECT category, count(*) AS count FROM rc_sales GROUP BY category"))
+def q_category_counts(spark, sf_dir):
+    return encode.value_counts(retail.sales(spark, sf_dir), "category")
+
+
+@register("category_means", with_fixtures(
+    f"SELECT category, {rnd('avg(revenue)', 4)} AS mean_revenue FROM rc_sales GROUP BY category"))
+def q_category_means(spark, sf_dir):
+    return present(encode.mean_by(retail.sales(spark, sf_dir), "category", "revenue"), 4)
+
+
+@register("joined_actuals", with_fixtures(f"""
+SELECT p.model, p.date, p.store_id, {rnd('p.prediction', 3)} AS prediction, {rnd('s.sales', 3)} AS actual
+FROM rc_all_preds p JOIN rc_store_days s ON s.date = p.date AND s.store_id = p.store_id WHERE split = 'test'""", EVAL_CTES))
+def q_joined_actuals(spark, sf_dir):
+    preds = all_predictions(spark, sf_dir).where(F.col("split") == "test").select("model", "date", "store_id", "prediction")
+    out = evaluation.join_actuals(rollups.store_days(spark, sf_dir), preds)
+    return present(out.select("model", "date", "store_id", "prediction", "actual"), 3)
+
+
+@register("performance_report", with_fixtures(f"""
+SELECT m.model, {rnd('m.rmse', 3)} AS rmse, {rnd('m.mae', 3)} AS mae, {rnd('m.mape', 6)} AS mape, {rnd('m.r2', 6)} AS r2, m.n,
+       r.average_rank, s.first_date, s.last_date
+FROM rc_test_metrics m
+JOIN (SELECT model, sum(rk) / 4.0 AS average_rank FROM (
+        SELECT model, rank() OVER (PARTITION BY metric ORDER BY CASE WHEN metric = 'r2' THEN -value ELSE value END) AS rk
+        FROM rc_test_long) GROUP BY model) r USING (model)
+JOIN (SELECT model, min(date) AS first_date, max(date) AS last_date FROM rc_all_preds WHERE split = 'test' GROUP BY model) s
+  USING (model)""", EVAL_CTES))
+def q_performance_report(spark, sf_dir):
+    r = report.performance_report(all_predictions(spark, sf_dir))
+    return r.select("model", rounded("rmse", 3).alias("rmse"), rounded("mae", 3).alias("mae"), rounded("mape", 6).alias("mape"),
+                    rounded("r2", 6).alias("r2"), "n", "average_rank", "first_date", "last_date")
+
+
+@register("line_file_checks", """
+SELECT 'lineitem.parquet' AS file, count(*) AS rows, min(l_quantity) AS min_quantity, min(l_extendedprice) AS min_revenue,
+       count(CASE WHEN l_quantity < 0 THEN 1 END) AS negative_quantity,
+       count(CASE WHEN l_extendedprice < 0 THEN 1 END) AS negative_revenue FROM lineitem""")
+def q_line_file_checks(spark, sf_dir):
+    lines = read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
+    per = validate.per_file_checks(lines, "l_quantity", "l_extendedprice")
+    return per.withColumn("file", F.element_at(F.split("file", "/"), -1))
+
+
+def _fresh(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("partitioned_round_trip", with_fixtures(f"""
+SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n, {rnd('sum(sales)', 2)} AS sales
+FROM rc_store_days GROUP BY 1, 2"""))
+def q_partitioned_round_trip(spark, sf_dir):
+    """Store-days written to folders by year and month, then read back."""
+    root = _fresh(spark, "daily")
+    files.write_partitioned(rollups.store_days(spark, sf_dir), root, by=("year", "month"))
+    back = files.require_rows(spark.read.parquet(root), root)
+    return back.groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), rounded(F.sum("sales"), 2).alias("sales"))
+
+
+@register("weekly_snapshot", with_fixtures(f"""
+SELECT CAST(year(date) AS INTEGER) AS year, CAST(weekofyear(date) AS INTEGER) AS week, count(*) AS n, {rnd('sum(sales)', 2)} AS sales
+FROM rc_store_days WHERE isodow(date) = 7 GROUP BY 1, 2"""))
+def q_weekly_snapshot(spark, sf_dir):
+    """The Sundays of the store-days written by year and week, then read back."""
+    root = _fresh(spark, "weekly")
+    files.write_weekly_snapshot(rollups.store_days(spark, sf_dir), root)
+    return spark.read.parquet(root).groupBy("year", "week").agg(F.count(F.lit(1)).alias("n"), rounded(F.sum("sales"), 2).alias("sales"))
+
+
+def _logged_runs(spark, sf_dir):
+    """A ledger with one run per model, its test metrics as keys."""
+    root = _fresh(spark, "ledger")
+    long = materialize(test_metrics_long(spark, sf_dir))
+    for model in (*evaluation.BASELINES, "ensemble"):
+        ledger.log_run(spark, root, model, {"model": model}, long.where(F.col("model") == model).select(F.col("metric").alias("key"), "value"))
+    return root
+
+
+@register("ledger_run_view", with_fixtures(
+    "SELECT model AS run_id, " + ", ".join(f"{rnd(f'max(CASE WHEN metric = {chr(39)}{k}{chr(39)} THEN value END)', 6)} AS {k}"
+                                           for k in ("rmse", "mae", "mape", "r2")) + " FROM rc_test_long GROUP BY model", EVAL_CTES))
+def q_ledger_run_view(spark, sf_dir):
+    return present(ledger.run_view(spark, _logged_runs(spark, sf_dir), ["rmse", "mae", "mape", "r2"]), 6)
+
+
+@register("ledger_best_run", with_fixtures(f"""
+SELECT model AS run_id, 'rmse' AS key, {rnd('value', 6)} AS value FROM rc_test_long WHERE metric = 'rmse'
+ORDER BY rc_test_long.value, model LIMIT 1""", EVAL_CTES))
+def q_ledger_best_run(spark, sf_dir):
+    return present(ledger.best_run(spark, _logged_runs(spark, sf_dir), "rmse").select("run_id", "key", "value"), 6)

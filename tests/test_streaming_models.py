@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +44,15 @@ def test_models_train_and_beat_floor(spark):
     assert sum(w.values()) == pytest.approx(1.0) and min(w.values()) >= 0.2 / 1.2 - 1e-9
     imp = res["importances"].where("model = 'boosted_trees'").agg(F.sum("importance")).first()[0]
     assert imp == pytest.approx(1.0, abs=1e-6)
+    # what is written and read back predicts the same
+    root = tempfile.mkdtemp(prefix="rc-models-")
+    models.save_bundle(res, root)
+    test = feature_split(spark, SF_SMALL).where("split = 'test'")
+    key = ["model", "date", "store_id"]
+    again = models.predict_bundle(models.load_bundle(spark, root), test, "sales")
+    both = res["predictions"].where("split = 'test'").join(again.select(*key, F.col("prediction").alias("again")), key)
+    assert both.count() == again.count() > 0
+    assert both.where(F.abs(F.col("prediction") - F.col("again")) > 1e-6 * F.abs("prediction")).count() == 0
 
 
 def test_prediction_intervals_and_recursive_forecast(spark):
@@ -55,3 +65,26 @@ def test_prediction_intervals_and_recursive_forecast(spark):
     fc = models.recursive_forecast(sd, horizon=3).toPandas()
     assert set(fc.step) == {1, 2, 3}
     assert fc.groupby("store_id").size().eq(3).all()
+    again = models.recursive_forecast(sd, horizon=3).toPandas()
+    assert fc.sort_values(["store_id", "step"]).prediction.tolist() == again.sort_values(["store_id", "step"]).prediction.tolist()
+
+
+def test_trailing_mean_by_hand(spark):
+    df = spark.createDataFrame([("a", dt.date(2024, 1, k), float(k)) for k in range(1, 10)] + [("b", dt.date(2024, 1, 1), 5.0)],
+                               "store_id string, date date, sales double")
+    got = {(r.store_id, r.step): (r.date, r.prediction) for r in models.trailing_mean_forecast(df, horizon=3).collect()}
+    tail, want = [float(k) for k in range(3, 10)], []
+    for _ in range(3):
+        want.append(sum(tail) / 7)
+        tail = tail[1:] + [want[-1]]
+    assert [got["a", k][1] for k in (1, 2, 3)] == pytest.approx(want) and got["a", 3][0] == dt.date(2024, 1, 12)
+    assert [got["b", k][1] for k in (1, 2, 3)] == [5.0] * 3
+
+
+def test_comparison_bundle_leaves_stability_out_of_short_tests(spark):
+    from retailcast.operators import report
+
+    rows = [(m, dt.date(2024, 1, 1) + dt.timedelta(days=i), "s", "test", 10.0 + i % 5, 10.0 + i % 3) for m in ("x", "y") for i in range(20)]
+    preds = spark.createDataFrame(rows, "model string, date date, store_id string, split string, actual double, prediction double")
+    short, long = report.comparison_bundle(preds, window=30), report.comparison_bundle(preds, window=5)
+    assert "stability" not in short and long["stability"].count() == 2 and long["qq"].count() == 40
