@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from retailcast.llm.common import batch_of, filter_rows, hashed_ngrams, slices, text_bytes
 
 ORDER, BITS = 3, 16
-THRESHOLD = -0.25  # nats per n-gram below the raw corpus; ordinary text scores near 0, noise below -0.5
+THRESHOLD = -0.6  # nats per n-gram below the raw corpus; trusted text scores above -0.3 even in small tables, noise below -1
 MOST_TRUSTED = 20_000  # trusted documents that the target is fitted on, at most
 MIN_WORDS, MOST_REPEAT_PERCENT = 50, 50
 SYMBOLS = b"#*$%&|<>"
