@@ -91,7 +91,7 @@ class Forest:
 
 KINDS = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
          "boolean": pa.bool_()}
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 
 def batch_of(schema: str, rows: list[tuple]) -> pa.RecordBatch:

@@ -60,8 +60,9 @@ def _cut(path: str | None, end_id: int, max_len: int):
         for batch in batches:
             for some in slices(batch):
                 rows = []
-                for row, doc_id, text in zip(*columns_of(some, "row_id", "doc_id", "text")):
-                    ids = e.encode(text or "") + end
+                row_ids, doc_ids, texts = columns_of(some, "row_id", "doc_id", "text")
+                for row, doc_id, ids in zip(row_ids, doc_ids, e.encode_many([t or "" for t in texts])):
+                    ids += end
                     for at in range(0, len(ids), 4 * max_len):
                         part = ids[at:at + 4 * max_len]
                         rows.append((row, doc_id, at // 4, len(part) // 4, len(ids) // 4, part, zlib.crc32(part)))

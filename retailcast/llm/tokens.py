@@ -8,15 +8,26 @@ Texts in which white space comes in any other form are cut only where the rule h
 
 from __future__ import annotations
 
+import codecs
 import functools
 import os
 import re
 from array import array
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # A space between two characters that are no white space
 CUT = re.compile(r"(?<=\S) (?=\S)")
-ASCII_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-WORDS_KEPT = 200_000  # words in each of the two generations that a worker remembers
+LATIN = "[A-Za-zªµºÀ-ÖØ-öø-ɏ]"
+# Latin letters, perhaps ASCII marks after them (no apostrophe: it may begin a piece)
+RUN = rf"^\n?{LATIN}+[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{{|}}~]*$"
+LETTER, MARK = (np.isin(np.arange(256), list(chars)) for chars in (
+    b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"))
+MOST_MARKS = 8  # after a run of letters; words with more are encoded on their own
+TEXT_AT_ONCE = 4 << 20  # characters cut into words at a time
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -35,69 +46,135 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, equal to Tokenizer.encode's."""
 
-    def __init__(self, path: str | None = None, words_kept: int = WORDS_KEPT):
+    def __init__(self, path: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         # words can be joined only under a plain byte-level model; any other file is used whole
         pre = self.tokenizer.pre_tokenizer
-        self.by_word = isinstance(pre, ByteLevel) and pre.use_regex and not pre.add_prefix_space and self.tokenizer.normalizer is None \
-            and self.tokenizer.post_processor is None
-        self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.space, self.line = self.letters[32], self.plain("\n")
-        self.kept, self.young, self.old = words_kept, {}, {}
+        self.by_word = isinstance(pre, ByteLevel) and pre.use_regex and not pre.add_prefix_space and \
+            self.tokenizer.normalizer is None and self.tokenizer.post_processor is None and len(self.plain("\n")) == 4
+        if not self.by_word:
+            return
+        # the same model on pieces that are in byte letters already and parted by spaces; in the
+        # table byte 1 stands for the space before a word
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = WhitespaceSplit()
+        letters = _byte_letters()
+        self.table = "".join(" " if b == 32 else letters[32] if b == 1 else letters[b] for b in range(256))
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
+        self.line = np.frombuffer(self.plain("\n"), "<u4")[0]
 
     def plain(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def word(self, key: str) -> bytes | None:
-        """Ids of a word with what stands before it (a line feed if the key has one, else a space)."""
-        first = key[:1] == "\n"
-        w = key[1:] if first else key
-        if w.split() != [w]:
-            return None  # empty, or white space within
-        core = w.rstrip(ASCII_MARKS)
-        if core.isalpha() and max(core) < "ɐ":  # one run of letters, perhaps marks after it
-            raw = core if core.isascii() else core.encode().decode("latin1").translate(self.letters)
-            ids = [t.id for t in self.model.tokenize(raw if first else self.space + raw)]
-            if len(core) < len(w):
-                ids += [t.id for t in self.model.tokenize(w[len(core):])]
-            out = array("I", ids).tobytes()
-        else:
-            out = self.plain(w if first else " " + w)
-        return self.line + out if first else out
-
-    def lookup(self, keys: list[str]) -> bytes | None:
-        young = self.young
-        try:
-            return b"".join(map(young.__getitem__, keys))
-        except KeyError:
-            pass
-        for key in keys:
-            if key not in young:
-                ids = self.old.get(key) or self.word(key)
-                if ids is None:
-                    return None
-                young[key] = ids
-        out = b"".join(map(young.__getitem__, keys))
-        if len(young) > self.kept:
-            self.old, self.young = young, {}
-        return out
+    def _runs(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(is the word a run of letters with a few marks after it, ids of all such words, number of ids of each).
+
+        One call encodes them all; its ids are cut again by the lengths of their tokens.  A word's own line
+        feed is left out.
+        """
+        offsets = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1)
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8, offsets[-1])
+        begin, end = offsets[:-1].copy(), offsets[1:].copy()
+        full = end > begin
+        begin[full] += data[begin[full]] == 10
+        core = end.copy()
+        for _ in range(MOST_MARKS):
+            at = np.nonzero(core > begin)[0]
+            core[at] -= MARK[data[core[at] - 1]]
+        kind = np.where(data >= 128, 1 << 32, 0) + ~(LETTER[data] | (data >= 128))
+        sums = np.concatenate([[0], np.cumsum(kind)])
+        inside = sums[core] - sums[begin]  # bytes of no letter, and beyond ASCII in the upper half
+        run = (core > begin) & (inside == 0)
+        far = np.nonzero((core > begin) & (inside > 0) & (inside % (1 << 32) == 0))[0]
+        run[far] = pc.match_substring_regex(words.take(pa.array(far)), RUN).to_numpy(zero_copy_only=False)
+        begin, core, end = begin[run], core[run], end[run]
+        if not len(begin):
+            return run, np.empty(0, "<u4"), np.empty(0, np.int64)
+        # the letters with what parts them: byte 1 before a word, a space before its marks and after it
+        own = np.concatenate([[0], np.cumsum(end - begin)])
+        take = np.repeat(begin - own[:-1], end - begin) + np.arange(own[-1])
+        first = begin > offsets[:-1][run]
+        places = np.concatenate([own[:-1][~first], own[:-1] + core - begin, own[1:]])
+        values = np.repeat(np.array([1, 32, 32], np.uint8), [(~first).sum(), len(begin), len(begin)])
+        order = np.argsort(places + np.where(np.arange(len(places)) < (~first).sum(), 0.5, 0), kind="stable")
+        raw = np.insert(data[take], places[order], values[order]).tobytes()
+        text = codecs.charmap_decode(raw, "strict", self.table)[0]
+        ids = np.array(self.pieces.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        letters = np.cumsum(end - begin + ~first)
+        return run, ids, np.diff(np.searchsorted(np.cumsum(self.sizes[ids]), letters) + 1, prepend=0)
+
+    def _by_parts(self, text: str) -> bytes:
+        first, *rest = CUT.split(text)
+        return self.plain(first) + b"".join(self.plain(" " + p) for p in rest)
+
+    def encode_many(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text; equal words of texts that come together are encoded once."""
+        if not self.by_word:
+            yield from (self.plain(t) if t else b"" for t in texts)
+            return
+        some, size = [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text)
+            if size >= TEXT_AT_ONCE:
+                yield from self._encode_some(some)
+                some, size = [], 0
+        yield from self._encode_some(some)
+
+    def _encode_some(self, texts: list[str]) -> Iterator[bytes]:
+        """Cut all texts into words, encode each different word once, and put the ids of all words in place."""
+        if not texts:
+            return
+        # the first word of a text is written like one after a line feed, whose id is dropped again
+        texts = [t.replace("\n", " \n") for t in texts]
+        words = pc.split_pattern(pa.array(["\n" + " \n".join(texts)], pa.large_string()), " ").values.dictionary_encode()
+        codes, different = words.indices.to_numpy(), words.dictionary
+        runs, pool, n = self._runs(different)
+        sizes, lead, odd = np.zeros(len(different), np.int64), np.zeros(len(different), bool), np.zeros(len(different), bool)
+        sizes[runs] = n
+        lead[runs] = pc.starts_with(different, "\n").to_numpy(zero_copy_only=False)[runs]
+        starts = np.cumsum(sizes) - sizes - lead  # in the pool; a line feed's id stands before its word's
+        pools, at = [pool], len(pool)
+        for k in np.nonzero(~runs)[0]:
+            w = different[int(k)].as_py()
+            first = w.startswith("\n")
+            odd[k] = w[first:].split() != [w[first:]]  # empty, or white space within
+            if not odd[k]:
+                ids = np.frombuffer(self.plain(w if first else " " + w), "<u4")
+                starts[k], sizes[k], at = at, len(ids), at + len(ids)
+                pools.append(ids)
+                if first and ids[0] != self.line:
+                    raise ValueError(f"a line feed joins its word in {w!r}")
+        counts = (sizes + lead).astype(np.int32)[codes]
+        ends = np.cumsum(counts, dtype=np.int32)
+        place = np.repeat(starts.astype(np.int32)[codes] - (ends - counts), counts)
+        place += np.arange(ends[-1], dtype=np.int32)
+        ids = np.concatenate(pools)[place]
+        ids[(ends - counts)[lead[codes]]] = self.line
+        del words, place, pools
+        pa.default_memory_pool().release_unused()
+        has_odd = odd.any()
+        word = 0
+        for text in texts:
+            n = text.count(" ") + 1
+            if not text:
+                yield b""
+            elif has_odd and odd[codes[word:word + n]].any():
+                yield self._by_parts(text.replace(" \n", "\n"))
+            else:
+                yield ids[ends[word] - counts[word] + 1:ends[word + n - 1]].tobytes()
+            word += n
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.by_word:
-            return self.plain(text)
-        # "\n" + first word: drop the line feed's ids again
-        ids = self.lookup(("\n" + text.replace("\n", " \n")).split(" "))
-        if ids is not None:
-            return ids[len(self.line):]
-        parts = CUT.split(text)
-        return self.plain(parts[0]) + b"".join(self.lookup([p]) or self.plain(" " + p) for p in parts[1:])
+        return next(self.encode_many([text]))
 
 
 @functools.lru_cache(maxsize=2)
