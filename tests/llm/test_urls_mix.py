@@ -13,7 +13,7 @@ TABLES = ["documents", "embeddings", "pages", "labels", "conversations"]
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
-@pytest.mark.parametrize("sf", [SF_SMALL, SF_ORACLE])
+@pytest.mark.parametrize("sf", [SF_SMALL])
 def test_queries_match_duckdb(spark, name, sf):
     con = duckdb.connect()
     for t in TABLES:
