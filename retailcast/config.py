@@ -7,8 +7,6 @@ natural order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 # --- fixed values -----------------------------------------------------------
 LAGS = (1, 2, 3, 7, 14, 21, 30)
 ROLLING_WINDOWS = (3, 7, 14, 21, 30)
@@ -20,7 +18,6 @@ VALIDATION_SIZE = 0.1
 CV_FOLDS = 5
 METRICS = ("rmse", "mae", "mape", "r2")
 REQUIRED_COLUMNS = ("date", "sales", "store_id", "product_id")
-SALES_REQUIRED_COLUMNS = ("date", "store_id", "product_id", "quantity_sold", "revenue")
 VALUE_RANGES = {"sales": (0.0, 1_000_000.0)}
 DRIFT_THRESHOLD = 0.1
 ALERT_THRESHOLDS = {"rmse": 1000.0, "mape": 0.2}
@@ -35,7 +32,6 @@ LEAKAGE_CORRELATION = 0.95
 MIN_TRAIN_ROWS = 1000
 ZERO_TARGET_SHARE = 0.1
 STABILITY_WINDOW = 30
-TOP_FEATURES = 20
 TOP_FEATURES_PER_MODEL = 15
 THIN_POINTS = 500
 MIN_ENSEMBLE_WEIGHT = 0.2
@@ -44,24 +40,3 @@ GBT_PARAMS = {"maxDepth": 5, "maxIter": 100, "stepSize": 0.1, "subsamplingRate":
 FOREST_PARAMS = {"numTrees": 50, "seed": 42}
 FEATURE_IMPORTANCE_THRESHOLD = 0.001
 # -----------------------------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class FeatureConfig:
-    lags: tuple = LAGS
-    windows: tuple = ROLLING_WINDOWS
-    functions: tuple = ROLLING_FUNCTIONS
-    date_parts: tuple = DATE_PARTS
-
-
-@dataclass(frozen=True)
-class SplitConfig:
-    test_size: float = TEST_SIZE
-    validation_size: float = VALIDATION_SIZE
-    folds: int = CV_FOLDS
-
-
-@dataclass(frozen=True)
-class WorkflowConfig:
-    features: FeatureConfig = field(default_factory=FeatureConfig)
-    split: SplitConfig = field(default_factory=SplitConfig)
