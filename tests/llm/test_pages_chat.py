@@ -27,6 +27,9 @@ def test_blocks_of_a_page():
     assert page_blocks("<nav><ul><li>x<article><p>y</p><p") == (["y"], ["x"], [])
     assert page_blocks("<article><p a='>z</p>w</article>")[0] == ["z", "w"]
     assert page_blocks("<p>1</p>" * 50000)[2] == ["1"] * 50000
+    assert page_blocks("<main><p>a</p><article>b</article></main><p>c") == (["b"], [], ["a", "c"])
+    assert page_blocks("<main><p>a</p><nav>n</nav></main><p>c") == (["a"], ["n"], ["c"])
+    assert page_blocks('<div class="has-sidebar"><p>a</p><div class="sidebar-left">b</div></div>') == ([], ["b"], ["a"])
 
 
 def test_suffix_order_and_repeats():
