@@ -11,7 +11,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 SAMPLE = ["store_daily_sales", "daily_sales", "lag_features", "fill_compat", "chronological_split",
           "target_encoding", "model_metrics", "model_ranking", "rolling_metrics", "outlier_summary",
           "ks_drift", "thinned_series", "json_event_values", "promotion_calendar", "value_checks",
-          "prediction_intervals", "residual_histogram"]
+          "prediction_intervals", "residual_histogram", "date_features", "label_encoding", "qq_points",
+          "trailing_mean_forecast", "performance_alerts", "line_file_checks", "partitioned_round_trip", "ledger_best_run"]
 
 
 @pytest.fixture(scope="module")
