@@ -34,7 +34,7 @@ from retailcast.llm.tokens import encoder
 
 SHARD_BYTES = 8 << 20  # text bytes that go to one shard, about
 HEAD, ID_HEAD, TAIL = struct.Struct("<QI"), struct.Struct("<BqB"), struct.Struct("<I")
-RECORD = ["shard string", "record long", "offset long", "length long", "doc_id long", "n_tokens long", "ids binary"]
+RECORD = ["shard string", "record long", "offset long", "length long", "doc_id long", "n_tokens long", "inside long", "ids binary"]
 
 
 def masked_crc(data: bytes) -> int:
@@ -53,7 +53,7 @@ def frame(doc_id: int | None, ids: bytes) -> bytes:
 
 def parse(shard: str, data: bytes) -> Iterator[tuple]:
     """Records of one shard as RECORD tuples; a wrong length or checksum raises ValueError."""
-    at = n = 0
+    at = n = inside = 0
     while at < len(data):
         if at + HEAD.size > len(data):
             raise ValueError(f"{shard}: record {n} at {at} is cut short")
@@ -66,8 +66,8 @@ def parse(shard: str, data: bytes) -> Iterator[tuple]:
             raise ValueError(f"{shard}: record {n} at {at} is damaged")
         known, doc_id, width = ID_HEAD.unpack_from(payload)
         ids = np.frombuffer(payload, dtype=f"<u{width}", offset=ID_HEAD.size).astype("<u4")
-        yield shard, n, at, end + 5 - at, doc_id if known else None, len(ids), ids.tobytes()
-        at, n = end + 5, n + 1
+        yield shard, n, at, end + 5 - at, doc_id if known else None, len(ids), inside, ids.tobytes()
+        at, n, inside = end + 5, n + 1, inside + len(ids)
 
 
 def _frames(path: str | None, end_id: int):
@@ -77,8 +77,9 @@ def _frames(path: str | None, end_id: int):
         e = encoder(path)
         for batch in batches:
             for part in slices(batch):
-                frames = [frame(i, e.encode(t or "") + end) for i, t in zip(*columns_of(part, "doc_id", "text"))]
-                yield batch_of("frame binary", [(f,) for f in frames])
+                doc_ids, texts = columns_of(part, "doc_id", "text")
+                ids = e.encode_many([t or "" for t in texts])
+                yield batch_of("frame binary", [(frame(i, x + end),) for i, x in zip(doc_ids, ids)])
     return encode
 
 
@@ -117,7 +118,8 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str | None = None,
     doc_id before they are encoded, so a text is shuffled once and encoded once.
 
     The index has shard, record, offset, length (bytes), doc_id, start (tokens of all documents
-    before it) and n_tokens.  It is made from the committed shards, checking every record.
+    before it) and n_tokens.  It is made from the committed shards, checking every record; ``path/shards``
+    holds the tokens before each shard.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text"))
@@ -131,26 +133,33 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str | None = None,
 
     found = read_shards(spark, path, ["shard", "record", "offset", "length", "doc_id", "n_tokens"])
     found.write.parquet(f"{path}/found")
-    found = spark.read.parquet(f"{path}/found")
-    # tokens before a shard: one row per shard; within a shard: its own rows only
-    shard = found.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
+    found = spark.read.schema(found.schema).parquet(f"{path}/found")
+    # tokens before each shard: one row per shard
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    shard = found.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     shard = shard.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    shard.write.parquet(f"{path}/shards")
     inside = Window.partitionBy("shard").orderBy("record").rowsBetween(Window.unboundedPreceding, -1)
-    (found.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(shard, "shard")
-     .select("shard", "record", "offset", "length", "doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens")
-     .write.parquet(f"{path}/index"))
+    start = F.col("base") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
+    (found.join(_shard_starts(spark, path), "shard")
+     .select("shard", "record", "offset", "length", "doc_id", start.alias("start"), "n_tokens").write.parquet(f"{path}/index"))
+
+
+def _shard_starts(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, base): tokens before each shard.  A file of its own, so that Spark sees its size and broadcasts it
+    while it is small."""
+    return spark.read.schema("shard string, base long").parquet(f"{path}/shards")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/index")
+    return spark.read.parquet(f"{path}/index")  # shard, record, offset, length, doc_id, start, n_tokens
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every record, its place taken from the index."""
-    index = read_index(spark, path).select("shard", "offset", "start")
-    return (read_shards(spark, path, ["shard", "offset", "doc_id", "n_tokens", "ids"]).join(index, ["shard", "offset"])
-            .select("doc_id", "start", "n_tokens", "ids"))
+    """(doc_id, start, n_tokens, ids) of every record in the shards."""
+    found = read_shards(spark, path, ["shard", "inside", "doc_id", "n_tokens", "ids"])
+    return (found.join(_shard_starts(spark, path), "shard")
+            .select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids"))
 
 
 def read_shuffled(spark: SparkSession, path: str, seed: int, partitions: int) -> DataFrame:
