@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from retailcast.llm.common import batch_of, filter_rows, hashed_ngrams, slices, text_bytes
 
 ORDERS, BITS = (2, 3), 12
+PARTS = 64  # in which a language's candidates are limited first
 PER_LANGUAGE = 400  # labelled documents per language that the machines are fitted on, at most
 COST, ROUNDS = 4.0, 15
 LETTER = re.compile(r"[^\W\d_]")  # or one of a few numerals, which isalpha() sorts out
@@ -67,8 +68,10 @@ def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFram
     ``docs`` has doc_id, text, lang; rows without any of them, and texts without a letter, are not learned from.
     """
     fit = docs.where("doc_id is not null and lang is not null and text is not null").where(F.col("text").rlike("\\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")  # Spark limits each group before the shuffle
-    chosen = fit.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    chosen = fit.select("doc_id", "lang", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(PARTS)).alias("part"))
+    for keys in (("lang", "part"), ("lang",)):  # in two steps, so that no task meets the candidates of all other tasks
+        order = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")  # Spark limits each group before the shuffle
+        chosen = chosen.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).drop("n")
     ids = chosen.select("doc_id").distinct()
     # at most per_language ids for each language: small beside the texts
     return (fit.join(F.broadcast(ids) if _small(ids) else ids, "doc_id", "left_semi")
