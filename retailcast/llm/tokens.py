@@ -27,7 +27,7 @@ RUN = rf"^\n?{LATIN}+[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{{|}}~]*$"
 LETTER, MARK = (np.isin(np.arange(256), list(chars)) for chars in (
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"))
 MOST_MARKS = 8  # after a run of letters; words with more are encoded on their own
-TEXT_AT_ONCE = 4 << 20  # characters cut into words at a time
+TEXT_AT_ONCE = 1 << 20  # characters cut into words at a time
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
