@@ -112,7 +112,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str | None = None,
                   shard_bytes: int = SHARD_BYTES) -> None:
     """Encode ``doc_id, text`` and write ``path/data`` (shards) and ``path/index`` (Parquet).
 
-    Documents lie in ascending doc_id order (null ids first, equal ids in text order), each as
+    Documents lie in ascending doc_id order (null ids first, equal ids by a hash of the text), each as
     its ids and ``end_id``.  Null text counts as empty; repeated rows stay; other columns are
     left out.  An empty table gives an empty index.  Documents are dealt to shards by ranges of
     doc_id before they are encoded, so a text is shuffled once and encoded once.
@@ -125,9 +125,10 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str | None = None,
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 + total // shard_bytes
-    # a doc_id that very many rows share is split over shards by its text
-    dealt = (docs.repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-             .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()))
+    # a doc_id that very many rows share is split over shards by a hash of the text (the text itself
+    # would send whole texts to the driver, as samples for the ranges)
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    dealt = docs.repartitionByRange(shards, *order).sortWithinPartitions(*order, "text")
     frames = dealt.mapInArrow(_frames(tokenizer_path, end_id), "frame binary")
     frames.select(F.col("frame").cast("string")).write.option("lineSep", "\n").text(f"{path}/data")
 
