@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from retailcast.llm import packing, queries, records
 from retailcast.llm.common import shared_path
@@ -43,7 +44,9 @@ def test_records_round_trip(spark, plain):
     path = shared_path(spark, "t")
     records.write_records(_docs(spark, rows), path, end_id=2, shard_bytes=4000)
     got = records.read_records(spark, path).toPandas().sort_values("start")
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    hashed = lambda t: 42 if t is None else signed(xxhash.xxh64_intdigest(t, 42))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashed(r[1])))
     assert [None if np.isnan(x) else int(x) for x in got["doc_id"].astype(float)] == [r[0] for r in order]
     start = 0
     for (_, text, *_x), at, n, ids in zip(order, got["start"], got["n_tokens"], got["ids"]):
