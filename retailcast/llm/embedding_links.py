@@ -150,6 +150,7 @@ def link_embeddings(vectors: DataFrame, threshold: float = 0.98, tile_rows: int
     subs = counts.select("label", "dim", "cell", F.ceil(F.col("count") / tile_rows).alias("subs"))
     tiles = (placed.join(subs, ["label", "dim", "cell"]).withColumn("sub", F.pmod(F.xxhash64("rep"), F.col("subs")))
              .select("label", "dim", "cell", "sub", "rep", "copies", "vec")
+             .repartition("label", "dim", "cell", "sub")  # else the join's deal, by cell only, would serve the groups too
              .groupBy("label", "dim", "cell", "sub").applyInPandas(
                  _tile, f"tile string, label {reps.schema['label'].dataType.simpleString()}, dim long, cell long, sub long, "
                         "reps binary, copies binary, vecs binary"))
