@@ -140,3 +140,35 @@ def test_queries_on_the_small_table(spark, plain):
     pieces = [r.asDict() for r in queries.op8_sequence_packing(spark, SF_SMALL).collect()]
     padding = check_packing(pieces, [tuple(d) for d in docs], plain, 2048, 1)
     assert padding < 0.02 * sum(p["length"] for p in pieces)
+
+
+def test_a_hot_length_fills_its_own_sequences():
+    rng = random.Random(2)
+    for hot in (40, 100, 300, 700):
+        counts = {}
+        for _ in range(600):
+            n = rng.randint(1, 599)
+            counts[n] = counts.get(n, 0) + 1
+        counts[hot] = counts.get(hot, 0) + 300
+        open_ = []  # placed one by one, longest first, each into the shortest open pack with room
+        for length in sorted(counts, reverse=True):
+            for _ in range(counts[length]):
+                least = min(open_, default=2048)
+                if least + length <= 2048:
+                    open_.remove(least)
+                    open_.append(least + length)
+                else:
+                    open_.append(length)
+        patterns = packing.shortest_pack_first(counts)
+        tokens = sum(n * x for x, n in counts.items())
+        assert sorted(sum(p) for n, p in patterns for _ in range(n)) == sorted(open_)
+        assert sum(n * (2048 - sum(p)) for n, p in patterns) < 0.03 * tokens
+
+
+def test_packing_a_table_with_a_hot_length(spark, plain):
+    rng = random.Random(6)
+    texts = ["ab " * rng.randint(1, 25) for _ in range(200)] + ["ab " * 4] * 100
+    rows = [(i, t, "x", 1) for i, t in enumerate(texts)]
+    pieces = [r.asDict() for r in packing.pack_documents(_docs(spark, rows), max_len=64, end_id=1).collect()]
+    padding = check_packing(pieces, [(r[0], r[1]) for r in rows], plain, 64, 1)
+    assert padding < 0.03 * sum(p["length"] for p in pieces)
