@@ -19,7 +19,6 @@ from retailcast.llm.common import batch_of, filter_rows, hashed_ngrams, slices,
 
 ORDER, BITS = 3, 16
 THRESHOLD = -0.6  # nats per n-gram below the raw corpus; trusted text scores above -0.3 even in small tables, noise below -1
-MOST_TRUSTED = 20_000  # trusted documents that the target is fitted on, at most
 MIN_WORDS, MOST_REPEAT_PERCENT = 50, 50
 SYMBOLS = b"#*$%&|<>"
 VERDICT = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -60,34 +59,36 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
             dup, repeated_words(words))
 
 
-def _count(trusted: np.ndarray, order: int, bits: int):
+COUNTS = "bucket long, raw long, target long"
+
+
+def _count(order: int, bits: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
         for batch in batches:
             for some in slices(batch):
-                ids = some.column("doc_id")
-                good = np.isin(ids.fill_null(0).to_numpy(), trusted) & ids.is_valid().to_numpy(zero_copy_only=False)
+                good = some.column("good").to_pylist()
                 grams = [hashed_ngrams(t.as_py(), order, bits) for t in some.column("data")]
                 raw += np.bincount(np.concatenate(grams), minlength=1 << bits)
-                if good.any():
+                if any(good):
                     target += np.bincount(np.concatenate([x for x, g in zip(grams, good) if g]), minlength=1 << bits)
         at = np.nonzero(raw)[0]
-        yield batch_of("bucket long, raw long, target long", list(zip(at.tolist(), raw[at].tolist(), target[at].tolist())))
+        yield batch_of(COUNTS, list(zip(at.tolist(), raw[at].tolist(), target[at].tolist())))
     return count
 
 
-def fit_ratio(docs: DataFrame, trusted: DataFrame, order: int = ORDER, bits: int = BITS,
-              most_trusted: int = MOST_TRUSTED) -> np.ndarray:
+def fit_ratio(docs: DataFrame, trusted: DataFrame, order: int = ORDER, bits: int = BITS) -> np.ndarray:
     """log p_target - log p_raw per bucket, from all of ``docs`` (doc_id, text).
 
-    ``trusted`` lists the doc_id of trusted documents; of more than ``most_trusted`` those first in
-    hash order are taken.  Without any trusted text the ratio is 0 everywhere: nothing is rejected.
-    The sums that reach the driver are one row per bucket.
+    ``trusted`` lists the doc_id of trusted documents, all of which are counted.  Without any trusted
+    text the ratio is 0 everywhere: nothing is rejected.  The sums that reach the driver are one row
+    per bucket.
     """
     ids = trusted.select(F.col("doc_id").cast("long")).where("doc_id is not null").distinct()
-    ids = np.array([r[0] for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_trusted).collect()], dtype=np.int64)
     rows = docs.select(F.col("doc_id").cast("long"), text_bytes().alias("data"))
-    sums = (rows.mapInArrow(_count(ids, order, bits), "bucket long, raw long, target long")
+    # the ids grow with the table, so they are dealt over tasks at every size; no side is sorted
+    marked = rows.join(ids.withColumn("good", F.lit(True)).hint("shuffle_hash"), "doc_id", "left")
+    sums = (marked.select("data", F.coalesce("good", F.lit(False)).alias("good")).mapInArrow(_count(order, bits), COUNTS)
             .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas())
     raw, target = np.zeros(1 << bits), np.zeros(1 << bits)
     raw[sums["bucket"].to_numpy(np.int64)] = sums["raw"]
@@ -120,21 +121,21 @@ def _judge(judge: Judge):
     return run
 
 
-def quality_verdicts(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, order: int = ORDER, bits: int = BITS,
-                     most_trusted: int = MOST_TRUSTED) -> DataFrame:
+def quality_verdicts(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, order: int = ORDER,
+                     bits: int = BITS) -> DataFrame:
     """The VERDICT columns for every row of ``doc_id, text``; other columns are left out.
 
     Null text has no words and fails the base rules; rows that repeat or lack an id are judged
-    each on its own.  An empty table gives no row.  Texts are counted in one pass and judged in
-    a second; nothing but the bucket sums is shuffled.
+    each on its own.  An empty table gives no row.  Texts are counted in one pass, where they meet the
+    trusted ids in a shuffle, and judged in a second.
     """
-    judge = Judge(fit_ratio(docs, trusted, order, bits, most_trusted), order, bits, threshold)
+    judge = Judge(fit_ratio(docs, trusted, order, bits), order, bits, threshold)
     rows = docs.select(F.col("doc_id").cast("long"), text_bytes().alias("data"))
     return rows.mapInArrow(_judge(judge), VERDICT)
 
 
-def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, order: int = ORDER, bits: int = BITS,
-              most_trusted: int = MOST_TRUSTED) -> DataFrame:
-    """The rows of ``docs`` that quality_verdicts keeps, with all their columns, without a shuffle."""
-    judge = Judge(fit_ratio(docs, trusted, order, bits, most_trusted), order, bits, threshold)
+def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, order: int = ORDER,
+              bits: int = BITS) -> DataFrame:
+    """The rows of ``docs`` that quality_verdicts keeps, with all their columns, which aren't shuffled."""
+    judge = Judge(fit_ratio(docs, trusted, order, bits), order, bits, threshold)
     return filter_rows(docs, lambda text: judge(text)[-2])

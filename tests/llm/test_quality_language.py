@@ -47,6 +47,20 @@ def test_verdicts_by_hand(spark):
     assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["kept"]}
 
 
+def test_every_trusted_document_counts(spark):
+    from pyspark.sql import functions as F
+
+    ids = [r["id"] for r in spark.range(20_400).orderBy(F.xxhash64("id"), "id").collect()]
+    rare = {i: " ".join(f"\u0436\u0448{chr(0x430 + k // 32)}{chr(0x430 + k % 32)}" for k in range(60)) for i in ids[-20:]}
+    words = " ".join(f"common{k}" for k in range(8))
+    rows = [(i, rare.get(i, f"{words} {i}")) for i in ids]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = quality_ratio.quality_verdicts(df, df.select("doc_id")).collect()
+    assert len(got) == len(rows)
+    assert all(r["kept"] for r in got if r["doc_id"] in rare)
+    assert all(abs(r["score"]) < 1e-6 for r in got)  # all text is trusted: target and raw counts are the same
+
+
 def test_no_trusted_text_rejects_nothing_beyond_the_base(spark):
     df = docs(spark, [" ".join(f"w{k}" for k in range(80))])
     none = spark.createDataFrame([], "doc_id long")
