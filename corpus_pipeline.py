@@ -49,7 +49,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences, with their token ids."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, special=True)
 
 
 STAGES = [("quality", quality), ("language", language), ("near_copies", near_copies), ("mix", mix), ("pack", pack)]

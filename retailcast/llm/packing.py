@@ -60,11 +60,11 @@ def shortest_pack_first(counts: dict[int, int], max_len: int = MAX_LEN) -> list[
     return [p for left in sorted(room) for p in room[left]]
 
 
-def _cut(path: str | None, end_id: int, max_len: int):
+def _cut(path: str | None, end_id: int, max_len: int, special: bool):
     end = struct.pack("<I", end_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path)
+        e = encoder(path, special)
         for batch in batches:
             for some in slices(batch):
                 rows = []
@@ -79,10 +79,10 @@ def _cut(path: str | None, end_id: int, max_len: int):
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, end_id: int = 1,
-                   max_len: int = MAX_LEN) -> DataFrame:
+                   max_len: int = MAX_LEN, special: bool = False) -> DataFrame:
     """Pieces (doc_id, start, length, doc_tokens, ids, ids_crc32, sequence_id, offset) of all documents.
 
-    ``ids`` are little-endian unsigned 32-bit integers, ``ids_crc32`` their CRC-32.
+    ``ids`` are little-endian unsigned 32-bit integers, ``ids_crc32`` their CRC-32.  ``special`` as in tokens.Encoder.
 
     Null text counts as empty (the end id alone).  Rows that repeat a doc_id are documents of
     their own; null ids stay null.  An empty table gives no piece.  Other columns are left out.
@@ -90,7 +90,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, end_id: i
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), "text").withColumn("row_id", F.monotonically_increasing_id())
-    pieces = written(rows.mapInArrow(_cut(tokenizer_path, end_id, max_len), PIECE), "pieces")
+    pieces = written(rows.mapInArrow(_cut(tokenizer_path, end_id, max_len, special), PIECE), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # max_len rows at most
     place = _place(counts, shortest_pack_first(counts, max_len))
     places = _ranked(pieces).mapInArrow(place, PLACE)  # only keys; the ids stay with their row

@@ -38,7 +38,7 @@ def mix_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "records")
-    records.write_records(table(spark, sf_dir, "documents"), path)
+    records.write_records(table(spark, sf_dir, "documents"), path, special=True)
     return records.read_records(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
@@ -73,7 +73,7 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), special=True)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

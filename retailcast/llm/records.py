@@ -70,11 +70,11 @@ def parse(shard: str, data: bytes) -> Iterator[tuple]:
         at, n, inside = end + 5, n + 1, inside + len(ids)
 
 
-def _frames(path: str | None, end_id: int):
+def _frames(path: str | None, end_id: int, special: bool):
     end = struct.pack("<I", end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path)
+        e = encoder(path, special)
         for batch in batches:
             for part in slices(batch):
                 doc_ids, texts = columns_of(part, "doc_id", "text")
@@ -109,13 +109,14 @@ def read_shards(spark: SparkSession, path: str, columns: list[str]) -> DataFrame
 
 
 def write_records(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id: int = 2,
-                  shard_bytes: int = SHARD_BYTES) -> None:
+                  shard_bytes: int = SHARD_BYTES, special: bool = False) -> None:
     """Encode ``doc_id, text`` and write ``path/data`` (shards) and ``path/index`` (Parquet).
 
     Documents lie in ascending doc_id order (null ids first, equal ids by a hash of the text), each as
     its ids and ``end_id``.  Null text counts as empty; repeated rows stay; other columns are
     left out.  An empty table gives an empty index.  Documents are dealt to shards by ranges of
-    doc_id before they are encoded, so a text is shuffled once and encoded once.
+    doc_id before they are encoded, so a text is shuffled once and encoded once.  ``special`` as in
+    tokens.Encoder.
 
     The index has shard, record, offset, length (bytes), doc_id, start (tokens of all documents
     before it) and n_tokens.  It is made from the committed shards, checking every record; ``path/shards``
@@ -129,7 +130,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str | None = None,
     # would send whole texts to the driver, as samples for the ranges)
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     dealt = docs.repartitionByRange(shards, *order).sortWithinPartitions(*order, "text")
-    frames = dealt.mapInArrow(_frames(tokenizer_path, end_id), "frame binary")
+    frames = dealt.mapInArrow(_frames(tokenizer_path, end_id, special), "frame binary")
     frames.select(F.col("frame").cast("string")).write.option("lineSep", "\n").text(f"{path}/data")
 
     found = read_shards(spark, path, ["shard", "record", "offset", "length", "doc_id", "n_tokens"])

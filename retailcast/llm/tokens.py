@@ -44,15 +44,21 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers, equal to Tokenizer.encode's."""
+    """Ids of texts as little-endian unsigned 32-bit integers, equal to Tokenizer.encode's.
 
-    def __init__(self, path: str | None = None):
+    ``special``: the string of a special token in a text is its id, as the library does unless told
+    otherwise; without it that string is ordinary text.
+    """
+
+    def __init__(self, path: str | None = None, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special
+        # strings that are matched before a text is cut into words
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
         # words can be joined only under a plain byte-level model; any other file is used whole
         pre = self.tokenizer.pre_tokenizer
         self.by_word = isinstance(pre, ByteLevel) and pre.use_regex and not pre.add_prefix_space and \
@@ -122,6 +128,11 @@ class Encoder:
             return
         some, size = [], 0
         for text in texts:
+            if any(a in text for a in self.added):
+                yield from self._encode_some(some)
+                yield self.plain(text)
+                some, size = [], 0
+                continue
             some.append(text)
             size += len(text)
             if size >= TEXT_AT_ONCE:
@@ -178,6 +189,6 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str | None = None) -> Encoder:
+def encoder(path: str | None = None, special: bool = False) -> Encoder:
     """The worker's encoder for a tokenizer file, loaded once per process."""
-    return Encoder(path)
+    return Encoder(path, special)

@@ -172,3 +172,22 @@ def test_packing_a_table_with_a_hot_length(spark, plain):
     pieces = [r.asDict() for r in packing.pack_documents(_docs(spark, rows), max_len=64, end_id=1).collect()]
     padding = check_packing(pieces, [(r[0], r[1]) for r in rows], plain, 64, 1)
     assert padding < 0.03 * sum(p["length"] for p in pieces)
+
+
+def test_queries_encode_like_an_unchanged_tokenizer(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer_path())
+    default = lambda text: t.encode(text, add_special_tokens=False).ids
+    texts = [*ODD, "a<|endoftext|>b", "x <|endoftext|>\n<|endoftext|> y", "<|endoftext|", "later"]
+    assert default("<|endoftext|> end") == [50256, 886]
+    e = Encoder(special=True)
+    assert [list(np.frombuffer(x, "<u4")) for x in e.encode_many(texts)] == [default(x) for x in texts]
+    _docs(spark, [(i, x, "", 0) for i, x in enumerate(texts)]).write.parquet(f"{tmp_path}/documents.parquet")
+    start = 0
+    for text, r in zip(texts, queries.op1_token_records(spark, str(tmp_path)).orderBy("doc_id").collect(), strict=True):
+        ids = default(text) + [2]
+        assert tuple(r)[1:] == (start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+        start += len(ids)
+    pieces = [r.asDict() for r in queries.op8_sequence_packing(spark, str(tmp_path)).collect()]
+    check_packing(pieces, list(enumerate(texts)), default, 2048, 1)
