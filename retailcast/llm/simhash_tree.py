@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailcast.llm.common import Forest, batch_of, slices, text_bytes, written
+from retailcast.llm.common import Forest, batch_of, columns_of, slices, text_bytes, written
 from retailcast.llm.components import connected_components
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
@@ -154,30 +154,56 @@ def _deal(tree: Tree, reach: int):
     return deal
 
 
+SPLIT = "leaf long, stored boolean, part long, held long, asked long, fps binary"
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Deals the fingerprints of a shard of ``held`` stored and ``asked`` query parts over these, by a hash."""
+    for batch in batches:
+        for leaf, stored, held, asked, packed in zip(*columns_of(batch, "leaf", "stored", "held", "asked", "fps")):
+            fps = np.frombuffer(packed, np.uint64)
+            share = (fps * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(held if stored else asked)
+            yield batch_of(SPLIT, [(leaf, stored, int(x), held, asked, fps[share == x].tobytes()) for x in np.unique(share)])
+
+
 def _search(reach: int):
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One part of one shard: its stored fingerprints against the queries and each other."""
-        part, parts = int(pdf["part"].iloc[0]), int(pdf["parts"].iloc[0])
-        fps = lambda own: np.frombuffer(b"".join(pdf.loc[pdf["stored"] == own, "fps"]), np.uint64)
-        own, queries = fps(True), fps(False)
-        share = (own * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(parts)
-        # a shard in parts: this part stores its share and also asks the shares before it
-        target = own[share == part]
-        nodes = np.concatenate([target, own[share < part], queries])
-        forest, n = Forest(len(nodes)), len(target)
-        for i, j in near(nodes, target, reach):
-            forest.link(i, j)
+        """One stored part of a shard against another part, stored or of queries, or against itself."""
+        fps = lambda own: np.frombuffer(b"".join(pdf.loc[pdf["own"] == own, "fps"]), np.uint64)
+        target, others = fps(True), fps(False)
+        nodes = np.concatenate([target, others])
+        forest, alone = Forest(len(nodes)), pdf["target"].iloc[0] == pdf["other"].iloc[0]
+        for i, j in near(target if alone else others, target, reach):
+            forest.link(i if alone else i + len(target), j)
         # only linked pairs are joined, and a fingerprint is at most once in a shard
         x, r = forest.edges()
         return pd.DataFrame({"a": nodes[x].view(np.int64), "b": nodes[r].view(np.int64)})
     return search
 
 
+def _pairs_of_parts(dealt: DataFrame, part_rows: int) -> DataFrame:
+    """(leaf, target, other, own, fps): the parts of each shard, once for each pair of parts they belong to.
+
+    Stored parts are numbered from 0 and query parts after them; a target is a stored part, and
+    ``other`` is itself, a stored part before it or a query part.  A pair holds about two times ``part_rows``.
+    """
+    many = lambda own: F.ceil(F.sum(F.when(F.col("stored") == own, F.col("n")).otherwise(0)) / part_rows)
+    sizes = dealt.groupBy("leaf").agg(many(True).alias("held"), many(False).alias("asked")).where("held > 0")
+    split = dealt.join(sizes, "leaf").mapInArrow(_split, SPLIT)
+    pairs = F.expr("""CASE WHEN stored THEN concat(
+        transform(sequence(0L, part), o -> struct(part AS target, o AS other, true AS own)),
+        transform(IF(asked > 0, sequence(held, held + asked - 1), CAST(array() AS array<bigint>)), o -> struct(part AS target, o AS other, true AS own)),
+        transform(IF(part + 1 < held, sequence(part + 1, held - 1), CAST(array() AS array<bigint>)), t -> struct(t AS target, part AS other, false AS own)))
+        ELSE transform(sequence(0L, held - 1), t -> struct(t AS target, held + part AS other, false AS own)) END""")
+    return split.withColumn("pair", F.explode(pairs)).select("leaf", "pair.target", "pair.other", "pair.own", "fps")
+
+
 def fingerprint_links(fps: DataFrame, reach: int = MAX_BITS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """Edges (a, b) between the different values of long column ``fp`` that join all within ``reach`` bits.
 
     Every such pair ends up in one component; an edge itself may join two ends of a chain of links.
-    A shard far beyond ``leaf_rows`` (many near copies in one ball) is searched in parts.
+    A shard far beyond ``leaf_rows`` (many near copies in one ball) is searched in pairs of parts, so that a
+    task's rows don't grow with the ball; their number does, with its square.
     """
     fps = written(fps.select("fp").distinct(), "fingerprints")
     total = fps.count()
@@ -187,10 +213,7 @@ def fingerprint_links(fps: DataFrame, reach: int = MAX_BITS, leaf_rows: int = LE
     sample = [r["fp"] for r in fps.orderBy(F.xxhash64("fp")).limit(size).collect()] if depth else []
     tree = Tree(np.array(sample, dtype=np.int64).view(np.uint64), depth)
     dealt = written(fps.mapInArrow(_deal(tree, reach), PACKED), "shards")
-    sizes = dealt.where("stored").groupBy("leaf").agg(F.sum("n").alias("held"))
-    parts = sizes.select("leaf", F.ceil(F.col("held") / (4 * leaf_rows)).alias("parts"))
-    return (dealt.join(parts, "leaf").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-            .groupBy("leaf", "part").applyInPandas(_search(reach), "a long, b long"))
+    return _pairs_of_parts(dealt, 4 * leaf_rows).groupBy("leaf", "target", "other").applyInPandas(_search(reach), "a long, b long")
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, reach: int = MAX_BITS, seed: int = SEED,

@@ -89,6 +89,22 @@ def test_near_fingerprints_against_all_pairs(spark):
         assert components(signed, [tuple(e) for e in edges]) == want
 
 
+def test_a_ball_is_searched_in_bounded_pairs_of_parts(spark):
+    rng = np.random.default_rng(1)
+    fps = np.unique(rng.integers(0, 1 << 63, 9000, dtype=np.uint64))
+    packed = lambda stored, x: (0, stored, len(x), x.tobytes())
+    rows = [packed(True, x) for x in np.array_split(fps[:5000], 7)] + [packed(False, x) for x in np.array_split(fps[5000:], 3)]
+    dealt = spark.createDataFrame(rows, "leaf long, stored boolean, n long, fps binary")
+    pairs = simhash_tree._pairs_of_parts(dealt, 500).collect()
+    task = {}
+    for r in pairs:
+        task.setdefault((r["target"], r["other"]), {True: [], False: []})[r["own"]] += np.frombuffer(r["fps"], np.uint64).tolist()
+    assert max(len(x[True]) + len(x[False]) for x in task.values()) < 1.4 * 2 * 500
+    met = sum(len(x[True]) * len(x[False]) if t != o else len(x[True]) * (len(x[True]) - 1) // 2 for (t, o), x in task.items())
+    n, q = 5000, len(fps) - 5000
+    assert met == n * (n - 1) // 2 + n * q  # every stored pair and every query once
+
+
 def test_queries_on_the_small_tables(spark):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in queries.table(spark, SF_SMALL, "embeddings").collect()]
     check_vectors(queries.op2_embedding_links(spark, SF_SMALL).collect(), rows, 0.98)
