@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailcast.llm import (blocklist, chat, embedding_links, language_svm, mixing, packing, page_text, quality_ratio, records,
-                            simhash_tree)
+from retailcast.llm import (blocklist, chat, embedding_links, language_svm, merkle_manifest, mixing, packing, page_text,
+                            pattern_search, quality_ratio, records, simhash_tree, target_resampling)
 from retailcast.llm.common import UPPER, WORD, shared_path, written
+from retailcast.llm.words import WORD_CHARS
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -88,6 +89,29 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(written(chat.format_conversations(turns), "chat"))
 
 
+def op11_pattern_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pattern_search.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = pattern_search.hit_words()
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = target_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    shown = merkle_manifest.leaf_digest([text if f == "text" else F.col(f) for f in merkle_manifest.FIELDS])
+    rows = merkle_manifest.merkle_manifest(docs, carry={"shown": shown})
+    rows = rows.withColumn("folded_root", merkle_manifest.fold_path("shown", "path"))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle_manifest.proof_digest("path").alias("proof_sha256"), "folded_root",
+                       (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,7 +120,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_records, op2_embedding_links, op3_simhash_tree, op4_quality_ratio, op5_language_svm, op6_url_blocklist,
-    op7_source_mix, op8_sequence_packing, op9_page_text, op10_chat_format, pipeline)}
+    op7_source_mix, op8_sequence_packing, op9_page_text, op10_chat_format, op11_pattern_search, op12_target_resampling,
+    op13_merkle_manifest, pipeline)}
 
 _SOUND = ("label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL "
           "OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0")
@@ -177,4 +202,104 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
        sum(chars)::BIGINT AS formatted_chars, bool_and(fine) AS valid
 FROM own GROUP BY conv_id
 """
-ORACLE_SQL = {"op2_embedding_links": OP2_SQL, "op6_url_blocklist": OP6_SQL, "op7_source_mix": OP7_SQL, "op10_chat_format": OP10_SQL}
+
+_WINDOW = pattern_search.WINDOW
+_TEXT_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{WORD_CHARS}')"
+OP11_SQL = f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, {_TEXT_WORDS} AS w FROM documents),
+items AS (SELECT item_id, w, least(len(w), {_WINDOW}) AS n FROM (SELECT item_id, {_TEXT_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+starts AS (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM items),
+wins AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM starts),
+lens AS (SELECT DISTINCT n FROM wins),
+words AS (SELECT r, len(w) AS total, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM texts),
+ahead AS (SELECT r, p, total, [word, {", ".join(f"lead(word, {k}) OVER s" for k in range(1, _WINDOW))}] AS ws
+          FROM words WINDOW s AS (PARTITION BY r ORDER BY p)),
+here AS (SELECT r, p, n, array_to_string(ws[1:n], ' ') AS win FROM ahead JOIN lens ON p + n - 1 <= total),
+hits AS (SELECT r, p, n, item_id FROM here JOIN wins USING (n, win)),
+covered AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT r, p, n FROM hits)) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+          FROM (SELECT DISTINCT r, item_id::VARCHAR AS name FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+
+def _crc32_sql(value: str) -> str:
+    """CRC-32 of a VARCHAR in DuckDB, bit by bit over its UTF-8 bytes."""
+    bits = (f"flatten([[(('0x' || hex(encode({value}))[2 * i - 1:2 * i])::BIGINT >> b) & 1 FOR b IN range(8)] "
+            f"FOR i IN range(1, strlen({value}) + 1)])")
+    step = f"xor(c >> 1, CASE WHEN (c & 1) = bit THEN 0 ELSE {0xEDB88320} END)"
+    return f"xor(list_reduce(list_prepend({0xFFFFFFFF}::BIGINT, {bits}), lambda c, bit: {step}), {0xFFFFFFFF})"
+
+
+_B = target_resampling.BUCKETS
+OP12_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TEXT_WORDS} AS w FROM documents),
+words AS (SELECT r, unnest(w) AS word FROM docs),
+goal AS (SELECT unnest({_TEXT_WORDS}) AS word FROM benchmark),
+buckets AS (SELECT word, {_crc32_sql("word")} % {_B} AS bucket FROM (SELECT word FROM words UNION SELECT word FROM goal)),
+raw AS (SELECT bucket, count(*) AS s FROM words JOIN buckets USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM goal JOIN buckets USING (word) GROUP BY bucket),
+whole AS (SELECT (SELECT count(*) FROM words) AS s_all, (SELECT count(*) FROM goal) AS t_all),
+gain AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + {_B})::DOUBLE
+                / ((s + 1)::DOUBLE * (t_all + {_B})::DOUBLE)))::BIGINT AS gain FROM raw LEFT JOIN target USING (bucket), whole),
+sums AS (SELECT r, count(*) AS n, sum(gain)::BIGINT AS total FROM words JOIN buckets USING (word) JOIN gain USING (bucket) GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce((total - ((total % n) + n) % n) // n, 0)::BIGINT AS weight,
+         ('0x' || sha256('{target_resampling.SEED}:' || coalesce(doc_id::VARCHAR, 'null'))[1:8])::BIGINT AS h
+  FROM docs LEFT JOIN sums USING (r)),
+final AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score,
+          n_features < {target_resampling.MIN_WORDS} AS short FROM scored),
+placed AS (SELECT *, row_number() OVER (ORDER BY short, score DESC, doc_id NULLS FIRST, n_features) AS place FROM final)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= {target_resampling.PERCENT} * (SELECT count(*) FROM final WHERE NOT short) // 100 THEN place END AS rank
+FROM placed
+"""
+
+
+def _digest_sql(fields: dict[str, str]) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen(({v})::VARCHAR)::VARCHAR || ':' || ({v})::VARCHAR, '-')" for v in fields.values()) + ")"
+
+
+_K = merkle_manifest.ARITY
+_FIELDS = {f: f for f in merkle_manifest.FIELDS}
+_TAMPERED = f"CASE WHEN {_crc32_sql('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+
+
+def _trees_sql(name: str, nodes: str) -> str:
+    """Levels of trees (tree, level, digests) as a recursive table, from ``nodes`` (tree, digests)."""
+    return f"""{name}(tree, level, hs) AS (
+  SELECT tree, 0, hs FROM ({nodes}) UNION ALL
+  SELECT tree, level + 1, [sha256(array_to_string(hs[{_K} * i + 1:{_K} * i + {_K}], '')) FOR i IN range((len(hs) + {_K - 1}) // {_K})]
+  FROM {name} WHERE len(hs) > 1)"""
+
+
+_SIBLINGS = (f"array_to_string(hs[j - j % {_K} + 1:j], '') AS lefts, "
+             f"array_to_string(hs[j + 2:j - j % {_K} + {_K}], '') AS rights")
+OP13_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM (
+    SELECT row_number() OVER () AS r, doc_id, source, {_digest_sql(_FIELDS)} AS leaf,
+           {_digest_sql(_FIELDS | {"text": _TAMPERED})} AS shown FROM documents)),
+groups AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, list(leaf ORDER BY place) AS hs FROM leaves GROUP BY source),
+{_trees_sql("low", "SELECT tree, hs FROM groups")},
+subroots AS (SELECT tree, hs[1] AS subroot FROM low WHERE len(hs) = 1),
+{_trees_sql("high", "SELECT 0 AS tree, list(subroot ORDER BY tree) AS hs FROM subroots")},
+rows_ AS (SELECT l.*, g.tree FROM leaves l JOIN groups g ON l.source IS NOT DISTINCT FROM g.source),
+steps AS (
+  SELECT r, level, {_SIBLINGS} FROM (SELECT r, level, hs, place // (pow({_K}, level))::BIGINT AS j FROM rows_ JOIN low USING (tree) WHERE len(hs) > 1)
+  UNION ALL
+  SELECT r, 1000 + level, {_SIBLINGS} FROM (SELECT r, level, hs, rows_.tree // (pow({_K}, level))::BIGINT AS j FROM rows_, high WHERE len(hs) > 1)),
+paths AS (SELECT r, list(lefts ORDER BY level) AS lefts, list(rights ORDER BY level) AS rights,
+          string_agg(lefts || rights, '' ORDER BY level) AS proof FROM steps GROUP BY r),
+folds(r, i, h) AS (
+  SELECT r, 0, shown FROM rows_ UNION ALL
+  SELECT f.r, i + 1, sha256(lefts[i + 1] || h || rights[i + 1]) FROM folds f JOIN paths p ON f.r = p.r WHERE i < len(lefts)),
+ends AS (SELECT r, arg_max(h, i) AS folded_root FROM folds GROUP BY r),
+root AS (SELECT hs[1] AS root FROM high WHERE len(hs) = 1)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM rows_ JOIN subroots USING (tree) JOIN ends USING (r) LEFT JOIN paths USING (r), root
+"""
+ORACLE_SQL = {"op2_embedding_links": OP2_SQL, "op6_url_blocklist": OP6_SQL, "op7_source_mix": OP7_SQL, "op10_chat_format": OP10_SQL,
+              "op11_pattern_search": OP11_SQL, "op12_target_resampling": OP12_SQL, "op13_merkle_manifest": OP13_SQL}
