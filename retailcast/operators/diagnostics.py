@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from retailcast.config import (IQR_MULTIPLIER, LEAKAGE_CORRELATION, MAX_FEATURES, MIN_TRAIN_ROWS,
                                OUTLIER_PCT_DIGITS, SHIFT_THRESHOLD, ZERO_TARGET_SHARE)
+from retailcast.operators.ordering import null_safe
 from retailcast.operators.quantiles import exact_quantiles
 
 
@@ -25,7 +26,7 @@ def outlier_summary(df: DataFrame, col: str, group_cols: list[str] | None = None
     q = q.withColumns({"lower_bound": F.col("q1") - k * iqr, "upper_bound": F.col("q3") + k * iqr})
     x = F.col(col)
     if g:
-        j = df.select(*g, x).join(q, g)
+        j = null_safe(df.select(*g, x), q, g, "left")  # a group of nulls has no quantiles, but a row
     else:
         vals = q.select(F.array("q1", "q3", "lower_bound", "upper_bound")).scalar()
         j = df.select(x).withColumns({"q1": vals[0], "q3": vals[1], "lower_bound": vals[2],
@@ -35,7 +36,7 @@ def outlier_summary(df: DataFrame, col: str, group_cols: list[str] | None = None
         F.count(out).alias("count"), F.count(x).alias("__n"),
         F.min(out).alias("min_outlier"), F.max(out).alias("max_outlier"))
     return agg.select(*g, "q1", "q3", "lower_bound", "upper_bound", "count",
-                      F.round(F.col("count") / F.col("__n") * 100, OUTLIER_PCT_DIGITS).alias("percentage"),
+                      F.round(F.try_divide("count", "__n") * 100, OUTLIER_PCT_DIGITS).alias("percentage"),
                       "min_outlier", "max_outlier")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailcast.config import MIN_ENSEMBLE_WEIGHT
+from retailcast.operators.features import apply_windows
 
 # --- fixed values: deterministic stand-in forecasters -------------------------
 BASELINES = ("naive_lag_1", "naive_lag_7", "trailing_mean_7")
@@ -19,14 +20,13 @@ def baseline_predictions(df: DataFrame, target: str = "sales", group_cols=("stor
                          order_col: str = "date", keep=("split",)) -> DataFrame:
     """Three deterministic forecasts: previous row, row 7 back, mean of the 7 previous rows.
 
-    One window pass; the three forecasts are unpivoted with ``explode`` (no union).
+    One window pass over chunks of each series, so that a hot one is split; the three forecasts
+    are unpivoted with ``explode`` (no union).
     """
-    w = Window.partitionBy(*group_cols).orderBy(order_col)
     keys = [order_col, *group_cols, *[k for k in keep if k in df.columns]]
-    wide = df.select(*keys, F.col(target).alias("actual"),
-                     F.lag(target, 1).over(w).alias("__p0"),
-                     F.lag(target, 7).over(w).alias("__p1"),
-                     F.avg(target).over(w.rowsBetween(-7, -1)).alias("__p2"))
+    columns = {"__p0": lambda w: F.lag("actual", 1).over(w), "__p1": lambda w: F.lag("actual", 7).over(w),
+               "__p2": lambda w: F.avg("actual").over(w.rowsBetween(-7, -1))}
+    wide = apply_windows(df.select(*keys, F.col(target).alias("actual")), columns, list(group_cols), order_col, history=7)
     preds = F.array(*[F.struct(F.lit(name).alias("model"), F.col(f"__p{i}").alias("prediction"))
                       for i, name in enumerate(BASELINES)])
     x = wide.select(*keys, "actual", F.explode(preds).alias("__p"))

@@ -84,10 +84,11 @@ def apply_windows(df: DataFrame, columns: dict[str, callable], group_cols: list[
     chunk_rows = max(int(chunk_rows or 4096), history + 1)
     idx = row_index(df, [order_col], group_cols)
     chunk = F.floor(F.col(POS) / chunk_rows)
-    own = idx.withColumns({CHUNK: chunk, CARRY: F.lit(False)})
-    carried = (idx.where((F.col(POS) % chunk_rows) >= chunk_rows - history)
-                  .withColumns({CHUNK: chunk + 1, CARRY: F.lit(True)}))
-    both = cluster_by(own.unionByName(carried), group_cols + [CHUNK])
+    # a row goes to its own chunk, and one of a chunk's last rows to the next chunk too
+    own, next_ = F.struct(chunk.alias("c"), F.lit(False).alias("k")), F.struct((chunk + 1).alias("c"), F.lit(True).alias("k"))
+    places = F.when(F.col(POS) % chunk_rows >= chunk_rows - history, F.array(own, next_)).otherwise(F.array(own))
+    both = idx.select("*", F.explode(places).alias("__place")).select("*", F.col("__place.c").alias(CHUNK), F.col("__place.k").alias(CARRY))
+    both = cluster_by(both.drop("__place"), group_cols + [CHUNK])
     spec = Window.partitionBy(*group_cols, CHUNK).orderBy(POS)
     out = both.withColumns({n: f(spec) for n, f in columns.items()})
     return out.where(~F.col(CARRY)).drop(CHUNK, CARRY, POS)

@@ -1,20 +1,24 @@
-"""Run ledger kept as append-only parquet tables (runs, params, metrics, versions, stages).
+"""Run ledger kept as append-only parquet tables (runs, params, metrics, stages) and version logs.
 
 Tables live under one root on shared storage.  Nothing is ever rewritten in
 place: a stage change is a new event row and the current stage is the latest
-event, so concurrent writers only append.
+event, so concurrent writers only append.  Versions are put-if-absent files
+(see commit_log), so that two writers never hold the same one.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import os
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retailcast.sources import commit_log
+
 RUNS = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("run_name", T.StringType()),
                      T.StructField("status", T.StringType()), T.StructField("logged_at", T.TimestampType())])
 PARAMS = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("key", T.StringType()),
@@ -92,27 +96,34 @@ def best_run(spark: SparkSession, root: str, key: str, ascending: bool = True) -
     return m.orderBy(order, "run_id").limit(1)
 
 
+def _claims(root: str, model_name: str) -> str:
+    """Folder of a model's version log; any name is a valid folder name."""
+    return f"{_path(root, 'model_versions')}/model={quote(model_name, safe='')}"
+
+
 def register_version(spark: SparkSession, root: str, model_name: str, run_id: str) -> DataFrame:
-    """Append the next free version of ``model_name`` and return that row.
+    """Claim the next free version of ``model_name`` and return that row.
 
-    Two writers may claim one version: the earlier claim (then the smaller run id) holds, and the
-    other writer, which reads its claim back, tries the next one.  Reads ignore lost claims.
+    A version is a put-if-absent file: of several writers one gets it, and the others go on to the next, whatever
+    their clocks say.
     """
-    while True:
-        v = read(spark, root, "model_versions").where(F.col("model_name") == model_name)
-        nxt = int(v.agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0])
+    def content(version: int, _last) -> dict:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        _append(spark.createDataFrame([(model_name, nxt, run_id, now)], VERSIONS), root, "model_versions")
-        own = versions(spark, root).where((F.col("model_name") == model_name) & (F.col("version") == nxt))
-        if own.first()["run_id"] == run_id:
-            return own
+        return {"model_name": model_name, "version": version, "run_id": run_id, "created_at": now.isoformat(sep=" ")}
+
+    version = commit_log.commit(spark, _claims(root, model_name), content)["version"]
+    return versions(spark, root).where((F.col("model_name") == model_name) & (F.col("version") == version))
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:
-    """Registered versions: of several claims to one version the earliest, then the smallest run id."""
-    claims = read(spark, root, "model_versions")
-    first = F.min(F.struct("created_at", "run_id")).alias("__first")
-    return claims.groupBy("model_name", "version").agg(first).select("model_name", "version", "__first.run_id", "__first.created_at")
+    """Registered versions of all models, read from their version logs."""
+    try:
+        return (spark.read.schema(VERSIONS).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+                .json(_path(root, "model_versions")))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # anything else is no empty ledger
+            raise
+        return spark.createDataFrame([], VERSIONS)
 
 
 def set_stage(spark: SparkSession, root: str, model_name: str, version: int, stage: str) -> None:

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 from retailcast.config import (CONFIDENCE_LEVELS, FEATURE_IMPORTANCE_THRESHOLD, FOREST_PARAMS, GBT_PARAMS,
                                PREDICTION_HORIZON)
 from retailcast.operators import encode, evaluation, metrics
-from retailcast.operators.features import materialize, numeric_columns
+from retailcast.operators.features import apply_windows, materialize, numeric_columns
+from retailcast.operators.ordering import null_safe
 from retailcast.operators.quantiles import exact_quantiles
+from retailcast.operators.tree_expression import TreeEnsemble
 
 FEATURES = "features"
 # Memory for split statistics per task.  It only decides how many tree nodes are
@@ -192,7 +195,7 @@ def prediction_intervals(preds: DataFrame, levels=CONFIDENCE_LEVELS, keys=("stor
         probs += [(1 - c) / 2, (1 + c) / 2]
     val = preds.where(F.col("split") == "validation").withColumn("__r", F.col("actual") - F.col("prediction"))
     q = exact_quantiles(val, "__r", probs, ["model", *keys])
-    test = preds.where(F.col("split") == "test").join(q, ["model", *keys], "left")
+    test = null_safe(preds.where(F.col("split") == "test"), q, ["model", *keys], "left")
     cols = {}
     for i, c in enumerate(levels):
         tag = str(int(round(c * 100)))
@@ -201,14 +204,29 @@ def prediction_intervals(preds: DataFrame, levels=CONFIDENCE_LEVELS, keys=("stor
     return test.withColumns(cols).drop(*[f"q_{i}" for i in range(len(probs))])
 
 
+def with_bounds(preds: DataFrame, bounds: DataFrame, keys=("date",), lower: str = "lower", upper: str = "upper") -> DataFrame:
+    """Predictions with ``prediction_lower`` and ``prediction_upper`` from a table of given bounds.
+
+    Keys without bounds keep their rows, with nulls; nulls in keys match each other.  Keys with several bounds take the
+    widest, so no prediction is doubled.
+    """
+    widest = bounds.groupBy(*keys).agg(F.min(lower).alias("prediction_lower"), F.max(upper).alias("prediction_upper"))
+    return null_safe(preds, widest, list(keys), "left")
+
+
 def _tail(history: DataFrame, target: str, group_col: str, date_col: str, rows: int) -> DataFrame:
-    """(group, last date, its last ``rows`` values, oldest first): one row per group."""
-    w = Window.partitionBy(group_col).orderBy(F.desc(date_col))
-    last = history.select(group_col, date_col, F.col(target).cast("double").alias("__v")) \
-                  .withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= rows)
-    return last.groupBy(group_col).agg(F.max(date_col).alias(date_col),
-                                       F.transform(F.array_sort(F.collect_list(F.struct(-F.col("__rn"), "__v"))),
-                                                   lambda x: x["__v"]).alias("__tail"))
+    """(group, last date, its last ``rows`` known values, oldest first): one row per group.
+
+    Spark limits each group before the shuffle, so a hot group sends ``rows`` values from each task.  A group
+    without a known value has an empty tail.
+    """
+    w = Window.partitionBy(group_col).orderBy(F.col(date_col).desc_nulls_last(), F.desc("__v"))
+    value = history.select(group_col, date_col, F.col(target).cast("double").alias("__v"))
+    last = value.where("__v is not null").withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= rows)
+    tails = last.groupBy(group_col).agg(F.transform(F.array_sort(F.collect_list(F.struct(-F.col("__rn"), "__v"))),
+                                                    lambda x: x["__v"]).alias("__tail"))
+    ends = value.groupBy(group_col).agg(F.max(date_col).alias(date_col))
+    return null_safe(ends, tails, [group_col], "left").withColumn("__tail", F.coalesce("__tail", F.array().cast("array<double>")))
 
 
 def trailing_mean_forecast(history: DataFrame, target: str = "sales", group_col: str = "store_id",
@@ -218,7 +236,7 @@ def trailing_mean_forecast(history: DataFrame, target: str = "sales", group_col:
 
     A group's tail is an array of ``window`` values at most, and the steps fold over it in one expression.
     """
-    mean = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a)
+    mean = lambda a: F.try_divide(F.aggregate(a, F.lit(0.0), lambda s, x: s + x), F.size(a))
     start = F.struct(F.col("__tail").alias("tail"), F.array().cast("array<double>").alias("out"))
 
     def step(s, _):
@@ -233,34 +251,75 @@ def trailing_mean_forecast(history: DataFrame, target: str = "sales", group_col:
 
 
 LAG_FEATURES = ("lag_1", "lag_2", "lag_3", "lag_7", "mean_3", "mean_7", "day_of_week", "month")
+DEEPEST_LAG = 7
+
+
+def lag_vector(tail: F.Column, date: F.Column) -> F.Column:
+    """LAG_FEATURES as an array, from the values before ``date`` (oldest first).  A lag beyond the tail is NaN, a
+    mean is that of the values there are (none: NaN)."""
+    nan = F.lit(float("nan"))
+    at = lambda k: F.coalesce(F.get(tail, F.size(tail) - k), nan)
+
+    def mean(k):
+        last = F.slice(tail, F.greatest(F.size(tail) - (k - 1), F.lit(1)), F.lit(k))
+        return F.coalesce(F.try_divide(F.aggregate(last, F.lit(0.0), lambda s, x: s + x), F.size(last)), nan)
+
+    return F.array(at(1), at(2), at(3), at(7), mean(3), mean(7), F.weekday(date).cast("double"), F.month(date).cast("double"))
 
 
-def _lag_matrix(rows: DataFrame, date_col: str) -> DataFrame:
-    """Vector of LAG_FEATURES from ``__tail`` (the values before ``date_col``, oldest first)."""
-    at = lambda k: F.try_element_at("__tail", F.lit(-k))
-    mean = lambda k: F.aggregate(F.slice("__tail", -k, k), F.lit(0.0), lambda s, x: s + x) / k
-    columns = dict(zip(LAG_FEATURES, (at(1), at(2), at(3), at(7), mean(3), mean(7), F.weekday(date_col), F.month(date_col))))
-    return VectorAssembler(inputCols=list(LAG_FEATURES), outputCol=FEATURES).transform(
-        rows.where(F.size("__tail") >= 7).withColumns({n: c.cast("double") for n, c in columns.items()}))
+def lag_training_rows(history: DataFrame, target: str, group_col: str, date_col: str) -> DataFrame:
+    """(features, label) of the known values with the deepest history there is: 7 values before them, or fewer if
+    no series is that long, filled up with the oldest.  Series are cut into chunks, so a hot one is split."""
+    known = materialize(history.select(group_col, date_col, F.col(target).cast("double").alias("label")).where("label is not null"))
+    lags = {f"__l{k}": (lambda w, k=k: F.lag("label", k).over(w)) for k in range(DEEPEST_LAG, 0, -1)}
+    past = apply_windows(known, lags, [group_col], date_col, history=DEEPEST_LAG)
+    past = materialize(past.select(date_col, "label", F.filter(F.array(*lags), lambda x: x.isNotNull()).alias("__past")))
+    deepest = past.agg(F.max(F.size("__past"))).first()[0]
+    if deepest is None:
+        return past.select(array_to_vector(F.array().cast("array<double>")).alias(FEATURES), "label")
+    past = past.where(F.size("__past") == deepest)
+    oldest = F.coalesce(F.get("__past", F.lit(0)), F.col("label"))
+    full = F.concat(F.array_repeat(oldest, DEEPEST_LAG - deepest), "__past")
+    return past.select(array_to_vector(lag_vector(full, F.col(date_col))).alias(FEATURES), "label")
+
+
+def fold_forecast(history: DataFrame, model, target: str = "sales", group_col: str = "store_id", date_col: str = "date",
+                  horizon: int = PREDICTION_HORIZON) -> DataFrame:
+    """(group, date, step, prediction) of a model fitted on LAG_FEATURES, ``horizon`` days ahead of each group.
+
+    The model's trees become one expression, and the steps fold over a group's tail of at most 7 values: one
+    row per group, no plan and no job per step.  Every group with a row gets all steps.
+    """
+    trees = TreeEnsemble.of(model)
+    start = F.struct(F.col("__tail").alias("tail"), F.array().cast("array<double>").alias("out"))
+
+    def step(s, i):
+        p = trees.predict(lag_vector(s["tail"], F.date_add(date_col, i)))
+        # bound by a fold over one element: the prediction is used twice and made once
+        def grow(state, y):
+            grown = F.concat(state["tail"], F.array(y))
+            return F.struct(F.slice(grown, F.greatest(F.size(grown) - (DEEPEST_LAG - 1), F.lit(1)), F.lit(DEEPEST_LAG)).alias("tail"),
+                            F.concat(state["out"], F.array(y)).alias("out"))
+        return F.aggregate(F.array(p), s, grow)
+
+    fold = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step, lambda s: s["out"])
+    rows = _tail(history, target, group_col, date_col, DEEPEST_LAG).select(group_col, date_col, F.posexplode(fold).alias("__i", "prediction"))
+    return rows.select(group_col, F.date_add(date_col, F.col("__i") + 1).alias(date_col), (F.col("__i") + 1).alias("step"), "prediction")
 
 
 def recursive_forecast(history: DataFrame, target: str = "sales", group_col: str = "store_id",
                        date_col: str = "date", horizon: int = PREDICTION_HORIZON, params: dict | None = None) -> DataFrame:
     """Forecast ``horizon`` days ahead per group with a random forest fitted on lag features of ``history``,
-    each prediction fed back as the next step's history.  (group, date, step, prediction); groups of less
-    than seven rows are left out.  A step works on one row per group; every tenth step cuts the lineage.
+    each prediction fed back as the next step's history.  (group, date, step, prediction).
+
+    Every group with at least one row is forecast; lags beyond its history are NaN, which goes right at
+    every split.  Rows without a value are no history.  A table without any value gives no row.  Trees of a
+    table of less than 100 training rows see all of them: a bag that draws none would predict 0.
     """
-    w = Window.partitionBy(group_col).orderBy(date_col).rowsBetween(-7, -1)
-    past = history.select(group_col, date_col, F.col(target).cast("double").alias("label")) \
-                  .withColumn("__tail", F.collect_list("label").over(w))
-    model = fit_forest(materialize(_lag_matrix(past, date_col).select(FEATURES, "label")), "label", {**FOREST_PARAMS, **(params or {})})
-    state = materialize(_tail(history, target, group_col, date_col, 7))
-    parts = []
-    for step in range(1, horizon + 1):
-        ahead = _lag_matrix(state.withColumn(date_col, F.date_add(date_col, 1)), date_col)
-        done = model.transform(ahead)
-        state = done.select(group_col, date_col, F.concat(F.slice("__tail", 2, 6), F.array("prediction")).alias("__tail"))
-        if step % 10 == 0:
-            state = materialize(state)
-        parts.append(done.select(group_col, date_col, F.lit(step).alias("step"), "prediction"))
-    return reduce(DataFrame.unionByName, parts)
+    train = materialize(lag_training_rows(history, target, group_col, date_col))
+    few = train.limit(100).count()
+    if not few:
+        none = history.select(group_col, F.col(date_col), F.lit(0).alias("step"), F.lit(0.0).alias("prediction"))
+        return none.limit(0)
+    model = fit_forest(train, "label", {**FOREST_PARAMS, "bootstrap": few == 100, **(params or {})})
+    return fold_forecast(history, model, target, group_col, date_col, horizon)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retailcast.config import REQUIRED_COLUMNS, VALUE_RANGES
+from retailcast.sources.files import norm_path
+from retailcast.sources.footers import read_footers
 
 _ISSUE = T.StructType([T.StructField("issue", T.StringType()), T.StructField("detail", T.StringType())])
 
@@ -54,8 +56,8 @@ def per_file_checks(df: DataFrame, quantity: str = "quantity_sold", revenue: str
     per = _per_file(df, quantity, revenue)
     if listed is None:
         return per
-    names = listed.select(_norm_path("path").alias("file")).distinct()
-    rows = per.withColumn("file", _norm_path("file"))
+    names = listed.select(norm_path("path").alias("file")).distinct()
+    rows = per.withColumn("file", norm_path("file"))
     return names.join(rows, "file", "left").fillna(0, ["rows", "negative_quantity", "negative_revenue"])
 
 
@@ -66,24 +68,11 @@ def _per_file(df: DataFrame, quantity: str, revenue: str) -> DataFrame:
         F.count_if(F.col(revenue) < 0).alias("negative_revenue"))
 
 
-def _norm_path(c):
-    """'file:///x' and 'file:/x' name the same file: keep one slash after the scheme."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(col, r"^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
-
-
 def file_checks(spark: SparkSession, expected: DataFrame, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """Missing / zero-byte files (expected but not listed) and unreadable or empty ones
-    (listed but never seen by a tolerant scan).  ``expected`` has a ``path`` column."""
-    from retailcast.sources.files import list_files, read_parquet_tolerant
-
-    listed = list_files(spark, root, "*.parquet").select(_norm_path("path").alias("path"))
-    missing = expected.select(_norm_path("path").alias("path")).join(listed, "path", "left_anti") \
-                      .select(F.lit("missing_or_empty_file").alias("issue"), F.col("path").alias("detail"))
-    seen = read_parquet_tolerant(spark, root, schema).select(_norm_path(F.input_file_name()).alias("path")).distinct()
-    unreadable = listed.join(seen, "path", "left_anti") \
-                       .select(F.lit("unreadable_or_no_rows").alias("issue"), F.col("path").alias("detail"))
-    return missing.unionByName(unreadable)
+    """(issue, detail): why an expected or listed file is bad (missing file, zero bytes, damaged footer, no rows), and
+    its path.  ``expected`` has a ``path`` column.  Only footers are read."""
+    return (read_footers(spark, root, expected=expected, schema=schema).where("problem is not null")
+            .select(F.col("problem").alias("issue"), F.col("path").alias("detail")))
 
 
 def issue_summary(issues: DataFrame, first_n: int = 10) -> DataFrame:
@@ -97,18 +86,34 @@ def issue_summary(issues: DataFrame, first_n: int = 10) -> DataFrame:
                .select(total.alias("num_issues_found"), "first_issues")
 
 
-def missing_items(expected: DataFrame, found: DataFrame, name_col: str = "name", key_col: str = "key",
-                  most: int = 10_000) -> DataFrame:
-    """Expected names that no found key contains (substring match).
+def head_sample(df: DataFrame, order_cols: list[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows in the order of ``order_cols`` (nulls first): a top-k, not a sort of all rows."""
+    return df.orderBy(*order_cols).limit(n)
 
-    ``expected`` is a list written by hand, at most ``most`` names.  The listing grows with the
-    data and is only scanned: each key meets the names, and the names met go to an equi anti join.
-    """
-    names = [r[0] for r in expected.select(name_col).distinct().limit(most + 1).collect() if r[0] is not None]
-    if len(names) > most:
-        raise ValueError(f"more than {most} expected names")
-    if not names:
-        return expected.limit(0)
-    key = F.col(key_col)
-    met = found.select(F.explode(F.filter(F.array(*[F.lit(n) for n in names]), lambda n: key.contains(n))).alias(name_col)).distinct()
-    return expected.join(met, name_col, "left_anti")
+
+def stripped(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``cols`` without white space at both ends; a text of white space only becomes empty."""
+    return df.withColumns({c: F.regexp_replace(c, r"^\s+|\s+$", "") for c in cols})
+
+
+def rounded_to(df: DataFrame, cols: list[str], digits: int = 2) -> DataFrame:
+    """``cols`` rounded half away from zero."""
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
+def data_summary(facts: DataFrame, issues: DataFrame, first_n: int = 10) -> DataFrame:
+    """One row for a report: files validated, rows and bad files from footers, issues found and the first of them."""
+    files = facts.agg(F.count("*").alias("files_validated"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total_rows"),
+                      F.count("problem").alias("bad_files"))
+    found = issue_summary(issues, first_n)
+    return files.crossJoin(F.broadcast(found)).select(  # one row each
+        "files_validated", "total_rows", "bad_files", F.col("num_issues_found").alias("issues_found"), F.col("first_issues").alias("issues"))
+
+
+def missing_items(expected: DataFrame, found: DataFrame, name_col: str = "name", key_col: str = "key") -> DataFrame:
+    """Expected names that no found key contains (substring match); null names are none."""
+    from retailcast.operators.completeness import found_items
+
+    items = found_items(expected.select(F.col(name_col).alias("name")), found.select(F.col(key_col).alias("key")))
+    missing = items.where(~F.col("found")).select(F.col("name").alias(name_col))
+    return expected.join(missing, name_col, "left_semi")

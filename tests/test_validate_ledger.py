@@ -35,7 +35,7 @@ def test_file_checks_and_summary(spark, tmpdir_path):
     expected = spark.createDataFrame([(good[0],), ("file:" + os.path.join(root, "gone.parquet"),)], "path string")
     issues = validate.file_checks(spark, expected, root, T.StructType([T.StructField("a", T.IntegerType())]))
     kinds = sorted(r.issue for r in issues.collect())
-    assert kinds == ["missing_or_empty_file", "unreadable_or_no_rows"]
+    assert kinds == ["damaged footer", "missing file"]
     s = validate.issue_summary(issues, 1).first()
     assert s.num_issues_found == 2 and len(s.first_issues) == 1
 
