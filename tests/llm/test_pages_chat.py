@@ -32,6 +32,39 @@ def test_blocks_of_a_page():
     assert page_blocks('<div class="has-sidebar"><p>a</p><div class="sidebar-left">b</div></div>') == ([], ["b"], ["a"])
 
 
+def test_labels_that_only_hold_a_listed_word():
+    """Text of an article stays where an id or class merely contains the name of page furniture."""
+    kept = ['<h2 id="related-work">t</h2>', '<h3 id="search">t</h3>', '<section class="related-work">t</section>', '<div class="share-price">t</div>',
+            '<p id="notice-period">t</p>', '<div class="search-history">t</div>', '<h2 id="menu">t</h2>', '<div class="no-sidebar">t</div>', '<p class="">t</p>']
+    for tag in kept:
+        assert page_blocks(f"<article><p>a</p>{tag}<p>b</p></article>")[0] == ["a", "t", "b"], tag
+    left_out = ['<div class="ad-box">t</div>', '<div class="share-buttons">t</div>', '<div id="comments">t</div>', '<section class="user-comments">t</section>',
+                '<div class="comment-list-2">t</div>', '<div class="newsletter-signup">t</div>', '<ul class="related-posts">t</ul>', '<p class="notice">t</p>',
+                '<div class="x cookie-notice">t</div>', '<div class="ads--top">t</div>', '<div role=complementary>t</div>', '<h2 id="comments">t</h2>',
+                '<div class="social-media">t</div>', '<div class="ad-300x250">t</div>']
+    for tag in left_out:
+        assert page_blocks(f"<article><p>a</p>{tag}<p>b</p></article>")[0] == ["a", "b"], tag
+
+
+def test_self_closed_and_unclosed_elements():
+    assert page_blocks('<article><p>A <svg class="i"/> B</p><p>C</p></article>')[0] == ["A B", "C"]
+    assert page_blocks("<article><p>A <svg/> B</p><p>C <svg><text>no</text></svg>D</article>")[0] == ["A B", "C D"]
+    assert page_blocks("<article><p>A<select><p>B</p><video src=x>C</article>")[0] == ["A", "B", "C"]
+    assert page_blocks("<article><p>A<script src='x'/>B<script>no</script>C</article>")[0] == ["ABC"]
+    assert page_blocks("<article><p>A</p><script>no <p>no</p>")[0] == ["A"]
+
+
+def test_near_copies_on_unmarked_pages_keep_their_text(spark):
+    words = [f"w{k}" for k in range(200)]
+    near = [" ".join(words[:k] + [f"other{k}"] + words[k + 1:]) for k in (50, 120, 199)]
+    foot = "all rights are reserved by the owner of this site"
+    pages = [(i, "http://h.org/a", f"<div>{t}</div>") for i, t in enumerate(near)]
+    pages += [(10 + i, "http://h.org/b", f"<div>{' '.join(f'p{i}x{k}' for k in range(30))}</div><div>{foot}</div>") for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in page_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(3)] == near
+    assert all(got[10 + i] == " ".join(f"p{i}x{k}" for k in range(30)) for i in range(4))
+
+
 def test_suffix_order_and_repeats():
     rng = random.Random(3)
     for _ in range(40):
