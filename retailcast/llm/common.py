@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,11 +125,45 @@ def filter_rows(docs: DataFrame, keep: Callable[[bytes], bool]) -> DataFrame:
     return packed.mapInArrow(run, T.StructType([T.StructField("doc", docs.schema)])).select("doc.*")
 
 
+def numbered(rows: DataFrame, order: list[Column], name: str, range_rows: int = 50_000) -> DataFrame:
+    """``rows`` with ``place``, the position from 0 in ``order``.  Rows that tie keep their order in the table.
+
+    Rows are dealt to sorted ranges, which are written; a range's first place is the number of rows before it.
+    A range is cut at sampled rows and ties are cut too, so a value of any frequency is split.
+    """
+    rows = written(rows.withColumn("at", F.monotonically_increasing_id()), name)
+    parts = 1 + rows.count() // range_rows
+    dealt = rows.repartitionByRange(parts, *order, "at").sortWithinPartitions(*order, "at").drop("at")
+    dealt = written(dealt.withColumn("at", F.monotonically_increasing_id()), name)
+    # monotonically_increasing_id: the partition above 33 bits, the row in it below
+    held = dealt.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    first = written(held.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), name)
+    inside = F.col("at").bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
+    return (dealt.withColumn("part", F.shiftright("at", 33)).join(first, "part")
+            .withColumn("place", F.col("first") + inside).drop("part", "first", "at"))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """(key, doc) with a long key of its own for each row: the doc_id where none is null or repeated, else
-    a number given in a written copy.  ``doc`` holds all columns."""
+    """(key, doc) with a long key of its own for each row; ``doc`` holds all columns.
+
+    The key is the doc_id where it is known and no other row has it.  The other rows get numbers beyond all ids, in
+    the order of a hash of the whole row, so that keys follow from the rows and not from their files; copies of one
+    row are next to each other, and which gets which number makes no difference.
+    """
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    n = docs.agg(F.count("*").alias("rows"), F.count("doc_id").alias("known"), F.countDistinct("doc_id").alias("own")).first()
+    n = docs.agg(F.count("*").alias("rows"), F.count("doc_id").alias("known"), F.countDistinct("doc_id").alias("own"),
+                 F.max(F.col("doc_id").cast("long")).alias("most"), F.min(F.col("doc_id").cast("long")).alias("least")).first()
     if n["rows"] == n["known"] == n["own"]:
         return docs.select(F.col("doc_id").cast("long").alias("key"), doc)
-    return written(docs.select(F.monotonically_increasing_id().alias("key"), doc), "keyed")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("h1"),
+                       F.xxhash64(F.lit(1), *[F.col(f"`{c}`") for c in docs.columns]).alias("h2"), doc)
+    rows = written(rows, "keyed")
+    again = written(rows.where("id is not null").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "again")
+    own = rows.where("id is not null").join(again, "id", "left_anti")
+    others = rows.where("id is null").unionByName(rows.join(again, "id", "left_semi"))
+    place = F.col("place").cast("long")
+    up = (n["most"] if n["most"] is not None else -1) + n["rows"] < (1 << 63) - 1
+    key = F.lit((n["most"] if n["most"] is not None else -1) + 1) + place if up else F.lit(n["least"] - 1) - place
+    return own.select(F.col("id").alias("key"), "doc").unionByName(
+        numbered(others.select("h1", "h2", "doc"), [F.col("h1"), F.col("h2")], "others").select(key.alias("key"), "doc"))

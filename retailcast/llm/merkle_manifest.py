@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retailcast.llm.common import written
+from retailcast.llm.common import numbered, written
 from retailcast.operators.ordering import null_safe
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -44,25 +44,6 @@ def fold_path(leaf: str | Column, path: str | Column) -> Column:
     return F.aggregate(path, start, lambda h, s: F.sha2(F.concat(s["left"], h, s["right"]), 256))
 
 
-def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """``rows`` with ``place``, the position from 0 in ``order``.  Rows that tie keep their order in the table.
-
-    Rows are dealt to sorted ranges, which are written; a range's first place is the number of rows before it.
-    A range is cut at sampled rows and ties are cut too, so a value of any frequency is split.
-    """
-    rows = written(rows.withColumn("at", F.monotonically_increasing_id()), name)
-    spark, parts = rows.sparkSession, 1 + rows.count() // RANGE_ROWS
-    dealt = rows.repartitionByRange(parts, *order, "at").sortWithinPartitions(*order, "at").drop("at")
-    dealt = written(dealt.withColumn("at", F.monotonically_increasing_id()), name)
-    # monotonically_increasing_id: the partition above 33 bits, the row in it below
-    held = dealt.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
-    first = written(held.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), name)
-    inside = F.col("at").bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
-    return (dealt.withColumn("part", F.shiftright("at", 33)).join(first, "part")
-            .withColumn("place", F.col("first") + inside).drop("part", "first", "at"))
-
-
 def _levels(arity: int) -> int:
     n = 1
     while arity ** (n + 1) <= CHUNK_ROWS:
@@ -142,8 +123,8 @@ def merkle_manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: st
     extra = [c.alias(f"x_{name}") for name, c in (carry or {}).items()]
     leaves = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{group}`").alias("grp"), leaf_digest(named).alias("h"), *extra)
     order = [F.col("grp").asc_nulls_first(), F.col("key").asc_nulls_first(), F.col("h")]
-    rows = numbered(leaves, order, "leaves")
-    trees = numbered(rows.groupBy("grp").agg(F.min("place").alias("start"), F.count("*").alias("n")), [F.col("grp").asc_nulls_first()], "trees")
+    rows = numbered(leaves, order, "leaves", RANGE_ROWS)
+    trees = numbered(rows.groupBy("grp").agg(F.min("place").alias("start"), F.count("*").alias("n")), [F.col("grp").asc_nulls_first()], "trees", RANGE_ROWS)
     trees = written(trees.withColumnRenamed("place", "tree"), "trees")
     rows = null_safe(rows, trees, ["grp"]).withColumn("idx", F.col("place") - F.col("start")).drop("place", "start")
     below = prove(rows.withColumn("leaf", F.col("h")), arity)

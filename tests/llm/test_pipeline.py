@@ -47,3 +47,41 @@ def test_odd_documents_pass_every_stage(spark):
 
 def test_run_is_the_registered_query(spark):
     assert queries.QUERIES["pipeline"](spark, SF_SMALL).count() > 0 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_keys_follow_from_the_rows(spark):
+    from retailcast.llm.common import keyed
+
+    schema = "doc_id long, text string, key string, doc int, h1 string"
+    rows = [(i, f"t{i}", "k", 1, "h") for i in range(30)] + [(3, "t3", "k", 1, "h"), (3, "other", "k", 1, "h"), (None, "n", None, None, None),
+                                                             (None, "n", None, None, None), (7, None, "k", 2, "h")]
+    for own in (rows, rows[:30], [], [(None, None, None, None, None)], [((1 << 63) - 1, "a", "k", 1, "h")] * 2, [(-(1 << 63), "a", "k", 1, "h")] * 2):
+        df = spark.createDataFrame(own, schema)
+        got = [sorted(((r["key"], *r["doc"]) for r in keyed(df.repartition(n)).collect()), key=str) for n in (1, 5)]
+        assert got[0] == got[1] and len({r[0] for r in got[0]}) == len(own)
+        assert sorted((r[1:] for r in got[0]), key=str) == sorted(own, key=str)
+        once = [r[0] for r in own if r[0] is not None and sum(o[0] == r[0] for o in own) == 1]
+        assert {r[1] for r in got[0] if r[0] == r[1]} >= set(once)
+
+
+def test_repeated_ids_do_not_depend_on_the_files(spark):
+    docs = queries.table(spark, SF_SMALL, "documents")
+    docs = written(docs.union(docs.limit(3)).union(docs.where("doc_id = 5")), "t")
+    columns = sorted(docs.columns)
+    for name, stage in corpus_pipeline.STAGES[2:4]:
+        one, two = (stage(spark, docs.repartition(n), SF_SMALL).select(columns) for n in (3, 7))
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect())), name
+
+
+def test_long_texts_and_clashing_columns_pass_every_stage(spark):
+    good = "plain words that say a little about this and that thing here and there with some more of them for the test of it all "
+    rows = [(i, good * 3 + " ".join(f"w{i}x{k}" for k in range(40)), "en", "s", 1, "a", 1, "b", 2.0, "c") for i in range(10)]
+    rows.append((99, " ".join(f"{good} v{k}" for k in range(4000)), "en", "s", 1, "a", 1, "b", 2.0, "c"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, key string, data int, doc string, "
+                                       "weight double, component_id string")
+    for _name, stage in corpus_pipeline.STAGES[:-1]:
+        columns, docs = docs.columns, written(stage(spark, docs, SF_SMALL), "t")
+        assert docs.columns == columns
+    assert docs.where("doc_id = 99").count() > 0
+    pieces = written(corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL), "t")
+    assert pieces.where("doc_id = 99").count() > 10
