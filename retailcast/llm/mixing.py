@@ -59,28 +59,35 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_
     taken in order of size; an empty table gives no row; other columns are left out.  The row that
     crosses a budget is taken if that comes nearer to it.
 
-    A source is cut into key ranges of about equal numbers of rows.  Ranges below the budget are taken
+    A source is cut into key ranges of about equal numbers of rows, whatever its weights.  Weights that are not positive
+    numbers count as 1.  Ranges below the budget are taken
     whole by their sums, and only the range that holds the budget is sorted, so a source of any size
     is split over tasks.
     """
     rows = docs.select(F.col("doc_id").cast("long"), "source", word_count().alias("size"))
     if quality is not None:
-        per_id = quality.select(F.col("doc_id").cast("long"), F.col("weight").cast("double")).where("doc_id is not null and weight > 0")
+        per_id = quality.select(F.col("doc_id").cast("long"), F.col("weight").cast("double")).where(
+            "doc_id is not null and weight > 0 and weight < double('Infinity')")  # NaN is greater than infinity
         rows = rows.join(per_id.groupBy("doc_id").agg(F.max("weight").alias("weight")), "doc_id", "left")
     else:
         rows = rows.withColumn("weight", F.lit(1.0))
-    rows = rows.withColumn("draw", -F.ln(uniform(seed)) / F.coalesce("weight", F.lit(1.0)))
-    rows = written(rows.select("doc_id", "source", "size", "draw"), "mix")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
-    targets = source_targets(sizes, weights, most)
-    # ranges of 1 - exp(-key): uniform where the weights are 1, monotone always
-    ranges = sizes.select("source", (1 + F.floor(F.col("rows") / bucket_rows)).alias("ranges"))
+    rows = rows.withColumn("weight", F.coalesce("weight", F.lit(1.0))).withColumn("draw", -F.ln(uniform(seed)) / F.col("weight"))
+    # weights by powers of two, 129 kinds at most
+    kind = F.greatest(F.lit(-64), F.least(F.lit(64), F.floor(F.log2("weight"))))
+    rows = written(rows.select("doc_id", "source", "size", "draw", "weight", kind.alias("kind")), "mix")
+    kinds = rows.groupBy("source", "kind").agg(F.sum("size").alias("size"), F.count("*").alias("rows"), F.avg("weight").alias("weight"))
+    sizes = written(kinds.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum("rows").alias("rows"),
+                                                F.collect_list(F.struct("weight", F.col("rows").cast("double").alias("rows"))).alias("kinds")), "sizes")
+    targets = source_targets(sizes.select("source", "source_size"), weights, most)
+    ranges = sizes.select("source", "rows", "kinds", (1 + F.floor(F.col("rows") / bucket_rows)).alias("ranges"))
     plan = targets.join(ranges, targets["source"].eqNullSafe(ranges["source"])).select(
-        targets["source"], "source_size", "target", "ranges",
+        targets["source"], "source_size", "target", "ranges", "rows", "kinds",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).alias("full"))
     plan = written(plan.withColumn("budget", F.col("target") - F.col("full") * F.col("source_size")), "plan")
-    at = F.floor((1 - F.exp(-F.col("draw"))) * F.col("ranges"))
-    rows = (rows.join(plan, rows["source"].eqNullSafe(plan["source"])).drop(plan["source"])
+    # the share of a source's rows expected below a draw, given its weights: rises with the draw, and in even steps
+    below = F.aggregate("kinds", F.lit(0.0), lambda s, k: s + k["rows"] * (1 - F.exp(-k["weight"] * F.col("draw"))))
+    at = F.floor(below / F.col("rows") * F.col("ranges"))
+    rows = (rows.drop("weight", "kind").join(plan, rows["source"].eqNullSafe(plan["source"])).drop(plan["source"])
             .withColumn("range", F.least(at, F.col("ranges") - 1)))
     sums = rows.groupBy("source", "range").agg(F.sum("size").alias("held"), F.first("budget").alias("budget"))
     below = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

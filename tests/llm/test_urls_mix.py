@@ -3,13 +3,14 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from retailcast.llm import blocklist, mixing, queries
 from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.llm.brute import words
 from tests.oracle_compare import compare_frames
 
-TABLES = ["documents", "embeddings", "pages", "labels", "conversations"]
+TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
@@ -122,6 +123,31 @@ def test_mix_against_a_plain_version(spark, bucket_rows):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("weight", [200.0, 0.01, None])
+def test_ranges_are_even_whatever_the_weights(spark, weight, monkeypatch):
+    """No key range holds more than twice the mean, so none is large to sort."""
+    seen = []
+    own = mixing.written
+    monkeypatch.setattr(mixing, "written", lambda df, name: seen.append((name, own(df, name))) or seen[-1][1])
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.lit("s").alias("source"))
+    mixed_weights = F.lit(weight) if weight else F.exp(F.col("id") % 12 - 4.0)
+    quality = df.select("doc_id", F.col("doc_id").alias("id")).select("doc_id", mixed_weights.cast("double").alias("weight"))
+    assert mixing.mix(df, quality=quality, bucket_rows=200).count() == 20_000
+    rows, plan = dict(seen)["mix"], dict(seen)["plan"].first()
+    share = F.aggregate(F.array(*[F.struct(F.lit(k["weight"]).alias("w"), F.lit(k["rows"]).alias("n")) for k in plan["kinds"]]), F.lit(0.0),
+                        lambda s, k: s + k["n"] * (1 - F.exp(-k["w"] * F.col("draw")))) / plan["rows"]
+    per = [r["count"] for r in rows.groupBy(F.floor(share * plan["ranges"])).count().collect()]
+    assert plan["ranges"] == 101 and len(per) > 95 and max(per) <= 2 * 20_000 / 101
+
+
+def test_weights_that_are_no_positive_numbers_count_as_one(spark):
+    rows = [(i, "w " * (3 + i), "s") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    odd = spark.createDataFrame([(1, float("nan")), (2, float("inf")), (3, -1.0), (4, 0.0), (5, None)], "doc_id long, weight double")
+    one, two = (sorted((r["doc_id"], r["epochs"]) for r in mixing.mix(df, quality=q).collect()) for q in (odd, None))
+    assert one == two
+
+
 def test_mix_reaches_its_targets(spark):
     got = queries.op7_source_mix(spark, SF_ORACLE).join(queries.table(spark, SF_ORACLE, "documents").select("doc_id", "source"), "doc_id")
     per = got.groupBy("source").agg({"taken": "sum", "target": "max", "size": "max"}).collect()
