@@ -89,40 +89,42 @@ def _nth_weekday(year: Column, month: int, dow: str, nth: int) -> Column:
     return F.date_add(F.next_day(F.date_sub(first, 1), dow), 7 * (nth - 1))
 
 
-def _in_years(year: Column, since: int, until: int | None) -> Column:
-    return (year >= since) if until is None else year.between(since, until)
+def _in_years(year: str, since: int, until: int | None) -> str:
+    return f"{year} >= {since}" if until is None else f"{year} BETWEEN {since} AND {until}"
 
 
-def _fixed_date(d: Column) -> Column:
+def _fixed_date(d: str) -> str:
     """Is the date itself a holiday with a fixed month and day (observed dates left out)?"""
-    hit = F.lit(False)
-    for _name, month, day, since, until in FIXED_DATE_HOLIDAYS:
-        hit = hit | ((F.month(d) == month) & (F.dayofmonth(d) == day) & _in_years(F.year(d), since, until))
-    return hit
+    return "(" + " OR ".join(f"(month({d}) = {month} AND day({d}) = {day} AND {_in_years(f'year({d})', since, until)})"
+                             for _name, month, day, since, until in FIXED_DATE_HOLIDAYS) + ")"
 
 
-def is_holiday(d: Column) -> Column:
-    """Is the date a US federal holiday, actual or observed?  Null dates give null."""
-    hit = _fixed_date(d)
-    day, left = F.dayofmonth(d), F.dayofmonth(F.last_day(d)) - F.dayofmonth(d)
+def is_holiday(d: str) -> Column:
+    """Is the date a US federal holiday, actual or observed?  Null dates give null.
+
+    ``d`` is the SQL text of a date.  The rules are parsed as one text: built of single columns they
+    take longer to put together than many a query to run.
+    """
+    left, rules = f"day(last_day({d})) - day({d})", [_fixed_date(d)]
     for _name, month, dow, nth, since, until in NTH_WEEKDAY_HOLIDAYS:
         # the nth such weekday lies in days 7n-6 .. 7n, counted from the month's end if n < 0
-        place = day.between(7 * nth - 6, 7 * nth) if nth > 0 else left.between(-7 * nth - 7, -7 * nth - 1)
-        hit = hit | ((F.month(d) == month) & (weekday0(d) == WEEKDAYS.index(dow)) & place & _in_years(F.year(d), since, until))
-    moved = ((weekday0(d) == 4) & _fixed_date(F.date_add(d, 1))) | ((weekday0(d) == 0) & _fixed_date(F.date_sub(d, 1)))
-    return hit | ((F.year(F.date_add(d, 1)) >= OBSERVED_SINCE) & moved)
+        place = f"day({d}) BETWEEN {7 * nth - 6} AND {7 * nth}" if nth > 0 else f"{left} BETWEEN {-7 * nth - 7} AND {-7 * nth - 1}"
+        rules.append(f"(month({d}) = {month} AND weekday({d}) = {WEEKDAYS.index(dow)} AND {place} AND {_in_years(f'year({d})', since, until)})")
+    next_, before = f"date_add({d}, 1)", f"date_sub({d}, 1)"
+    rules.append(f"(year({next_}) >= {OBSERVED_SINCE} AND ((weekday({d}) = 4 AND {_fixed_date(next_)}) OR (weekday({d}) = 0 AND {_fixed_date(before)})))")
+    return F.expr(" OR ".join(rules))
 
 
 def holiday_dimension(spark: SparkSession, years: tuple[int, int]) -> DataFrame:
     """Every US federal holiday of the given years, actual and observed dates: one column ``date``."""
     first, last = (F.make_date(F.lit(y), F.lit(m), F.lit(d)) for y, m, d in ((years[0], 1, 1), (years[1], 12, 31)))
     days = spark.range(1).select(F.explode(F.sequence(first, last)).alias("date"))
-    return days.where(is_holiday(F.col("date")))
+    return days.where(is_holiday("date"))
 
 
 def holiday_flag(df: DataFrame, date_col: str = "date", out_col: str = "is_holiday") -> DataFrame:
     """Add a 0/1 tinyint flag: is ``date_col`` a holiday (actual or observed)?  Null dates get 0."""
-    d = F.col(date_col).cast("date")
+    d = f"CAST(`{date_col}` AS DATE)"
     return df.withColumn(out_col, F.coalesce(is_holiday(d), F.lit(False)).cast("tinyint"))
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,18 +62,67 @@ def safe_corr(x, y):
     return F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
 
 
+MOMENTS = "feature string, n long, mx double, my double, xx double, yy double, xy double"
+
+
+def _partial_moments(cols: list[str], target: str):
+    """One row per column and task: count, means and central co-moments of (column, target) pairs without nulls."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(cols), 6))
+        for batch in batches:
+            x = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in cols]) if cols else np.empty((0, 0))
+            y = np.broadcast_to(batch.column(target).to_numpy(zero_copy_only=False).astype(float), x.shape)
+            null = np.stack([batch.column(c).is_null().to_numpy(zero_copy_only=False) for c in cols]) | batch.column(target).is_null().to_numpy(zero_copy_only=False)
+            n = (~null).sum(axis=1)
+            some = np.maximum(n, 1)
+            mx, my = np.where(null, 0, x).sum(axis=1) / some, np.where(null, 0, y).sum(axis=1) / some
+            dx, dy = np.where(null, 0, x - mx[:, None]), np.where(null, 0, y - my[:, None])
+            total = merge_moments(total, np.stack([n, mx, my, (dx * dx).sum(axis=1), (dy * dy).sum(axis=1), (dx * dy).sum(axis=1)], axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(cols), pa.array(total[:, 0].astype(np.int64)), *(pa.array(total[:, i]) for i in range(1, 6))],
+                                         names=[f.split()[0] for f in MOMENTS.split(", ")])
+    return run
+
+
+def merge_moments(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Co-moments of two disjoint sets of rows taken together (columns n, mx, my, xx, yy, xy)."""
+    n = a[:, 0] + b[:, 0]
+    some = np.maximum(n, 1)
+    dx, dy, w = b[:, 1] - a[:, 1], b[:, 2] - a[:, 2], a[:, 0] * b[:, 0] / some
+    return np.stack([n, a[:, 1] + dx * b[:, 0] / some, a[:, 2] + dy * b[:, 0] / some, a[:, 3] + b[:, 3] + dx * dx * w,
+                     a[:, 4] + b[:, 4] + dy * dy * w, a[:, 5] + b[:, 5] + dx * dy * w], axis=1)
+
+
+def co_moments(df: DataFrame, cols: list[str], target: str) -> DataFrame:
+    """The MOMENTS of each column with the target over all rows.
+
+    Tasks reduce their rows, all columns at a time, to one row per column; those are merged per column by sums: with the
+    grand means, each part's moments shift by its means' distance from them.
+    """
+    typed = df.select(F.col(target).cast("double").alias("__y"), *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(cols)])
+    names = [f"__x{i}" for i in range(len(cols))]
+    parts = typed.mapInArrow(_partial_moments(names, "__y"), MOMENTS).where("n > 0")
+    label = F.element_at(F.array(*[F.lit(c) for c in cols]), F.substring("feature", 4, 9).cast("int") + 1)
+    per = parts.groupBy("feature").agg(F.collect_list(F.struct("n", "mx", "my", "xx", "yy", "xy")).alias("p"))  # one entry per task
+    total = lambda f: F.aggregate("p", F.lit(0.0), lambda s, x: s + f(x))
+    per = per.select(label.alias("feature"), "p", total(lambda x: x["n"]).cast("long").alias("n"))
+    per = per.select("*", (total(lambda x: x["n"] * x["mx"]) / F.col("n")).alias("mx"), (total(lambda x: x["n"] * x["my"]) / F.col("n")).alias("my"))
+    off = lambda x, c: x[c] - F.col(c)
+    return per.select("feature", "n", "mx", "my", *[
+        total(lambda x, a=a, b=b, m=m: x[m] + x["n"] * off(x, a) * off(x, b)).alias(m) for m, a, b in (("xx", "mx", "mx"), ("yy", "my", "my"), ("xy", "mx", "my"))])
+
+
 def target_correlations(df: DataFrame, target: str, cols: list[str],
                         threshold: float = LEAKAGE_CORRELATION) -> DataFrame:
-    """Pearson r of each column with the target (pairwise null skipping).
+    """Pearson r of each column with the target (pairwise null skipping), from mergeable co-moments: one pass over
+    the rows, which are not repeated per column.
 
-    The columns are unpivoted to (feature, value) rows and one small aggregate
-    runs per feature: the plan stays a handful of expressions however many
-    features there are, and partial aggregation keeps the extra rows cheap.
-    Constant columns give null.  Output: (feature, correlation, high).
+    Constant columns and columns without a pair give null.  Output: (feature, correlation, high).
     """
-    long = long_features(df, cols, [target])
-    corr = long.groupBy("feature").agg(safe_corr(F.col("value"), F.col(target)).alias("correlation"))
-    return corr.withColumn("high", F.abs("correlation") > threshold)
+    m = co_moments(df, cols, target)
+    corr = m.select("feature", F.try_divide("xy", F.sqrt("xx") * F.sqrt("yy")).alias("correlation"))
+    spark = df.sparkSession
+    names = spark.createDataFrame([(c,) for c in cols], "feature string")
+    return names.join(corr, "feature", "left").withColumn("high", F.abs("correlation") > threshold)
 
 
 def long_features(df: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailcast.config import TARGET_ENCODING_SMOOTHING
-from retailcast.operators.features import scalar_row
+from retailcast.operators.features import materialize, scalar_row
 
 
 def fit_label_codes(train: DataFrame, col: str) -> DataFrame:
@@ -53,10 +53,11 @@ def fit_target_encoding(train: DataFrame, col: str, target: str,
                         smoothing: float = TARGET_ENCODING_SMOOTHING) -> tuple[DataFrame, object]:
     """Smoothed target mean per class: (n * mean_c + s * mean) / (n + s).
 
-    Returns (per-class table, global-mean Column for unseen classes).
+    Returns (per-class table, global-mean Column for unseen classes).  The classes' sums are written, one row
+    per class, and give the global mean too: ``train`` is read once.
     """
-    glob = scalar_row(train, [F.avg(target)])(0)
-    per = train.groupBy(col).agg(F.count(F.lit(1)).alias("__n"), F.avg(target).alias("__m"))
+    per = materialize(train.groupBy(col).agg(F.count(F.lit(1)).alias("__n"), F.avg(target).alias("__m"), F.count(target).alias("__k")))
+    glob = scalar_row(per, [F.try_divide(F.sum(F.col("__m") * F.col("__k")), F.sum("__k"))])(0)
     enc = per.select(col, ((F.col("__n") * F.col("__m") + F.lit(smoothing) * glob)
                            / (F.col("__n") + F.lit(smoothing))).alias(f"{col}_target_encoded"))
     return enc, glob

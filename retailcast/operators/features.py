@@ -2,10 +2,10 @@
 
 Lags and rolling windows are *positional* (previous rows of the group in date
 order), as in the original workflow.  All lag and rolling columns of one call
-share one window specification, so Spark plans a single Exchange + Sort +
+are computed from one window column, so Spark plans a single Exchange + Sort +
 Window for all of them.
 
-Scale: each group is cut into chunks of ``chunk_rows``
+Scale: if a group has more than ``chunk_rows`` rows, each group is cut into chunks of ``chunk_rows``
 positions and the last ``history`` rows of every chunk are copied into the
 next one; windows then run per (group, chunk).  A long or hot series is spread
 over many tasks and the result is exact (no row ever needs history beyond the
@@ -16,6 +16,8 @@ Rows that share a date are numbered by a hash of the row; null dates come last.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,26 +25,11 @@ from pyspark.sql import types as T
 from retailcast.config import LAGS, ROLLING_FUNCTIONS, ROLLING_WINDOWS
 from retailcast.operators.ordering import POS, null_safe, row_index
 
-CHUNK_ROWS = 8192  # rows of a series that one task handles, about
+CHUNK_ROWS = 8192  # rows of a series that one window partition holds, about
 CHUNK = "__chunk"
 CARRY = "__carry"
 
 
-def _rolling_expr(target: str, func: str, frame) -> Column:
-    c = F.col(target)
-    if func == "mean":
-        return F.avg(c).over(frame)
-    if func == "std":
-        return F.stddev_samp(c).over(frame)
-    if func == "min":
-        return F.min(c).over(frame)
-    if func == "max":
-        return F.max(c).over(frame)
-    if func == "median":
-        return F.percentile(c, F.lit(0.5)).over(frame)
-    raise ValueError(f"unknown rolling function {func!r}")
-
-
 def cluster_by(df: DataFrame, cols: list[str]) -> DataFrame:
     """Hash-partition by the window keys, so that the windows that follow share one exchange.
 
@@ -55,29 +42,59 @@ def lag_columns(target: str, lags=LAGS) -> dict[str, callable]:
     return {f"{target}_lag_{k}": (lambda w, k=k: F.lag(target, k).over(w)) for k in lags}
 
 
-def rolling_columns(target: str, windows=ROLLING_WINDOWS, functions=ROLLING_FUNCTIONS,
-                    closed: str = "right") -> dict[str, callable]:
-    """closed='right' includes the current row (original behaviour); 'left' ends one row before."""
-    end = 0 if closed == "right" else -1
-    out = {}
-    for w in windows:
-        for func in dict.fromkeys(functions):  # a repeated function name is built once
-            out[f"{target}_rolling_{w}_{func}"] = (
-                lambda spec, w=w, func=func: _rolling_expr(target, func, spec.rowsBetween(-(w - 1) + end, end)))
-    return out
+FRAME = "__frame"
+
+
+def _frame_column(target: str, rows: int) -> dict[str, callable]:
+    """The row's value and the ``rows`` values before it, as one array in order; the structs keep nulls in place."""
+    return {FRAME: lambda w: F.collect_list(F.struct(F.col(target).alias("v"))).over(w.rowsBetween(-rows, 0))}
+
 
+def _from_frame(df: DataFrame, target: str, lags, windows, functions, closed: str) -> DataFrame:
+    """Lags and rolling statistics from slices of each row's frame, which is dropped.
 
-def _history(names: dict, lags, windows, closed) -> int:
-    h = max(list(lags) + [0])
-    if windows:
-        h = max(h, max(windows) - (1 if closed == "right" else 0))
-    return h
+    closed='right' includes the current row (original behaviour); 'left' ends one row before.
+    """
+    unknown = set(functions) - {"mean", "std", "min", "max", "median"}
+    if unknown:
+        raise ValueError(f"unknown rolling functions {sorted(unknown)}")
+    # SQL text: parsed at once, where as many single columns would take longer to build than to run
+    held = f"size({FRAME})" if closed == "right" else f"(size({FRAME}) - 1)"  # rows that may belong to a window
+    values = "filter(transform(slice({f}, greatest({h} - {w} + 1, 1), least({h}, {w})), x -> CAST(x.v AS DOUBLE)), x -> x IS NOT NULL) AS __v{w}"
+    out = df.selectExpr("*", *[f"get({FRAME}, size({FRAME}) - 1 - {k}).v AS `{target}_lag_{k}`" for k in lags],
+                        *[values.format(f=FRAME, h=held, w=w) for w in windows]).drop(FRAME)
+    out = out.selectExpr("*", *[f"try_divide(aggregate(__v{w}, 0D, (s, x) -> s + x), size(__v{w})) AS __m{w}" for w in windows],
+                         *[f"sort_array(__v{w}) AS __s{w}" for w in windows])
+    kind = df.schema[target].dataType.simpleString()
+    text = {"mean": "__m{w}",
+            "std": "CASE WHEN size(__v{w}) > 1 THEN sqrt(aggregate(__v{w}, 0D, (s, x) -> s + (x - __m{w}) * (x - __m{w})) / (size(__v{w}) - 1)) END",
+            "min": f"CAST(get(__s{{w}}, 0) AS {kind})", "max": f"CAST(get(__s{{w}}, size(__s{{w}}) - 1) AS {kind})",
+            "median": "(get(__s{w}, (size(__s{w}) - 1) DIV 2) + get(__s{w}, size(__s{w}) DIV 2)) / 2"}
+    wanted = [f"{text[f].format(w=w)} AS `{target}_rolling_{w}_{f}`" for w in windows for f in dict.fromkeys(functions)]
+    return out.selectExpr("*", *wanted).drop(*[f"__{k}{w}" for k in "vms" for w in windows])
+
+
+def _history(lags, windows, closed) -> int:
+    h = max([0, *lags])
+    return max(h, max(windows) - (1 if closed == "right" else 0)) if windows else h
+
+
+def largest_group(df: DataFrame, group_cols: list[str]) -> int:
+    return df.groupBy(*group_cols).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
 
 
 def apply_windows(df: DataFrame, columns: dict[str, callable], group_cols: list[str] | None,
                   order_col: str = "date", history: int = 30, chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
-    """Add window columns (name -> fn(window_spec) -> Column) in one window pass."""
+    """Add window columns (name -> fn(window_spec) -> Column) in one window pass.
+
+    The frame is written once and its groups are counted: if one has more than ``chunk_rows`` rows, all are cut into
+    chunks, else each is one window partition.  Both ways give the same rows.
+    """
     group_cols = list(group_cols or [])
+    if group_cols and chunk_rows:
+        df = materialize(df)
+        if largest_group(df, group_cols) <= chunk_rows:
+            chunk_rows = None
     if group_cols and not chunk_rows:
         spec = Window.partitionBy(*group_cols).orderBy(F.col(order_col).asc_nulls_last())
         return cluster_by(df, group_cols).withColumns({n: f(spec) for n, f in columns.items()})
@@ -103,18 +120,17 @@ def lag_features(df: DataFrame, target: str, group_cols: list[str] | None = None
 def rolling_features(df: DataFrame, target: str, group_cols: list[str] | None = None,
                      order_col: str = "date", windows=ROLLING_WINDOWS, functions=ROLLING_FUNCTIONS,
                      closed: str = "right", chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
-    cols = rolling_columns(target, windows, functions, closed)
-    return apply_windows(df, cols, group_cols, order_col,
-                         history=_history(cols, (), windows, closed), chunk_rows=chunk_rows)
+    return lag_and_rolling(df, target, group_cols, order_col, (), windows, functions, closed, chunk_rows)
 
 
 def lag_and_rolling(df: DataFrame, target: str, group_cols: list[str] | None = None,
                     order_col: str = "date", lags=LAGS, windows=ROLLING_WINDOWS,
                     functions=ROLLING_FUNCTIONS, closed: str = "right",
                     chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
-    cols = {**lag_columns(target, lags), **rolling_columns(target, windows, functions, closed)}
-    return apply_windows(df, cols, group_cols, order_col,
-                         history=_history(cols, lags, windows, closed), chunk_rows=chunk_rows)
+    """All lags and rolling statistics from one window column: the values of the last rows as an array."""
+    history = _history(lags, windows, closed)
+    framed = apply_windows(df, _frame_column(target, history), group_cols, order_col, history=history, chunk_rows=chunk_rows)
+    return _from_frame(framed, target, lags, windows, functions, closed)
 
 
 def scalar_row(df: DataFrame, aggs: list[Column]):
@@ -129,17 +145,19 @@ def scalar_row(df: DataFrame, aggs: list[Column]):
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared ``spark.checkpoint.dir``.
+    """Cut lineage: write ``df`` as Parquet into the folder of ``spark.checkpoint.dir`` and read it back.
 
-    Checkpoint files are serialized rows, so even wide frames need no
-    per-column write buffers, and a lost executor never forces recomputation
-    of the upstream plan.  (Callers checkpoint frames that are small by
-    construction - store-day grain - or narrow them first.)
+    One pass, unlike a checkpoint of an unpersisted frame, which computes its last stage once to count it and
+    once to save it.  Later readers load only the columns they use, Spark knows the size of the table,
+    and a lost executor never forces recomputation of the upstream plan.  (Callers write
+    frames that are small by construction - store-day grain - or narrow them first.)
     """
     from retailcast.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/frames/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -177,7 +195,7 @@ def fill_missing(df: DataFrame, group_cols: list[str] | None = None, order_col:
                  if not _is_sequence_col(c) and c not in exclude and c not in group_cols]
     out = df
     if seq_cols and group_cols:
-        out = _fill_chunks(out, seq_cols, group_cols, order_col, chunk_rows, backward=not compat)
+        out = _fill_groups(out, seq_cols, group_cols, order_col, chunk_rows, backward=not compat)
         if compat:
             out = _compat_carry(out, df, seq_cols, group_cols, order_col)
     elif seq_cols:
@@ -189,6 +207,19 @@ def fill_missing(df: DataFrame, group_cols: list[str] | None = None, order_col:
     return out
 
 
+def _fill_groups(df: DataFrame, cols: list[str], group_cols: list[str], order_col: str, chunk_rows: int,
+                 backward: bool) -> DataFrame:
+    """Forward fill inside each group, then (``backward``) its leading nulls from its first value: in one window per group
+    where the largest fits ``chunk_rows``, else chunk by chunk."""
+    if largest_group(df, group_cols) > chunk_rows:
+        return _fill_chunks(df, cols, group_cols, order_col, chunk_rows, backward)
+    ties = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    w = Window.partitionBy(*group_cols).orderBy(F.col(order_col).asc_nulls_last(), F.xxhash64(*ties))
+    past, whole = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = lambda c: [F.first(c, ignorenulls=True).over(whole)] if backward else []
+    return cluster_by(df, group_cols).withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(past), *first(c)) for c in cols})
+
+
 def _fill_chunks(df: DataFrame, cols: list[str], group_cols: list[str], order_col: str, chunk_rows: int,
                  backward: bool) -> DataFrame:
     """Forward fill inside each group, then (``backward``) its leading nulls from its first value.
@@ -216,19 +247,20 @@ def _fill_chunks(df: DataFrame, cols: list[str], group_cols: list[str], order_co
 
 def _compat_carry(filled: DataFrame, raw: DataFrame, cols: list[str], group_cols: list[str],
                   order_col: str) -> DataFrame:
-    # last non-null value per group (by date), one row per group
-    per_group = raw.groupBy(*group_cols).agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order_col))).alias(c) for c in cols])
-    # carry over the groups in key order: a window over the one-row-per-group frame
-    gw = Window.orderBy(*group_cols).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_group.select(*group_cols, *[F.last(c, ignorenulls=True).over(gw).alias(f"__carry_{c}")
-                                            for c in cols])
-    order_key = F.struct(*[F.col(g) for g in dict.fromkeys(group_cols + [order_col])])
-    first_any = scalar_row(raw, [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order_key))
-                                 for c in cols])
-    j = null_safe(filled, carry, group_cols, "left")
-    return j.withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}"), first_any(i))
-                          for i, c in enumerate(cols)}).drop(*[f"__carry_{c}" for c in cols])
+    """Nulls that lead a group take the last value of the groups before it in key order, those that lead the whole frame its
+    first value.  Both come from one frame of one row per group, written once."""
+    at = lambda c: F.when(F.col(c).isNotNull(), F.col(order_col))
+    ends = raw.groupBy(*group_cols).agg(
+        F.array(*[F.max_by(F.col(c).cast("double"), at(c)) for c in cols]).alias("__last"),
+        F.array(*[F.min_by(F.col(c).cast("double"), at(c)) for c in cols]).alias("__first"))
+    w = Window.orderBy(*group_cols)  # one row per group
+    past, whole = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carry = materialize(materialize(ends).select(*group_cols, F.array(*[
+        F.coalesce(F.last(F.col("__last")[i], ignorenulls=True).over(past), F.first(F.col("__first")[i], ignorenulls=True).over(whole))
+        for i in range(len(cols))]).alias("__carry")))
+    kinds = dict(filled.dtypes)
+    return (null_safe(filled, carry, group_cols, "left")
+            .withColumns({c: F.coalesce(F.col(c), F.col("__carry")[i].cast(kinds[c])) for i, c in enumerate(cols)}).drop("__carry"))
 
 
 DERIVED_FROM_DATE = ("year", "month", "day", "day_of_week", "quarter", "week_of_year", "is_weekend",
@@ -245,7 +277,7 @@ def create_all_features(df: DataFrame, target: str = "sales", date_col: str = "d
 
     One lazy plan unless ``checkpoint``: then the windowed frame is written to
     the shared checkpoint folder once, because the fill reads it up to three
-    times (rows, per-group carry, global first value).
+    times (rows, per-group ends, means).
     """
     from retailcast.functions.calendar import cyclical_features, date_parts, interaction_features
 
@@ -255,6 +287,6 @@ def create_all_features(df: DataFrame, target: str = "sales", date_col: str = "d
     if categorical_cols:
         out = interaction_features(out, categorical_cols)
     if checkpoint:
-        out = materialize(out)
+        out = materialize(out)  # readers of several results write the filled frame too
     return fill_missing(out, group_cols, date_col, compat=compat_fill, exclude=DERIVED_FROM_DATE,
                         chunk_rows=chunk_rows or CHUNK_ROWS)

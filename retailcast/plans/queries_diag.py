@@ -16,7 +16,7 @@ _BASE_MODELS = ("naive_lag_1", "naive_lag_7", "trailing_mean_7")
 
 def feature_frame(spark, sf_dir):
     sd = rollups.store_days(spark, sf_dir).drop("is_holiday")
-    return feat.create_all_features(sd, "sales", "date", ["store_id"], ["store_id"], checkpoint=True)
+    return feat.materialize(feat.create_all_features(sd, "sales", "date", ["store_id"], ["store_id"], checkpoint=True))
 
 
 def feature_split(spark, sf_dir):

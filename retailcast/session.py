@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -12,6 +14,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Small frames that are costly per row (windows, folds) stay spread over the cores; partitions of
+    # larger tables are merged as by default
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -23,6 +28,9 @@ DEFAULT_CONF = {
     "spark.ui.retainedJobs": "100",
     "spark.ui.retainedStages": "100",
     "spark.ui.retainedTasks": "10000",
+    # Without this, every column function looks up its caller's place in the source and hands it to
+    # the JVM, which takes longer than planning a wide feature query
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -44,9 +52,31 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of ``spark``, once per context.
+
+    Functions of the package that run in workers are found there by name, also where a session was started
+    from another folder and without a path to it.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_retailcast_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="retailcast-"), "retailcast.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "retailcast")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, root))
+    sc.addPyFile(archive)
+    sc._retailcast_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

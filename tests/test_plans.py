@@ -29,6 +29,14 @@ def test_lines_are_scanned_once(spark, qs):
         assert plan.count("lineitem.parquet") == 1, name
 
 
+def test_no_headline_query_plans_the_lines_twice(spark, qs):
+    from bench import HEADLINE
+
+    for name in HEADLINE + ["expanding_folds", "fold_scores"]:
+        plan = _plan(qs[name](spark, SF_SMALL)).split("== Initial Plan ==")[-1]
+        assert plan.count("lineitem.parquet") <= 1, name
+
+
 def _single_partition_inputs(plan):
     """Nodes right below an exchange that sends all rows to one task."""
     lines = plan.split("\n")
