@@ -76,7 +76,9 @@ def test_repeated_ids_do_not_depend_on_the_files(spark):
 def test_long_texts_and_clashing_columns_pass_every_stage(spark):
     good = "plain words that say a little about this and that thing here and there with some more of them for the test of it all "
     rows = [(i, good * 3 + " ".join(f"w{i}x{k}" for k in range(40)), "en", "s", 1, "a", 1, "b", 2.0, "c") for i in range(10)]
-    rows.append((99, " ".join(f"{good} v{k}" for k in range(4000)), "en", "s", 1, "a", 1, "b", 2.0, "c"))
+    words_of = good.split()
+    # a new word after every two: no window of three words repeats, as the base rules of quality want
+    rows.append((99, " ".join(f"{words_of[k % 25]} {words_of[k * 7 % 24]} word{k}" for k in range(20_000)), "en", "s", 1, "a", 1, "b", 2.0, "c"))
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, key string, data int, doc string, "
                                        "weight double, component_id string")
     for _name, stage in corpus_pipeline.STAGES[:-1]:
