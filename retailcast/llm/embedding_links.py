@@ -6,6 +6,8 @@ direction, so the first one cuts a label into cells of that width of which only
 can hold links.  Cells are cut into tiles of bounded size.  A task compares two tiles: it
 multiplies the leading dimensions first, bounds what the rest can still add by the product
 of the suffix norms (Cauchy-Schwarz), and goes on only with pairs that can reach the threshold.
+A large cell is cut into tiles by ranges of the next two directions, and two tiles meet only if the boxes of their
+leading dimensions and suffix norms come within sqrt(2 - 2t) of each other.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailcast.llm.common import Forest, batch_of, written
@@ -28,6 +30,7 @@ TILE_ROWS = 2048
 STAGES = (8, 16, 32)  # dimensions after which the bound is checked
 SLACK = 1e-9  # far above the rounding of a bound, far below what would let many pairs through
 ROWS_AT_ONCE, PAIRS_AT_ONCE = 256, 1 << 16
+CELL = ["label", "dim", "cell"]
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -60,14 +63,24 @@ def close_pairs(a: np.ndarray, b: np.ndarray, turn: np.ndarray, threshold: float
             yield x[on], y[on]
 
 
-def _tile(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("rep")
-    first = pdf.iloc[0]
-    rows = unit(np.array(pdf["vec"].tolist(), dtype=np.float64))
-    return pd.DataFrame({"tile": [f"{first['label']}/{first['dim']}/{first['cell']}/{first['sub']}"],
-                         "label": [first["label"]], "dim": [first["dim"]], "cell": [first["cell"]], "sub": [first["sub"]],
-                         "reps": [pdf["rep"].to_numpy("<i8").tobytes()],
-                         "copies": [pdf["copies"].to_numpy("<i8").tobytes()], "vecs": [rows.tobytes()]})
+def _axes(turns: dict[int, np.ndarray], dim: int) -> np.ndarray:
+    return turns[dim] if dim in turns else np.eye(dim)
+
+
+def _tile(turns: dict[int, np.ndarray]):
+    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
+        """One tile: its vectors at length one, and the box of their leading dimensions and the norm of the rest."""
+        pdf = pdf.sort_values("rep")
+        first = pdf.iloc[0]
+        rows = unit(np.array(pdf["vec"].tolist(), dtype=np.float64))
+        turned = rows @ _axes(turns, int(first["dim"]))
+        box = np.column_stack([turned[:, :STAGES[0]], np.sqrt((turned[:, STAGES[0]:] ** 2).sum(axis=1))])
+        own = {c: [first[c]] for c in ("label", "dim", "cell")}
+        return pd.DataFrame(own | {"tile": ["/".join(str(first[c]) for c in (*CELL, "range_y", "range_z", "sub"))],
+                                   "low": [box.min(axis=0).tolist()], "high": [box.max(axis=0).tolist()],
+                                   "reps": [pdf["rep"].to_numpy("<i8").tobytes()],
+                                   "copies": [pdf["copies"].to_numpy("<i8").tobytes()], "vecs": [rows.tobytes()]})
+    return tile
 
 
 def _compare(turns: dict[int, np.ndarray], threshold: float):
@@ -79,7 +92,7 @@ def _compare(turns: dict[int, np.ndarray], threshold: float):
         dim = int(pdf["dim"].iloc[0])
         rows = [np.frombuffer(x, np.float64).reshape(-1, dim) for x in pdf["vecs"]]
         alone, n = len(rows) == 1, len(reps[0])
-        turn = turns[dim] if dim in turns else np.eye(dim)
+        turn = _axes(turns, dim)
         ids, weight = np.concatenate(reps), np.concatenate(copies)
         links, forest = np.zeros(len(ids), dtype=np.int64), Forest(len(ids))
         for i, j in close_pairs(rows[0], rows[-1], turn, threshold):
@@ -96,19 +109,63 @@ def _compare(turns: dict[int, np.ndarray], threshold: float):
 
 
 def _cells(turns: dict[int, np.ndarray], width: float):
+    step = max(width / 16, 1 / 256)  # of the buckets that ranges are cut from: at most 512 a direction
+
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, vecs = np.zeros(batch.num_rows, dtype=np.int64), batch.column("vec")
+            out, vecs = np.zeros((batch.num_rows, 3), dtype=np.int64), batch.column("vec")
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 at = np.nonzero(dims == dim)[0]
                 rows = unit(np.array([vecs[int(i)].as_py() for i in at], dtype=np.float64))
-                first = turns[int(dim)][:, 0] if int(dim) in turns else np.eye(1, int(dim))[0]
-                out[at] = np.floor(rows @ first / width)
-            yield batch.append_column("cell", pa.array(out))
+                lead = rows @ _axes(turns, int(dim))[:, :3]
+                out[at, :lead.shape[1]] = np.floor(lead / np.array([width, step, step])[:lead.shape[1]])
+            for k, name in enumerate(("cell", "y", "z")):
+                batch = batch.append_column(name, pa.array(out[:, k]))
+            yield batch
     return cells
 
 
+def _range_number(keys: list[str], bucket: str, ranges: Column) -> Column:
+    """The range of a bucket among its ``keys``: ``ranges`` of about equal numbers of rows ``n`` in bucket order."""
+    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    return F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) * ranges / F.sum("n").over(Window.partitionBy(*keys)))
+
+
+def _ranges(placed: DataFrame, tile_rows: int) -> DataFrame:
+    """(label, dim, cell, y, z, range_y, range_z, subs): the tile ranges of every bucket of the next two directions.
+
+    A cell is cut on y into the square root of its number of tiles, and each of these on z.  A range that
+    still holds more than ``tile_rows`` (one crowded bucket) falls into ``subs`` parts.
+    """
+    buckets = placed.groupBy(*CELL, "y", "z").agg(F.count("*").alias("n"))
+    tiles = lambda keys: F.ceil(F.sum("n").over(Window.partitionBy(*keys)) / tile_rows)
+    on_y = (buckets.groupBy(*CELL, "y").agg(F.sum("n").alias("n"))
+            .select(*CELL, "y", _range_number(CELL, "y", F.ceil(F.sqrt(tiles(CELL)))).alias("range_y")))
+    buckets = written(buckets.join(on_y, [*CELL, "y"]), "buckets")
+    row = [*CELL, "range_y"]
+    on_z = (buckets.groupBy(*row, "z").agg(F.sum("n").alias("n"))
+            .select(*row, "z", "n", _range_number(row, "z", tiles(row)).alias("range_z"))
+            .select(*row, "z", "range_z", tiles([*row, "range_z"]).alias("subs")))
+    return buckets.drop("n").join(on_z, [*row, "z"])
+
+
+def _meeting(tiles: DataFrame, threshold: float) -> DataFrame:
+    """(one, two): each pair of tiles once, a tile with itself too, whose boxes can hold a link.
+
+    Rows without the vectors: a cell meets itself and the next one, and boxes whose gaps add up to more
+    than the largest squared distance of a link, 2 - 2t, are left out.
+    """
+    names = tiles.select(*CELL, "tile", "low", "high")
+    left = names.select("label", "dim", F.explode(F.array(F.col("cell"), F.col("cell") + 1)).alias("cell"), F.col("cell").alias("own"),
+                        F.col("tile").alias("one"), F.col("low").alias("own_low"), F.col("high").alias("own_high"))
+    gap = F.zip_with(F.zip_with("low", "own_high", lambda x, y: x - y), F.zip_with("own_low", "high", lambda x, y: x - y),
+                     lambda x, y: F.pow(F.greatest(x, y, F.lit(0.0)), 2))
+    apart = F.aggregate(gap, F.lit(0.0), lambda s, x: s + x)
+    return (left.join(names, CELL).where("own < cell or one <= tile").where(apart <= 2 - 2 * threshold + 1e-6)
+            .select("one", F.col("tile").alias("two")))
+
+
 def principal_axes(reps: DataFrame) -> dict[int, np.ndarray]:
     """Orthogonal axes by falling variance for the most frequent vector length (others: as they are)."""
     sizes = reps.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
@@ -144,22 +201,17 @@ def link_embeddings(vectors: DataFrame, threshold: float = 0.98, tile_rows: int
                    .withColumn("dim", F.size("vec").cast("long")), "vectors")
     turns = principal_axes(reps)
     width = math.sqrt(2 - 2 * threshold) + 1e-6
-    placed = reps.mapInArrow(_cells(turns, width), _with(reps, "cell long"))
+    placed = reps.mapInArrow(_cells(turns, width), _with(reps, "cell long, y long, z long"))
     placed = written(placed, "cells")
-    counts = placed.groupBy("label", "dim", "cell").count()
-    subs = counts.select("label", "dim", "cell", F.ceil(F.col("count") / tile_rows).alias("subs"))
-    tiles = (placed.join(subs, ["label", "dim", "cell"]).withColumn("sub", F.pmod(F.xxhash64("rep"), F.col("subs")))
-             .select("label", "dim", "cell", "sub", "rep", "copies", "vec")
-             .repartition("label", "dim", "cell", "sub")  # else the join's deal, by cell only, would serve the groups too
-             .groupBy("label", "dim", "cell", "sub").applyInPandas(
-                 _tile, f"tile string, label {reps.schema['label'].dataType.simpleString()}, dim long, cell long, sub long, "
-                        "reps binary, copies binary, vecs binary"))
+    tile = [*CELL, "range_y", "range_z", "sub"]
+    tiles = (placed.join(_ranges(placed, tile_rows), [*CELL, "y", "z"])
+             .withColumn("sub", F.pmod(F.xxhash64("rep"), F.col("subs"))).select(*tile, "rep", "copies", "vec")
+             .repartition(*tile)  # else the join's deal, by bucket, would serve the groups too
+             .groupBy(*tile).applyInPandas(
+                 _tile(turns), f"label {reps.schema['label'].dataType.simpleString()}, dim long, cell long, tile string, "
+                               "low array<double>, high array<double>, reps binary, copies binary, vecs binary"))
     tiles = written(tiles, "tiles")
-    # which tiles meet: rows without the vectors; a cell meets itself and the next one
-    names = tiles.select("label", "dim", "cell", "sub", "tile")
-    left = names.select("label", "dim", F.explode(F.array(F.col("cell"), F.col("cell") + 1)).alias("cell"),
-                        F.col("cell").alias("own"), F.col("sub").alias("own_sub"), F.col("tile").alias("one"))
-    meet = left.join(names, ["label", "dim", "cell"]).where("own < cell or own_sub <= sub").select("one", F.col("tile").alias("two"))
+    meet = _meeting(tiles, threshold)
     sides = meet.select("one", "two", F.lit(0).alias("side"), F.col("one").alias("tile")).union(
         meet.where("one != two").select("one", "two", F.lit(1), F.col("two")))
     found = written(sides.join(tiles.select("tile", "dim", "reps", "copies", "vecs"), "tile")
