@@ -23,9 +23,10 @@ from retailcast.llm.common import Forest, batch_of, columns_of, slices, text_byt
 from retailcast.llm.components import connected_components
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
-LEAF_ROWS = 4096  # fingerprints stored in a shard, about
+LEAF_ROWS = 4096  # fingerprints stored in a shard, at least about
+SHARDS, LEAF_MOST = 64, 1 << 20  # shards grow before their number does, up to 8 MB of fingerprints
 SAMPLE_PER_LEAF, SAMPLE_MOST = 64, 1 << 17  # of the sample that the tree's cuts are fitted on
-BRUTE_PAIRS = 1 << 16  # pairs compared without a further vantage point
+BRUTE_PAIRS, BRUTE_QUERIES, LEVELS = 1 << 16, 32, 8  # pairs, queries and depth beyond which no vantage point is taken
 PAIRS_AT_ONCE = 1 << 22
 
 
@@ -123,7 +124,7 @@ def near(q: np.ndarray, t: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray,
         qi, ti, level = todo.pop()
         if not len(qi) or not len(ti):
             continue
-        if len(qi) * len(ti) > BRUTE_PAIRS and level < 6:
+        if len(qi) * len(ti) > BRUTE_PAIRS and len(qi) >= BRUTE_QUERIES and level < LEVELS:
             v = t[ti[(level * 7919) % len(ti)]]
             dq, dt = distance(q[qi], v), distance(t[ti], v)
             if int(dt.max()) - int(dt.min()) > 2 * reach or int(dq.max()) - int(dq.min()) > 2 * reach:
@@ -202,18 +203,21 @@ def fingerprint_links(fps: DataFrame, reach: int = MAX_BITS, leaf_rows: int = LE
     """Edges (a, b) between the different values of long column ``fp`` that join all within ``reach`` bits.
 
     Every such pair ends up in one component; an edge itself may join two ends of a chain of links.
-    A shard far beyond ``leaf_rows`` (many near copies in one ball) is searched in pairs of parts, so that a
-    task's rows don't grow with the ball; their number does, with its square.
+    Shards hold ``leaf_rows`` or more: a query goes to the more shards the more there are, so from SHARDS on they grow
+    to LEAF_MOST before their number does, and the bounds prune within them.  A shard far beyond that (many near
+    copies in one ball) is searched in pairs of parts, so that a task's rows don't grow with the ball; their number
+    does, with its square.
     """
     fps = written(fps.select("fp").distinct(), "fingerprints")
     total = fps.count()
+    leaf_rows = max(leaf_rows, min(-(-total // SHARDS), LEAF_MOST))
     depth = max(0, int(np.ceil(np.log2(max(1, total) / leaf_rows))))
     # a sample in hash order: bounded, the same on every run; only the cuts of the tree rest on it
     size = min(SAMPLE_MOST, SAMPLE_PER_LEAF << depth)
     sample = [r["fp"] for r in fps.orderBy(F.xxhash64("fp")).limit(size).collect()] if depth else []
     tree = Tree(np.array(sample, dtype=np.int64).view(np.uint64), depth)
     dealt = written(fps.mapInArrow(_deal(tree, reach), PACKED), "shards")
-    return _pairs_of_parts(dealt, 4 * leaf_rows).groupBy("leaf", "target", "other").applyInPandas(_search(reach), "a long, b long")
+    return _pairs_of_parts(dealt, min(4 * leaf_rows, max(LEAF_MOST, leaf_rows))).groupBy("leaf", "target", "other").applyInPandas(_search(reach), "a long, b long")
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, reach: int = MAX_BITS, seed: int = SEED,
@@ -223,7 +227,8 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, reach: int = MAX
     component_id is the smallest doc_id reachable over pairs of fingerprints that differ in at most
     ``reach`` bits.  Rows with null or empty text have fingerprint zero and link like any other; a
     null doc_id takes part in links but never names a component (alone: component_id null).
-    Copies share a fingerprint, which is searched once.  Other columns are left out.
+    Copies share a fingerprint, which is searched once.  A text of any length counts as a whole, its hashes
+    65,536 at a time.  Other columns are left out.
     """
     fps = written(fingerprints(docs, shingle, seed), "simhash")
     reps = written(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
