@@ -160,7 +160,8 @@ def predict_languages(docs: DataFrame, model: Languages) -> DataFrame:
     """The PREDICTION columns for every row of ``doc_id, text``, from the whole text only.
 
     Null text, text without a letter, or a model without languages: lang_pred ``und``, score 0, family
-    null.  Rows that repeat or lack an id are predicted each on its own; other columns are left out.
+    null.  Rows that repeat or lack an id are predicted each on its own; a text of any length counts
+    as a whole; other columns are left out.
     """
     rows = docs.select(F.col("doc_id").cast("long"), text_bytes().alias("data"))
     return rows.mapInArrow(_predict(model), PREDICTION)

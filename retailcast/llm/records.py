@@ -26,14 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retailcast.llm.common import batch_of, columns_of, slices
 from retailcast.llm.tokens import encoder
+from retailcast.sources.footers import ARROW_SCHEMES
 
 SHARD_BYTES = 8 << 20  # text bytes that go to one shard, about
 HEAD, ID_HEAD, TAIL = struct.Struct("<QI"), struct.Struct("<BqB"), struct.Struct("<I")
+SEEK_BYTES = 16 << 20  # of records that a shuffled read holds at a time
+SHUFFLED = "doc_id long, n_tokens long, ids binary"
 RECORD = ["shard string", "record long", "offset long", "length long", "doc_id long", "n_tokens long", "inside long", "ids binary"]
 
 
@@ -164,13 +168,46 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
             .select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids"))
 
 
+def _seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records at the offsets of an index, in its order; a batch opens each of its shards once."""
+    for batch in batches:
+        rows, data = list(zip(*columns_of(batch, "path", "offset", "length"))), [b""] * batch.num_rows
+        by_shard: dict[str, list[int]] = {}
+        for k, (path, _, _) in enumerate(rows):
+            by_shard.setdefault(path, []).append(k)
+        for path, places in by_shard.items():
+            store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+            with store.open_input_file(inner) as f:
+                for k in sorted(places, key=lambda k: rows[k][1]):
+                    data[k] = f.read_at(rows[k][2], rows[k][1])
+        yield batch_of(SHUFFLED, [(r[4], r[5], r[7]) for (path, _, _), d in zip(rows, data) for r in parse(path, d)])
+
+
 def read_shuffled(spark: SparkSession, path: str, seed: int, partitions: int) -> DataFrame:
-    """Records in an order drawn from ``seed``: partition by partition, each sorted by position.
+    """(doc_id, n_tokens, ids) of all records in an order drawn from ``seed``: partition by partition, each by position.
 
-    The order is fixed on the index alone; the records then join it, so the same seed gives
-    the same order whatever the cluster.
+    The order is fixed on the index alone, so the same seed gives the same order whatever the cluster.  Only
+    the index is shuffled; tasks then seek to their records, a SEEK_BYTES run at a time, and check them.  In a store
+    that tasks can't open by themselves the shards are read whole and joined with the order instead.  Null and
+    repeated ids and empty texts are records like any other, a record of any length is read whole, and an
+    empty table gives no rows.
     """
-    drawn = read_index(spark, path).select("shard", "offset", F.xxhash64("shard", "offset", F.lit(seed)).alias("draw"))
+    draw = F.xxhash64("shard", "offset", F.lit(seed))
+    index = read_index(spark, path).select("shard", "offset", "length", draw.alias("draw"))
+    order = ["draw", "shard", "offset"]
+    files = spark.read.format("binaryFile").load(f"{path}/data").select("path", F.element_at(F.split("path", "/"), -1).alias("shard"))
+    some = files.select("path").first()
+    if some is None or some["path"].split(":")[0] in ARROW_SCHEMES:
+        drawn = index.join(files, "shard").repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+        return drawn.select("path", "offset", "length").mapInArrow(_runs, SHUFFLED)
     found = read_shards(spark, path, ["shard", "offset", "doc_id", "n_tokens", "ids"])
-    return (found.join(drawn, ["shard", "offset"]).repartitionByRange(partitions, "draw", "shard", "offset")
-            .sortWithinPartitions("draw", "shard", "offset").select("doc_id", "n_tokens", "ids"))
+    return (found.join(index.drop("length"), ["shard", "offset"]).repartitionByRange(partitions, *order)
+            .sortWithinPartitions(*order).select("doc_id", "n_tokens", "ids"))
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of an index cut into runs of about SEEK_BYTES of records, so that a task holds one run."""
+    for batch in batches:
+        run = np.cumsum(batch.column("length").to_numpy()) // SEEK_BYTES
+        cuts = [0, *(np.nonzero(np.diff(run))[0] + 1).tolist(), batch.num_rows]
+        yield from _seek(batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a)

@@ -4,6 +4,7 @@ import random
 import numpy as np
 
 from retailcast.llm import embedding_links, queries, simhash_tree
+from retailcast.llm.common import written
 from retailcast.llm.components import connected_components
 from tests.conftest import SF_SMALL
 from tests.llm.brute import components, cosine, simhash
@@ -60,6 +61,25 @@ def test_vector_links_of_nothing(spark):
     assert [tuple(r) for r in one] == [(5, 0, 5, True)]
 
 
+def test_few_tiles_of_a_large_cell_meet(spark):
+    """Many groups in one cell of the first direction: all links are found, and few of the pairs of tiles are compared."""
+    rng = np.random.default_rng(8)
+    centres = np.column_stack([np.full(60, 5.0), rng.normal(size=(60, 9)) * [6, 6, 2, 2, 1, 1, 1, 1, 1]])
+    rows = [(k, [float(x) for x in centres[k % 60] + 0.05 * rng.normal(size=10)], "a", 1, "x", 2) for k in range(1200)]
+    # one crowded point: more rows than a tile in one bucket of every direction
+    rows += [(2000 + k, [float(x) for x in centres[0] + 1e-5 * rng.normal(size=10)], "a", 1, "x", 2) for k in range(60)]
+    seen = []
+    real = embedding_links._meeting
+    embedding_links._meeting = lambda tiles, t: seen.append((tiles.count(), (m := written(real(tiles, t), "t")).count())) or m
+    try:
+        got = embedding_links.link_embeddings(vectors(spark, rows), 0.98, tile_rows=10).collect()
+    finally:
+        embedding_links._meeting = real
+    check_vectors(got, [r[:3] for r in rows], 0.98)
+    tiles, pairs = seen[0]
+    assert tiles >= 120 and pairs < tiles * tiles / 8
+
+
 def test_simhash_of_texts(spark):
     texts = ["", " \t\n", "one", "one two", "A b C", "a b c", "a b c d e f g", "Ä ä   x", "x\x0by z", "word " * 70000, None]
     rows = [(i, t, "f", 0, "k") for i, t in enumerate(texts)]
@@ -89,6 +109,29 @@ def test_near_fingerprints_against_all_pairs(spark):
         assert components(signed, [tuple(e) for e in edges]) == want
 
 
+def test_shards_grow_before_their_number_does(spark, monkeypatch):
+    depths = []
+    real = simhash_tree.Tree.__init__
+    monkeypatch.setattr(simhash_tree.Tree, "__init__", lambda self, sample, depth: (depths.append(depth), real(self, sample, depth))[1])
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    values = np.unique(np.concatenate([base, base[:300] ^ np.uint64(0b1011), base[300:500] ^ np.uint64(0b10111)]))
+    df = spark.createDataFrame([(int(x),) for x in values], "fp long")
+    want = {(min(a, b), max(a, b)) for a, b in zip(base[:300].tolist(), (base[:300] ^ np.uint64(0b1011)).tolist())}
+    for most, depth in ((1 << 20, 6), (20, 8)):
+        monkeypatch.setattr(simhash_tree, "LEAF_MOST", most)
+        edges = {(min(e), max(e)) for e in simhash_tree.fingerprint_links(df, 3, leaf_rows=4).collect()}
+        assert edges == want and depths[-1] == depth
+
+
+def test_deep_search_within_a_shard():
+    rng = np.random.default_rng(5)
+    t = rng.integers(0, 1 << 63, 6000, dtype=np.uint64)
+    q = np.concatenate([t[:40] ^ np.uint64(0b111), t[40:80] ^ np.uint64(0b1111), rng.integers(0, 1 << 63, 2000, dtype=np.uint64)])
+    found = {(int(a), int(b)) for i, j in simhash_tree.near(q, t, 3) for a, b in zip(i, j)}
+    assert found == {(k, k) for k in range(40)}
+
+
 def test_a_ball_is_searched_in_bounded_pairs_of_parts(spark):
     rng = np.random.default_rng(1)
     fps = np.unique(rng.integers(0, 1 << 63, 9000, dtype=np.uint64))

@@ -65,6 +65,24 @@ def test_shuffled_read_is_a_permutation_by_seed(spark):
     assert one == same != other and sorted(one) == sorted(other) == list(range(60)) != one
 
 
+def test_shuffled_read_seeks_to_its_records(spark, monkeypatch):
+    rows = [(i, t, "x", 1) for i, t in enumerate(ODD)] + [(None, "no id", None, 2), (3, "again", "y", 3), (3, "again", "y", 3), (98, "long " * 60_000, "", 0)]
+    path = shared_path(spark, "t")
+    records.write_records(_docs(spark, rows), path, shard_bytes=4000)
+    same = lambda df: [(r["doc_id"], r["n_tokens"], bytes(r["ids"])) for r in df.collect()]
+    drawn = records.read_shuffled(spark, path, 5, 4)
+    assert "content" not in drawn._jdf.queryExecution().executedPlan().toString()  # no shard is read whole
+    monkeypatch.setattr(records, "ARROW_SCHEMES", ())
+    whole = records.read_shuffled(spark, path, 5, 4)
+    assert same(drawn) == same(whole) and len(same(whole)) == len(rows)
+    monkeypatch.undo()
+    monkeypatch.setattr(records, "SEEK_BYTES", 50)
+    assert same(records.read_shuffled(spark, path, 5, 4)) == same(whole)
+    empty = shared_path(spark, "t")
+    records.write_records(_docs(spark, rows[:0]), empty)
+    assert records.read_shuffled(spark, empty, 5, 4).count() == 0
+
+
 def test_damaged_records_are_refused():
     good = records.frame(7, struct.pack("<3I", 1, 70000, 2)) + b"\n"
     assert [r[1:6] for r in records.parse("s", good * 2)] == [(0, 0, len(good), 7, 3), (1, len(good), len(good), 7, 3)]
