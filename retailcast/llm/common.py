@@ -90,7 +90,7 @@ class Forest:
 
 
 KINDS = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
-         "boolean": pa.bool_()}
+         "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
 SLICE_BYTES = 4 << 20
 
 

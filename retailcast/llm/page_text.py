@@ -1,11 +1,16 @@
-"""Main text of web pages: markup rules, and a suffix array over each host's remaining text.
-
-Markup says most: scripts, menus, headers, footers, sidebars, adverts, forms, notices and reader
-comments are left out, and where a page marks its article, that is its text.  What a page holds
-outside an article forms its token stream.  The streams of a host are put end to end, their
-suffixes sorted, and substrings of MIN_RUN tokens or more that start suffixes of two different
-streams are boilerplate.  On pages without a marked article the covered tokens are removed and the
-unique runs kept.  Text inside a marked article stays as it is, whether or not other pages repeat it.
+"""Main text of web pages: markup rules, and suffix arrays over each host's articles and remaining text.
+
+Markup leaves out scripts, menus, headers, footers, sidebars, adverts, forms, notices and reader
+comments that it names.  What else repeats is found by suffix arrays.
+
+What a page holds outside a marked article forms its token stream.  The streams of a host are put
+end to end, their suffixes sorted, and substrings of MIN_RUN tokens or more that start suffixes of
+two different streams are boilerplate.  On pages without a marked article the covered tokens are
+removed and the unique runs kept.
+
+The marked articles of a host have an array of their own, with blocks as symbols.  Articles share
+prose too (quotes, near copies, standing lines), so a repeated run of blocks is a notice, advert or
+menu that no name gives away only if most of the host's different articles hold it.
 """
 
 from __future__ import annotations
@@ -28,6 +33,9 @@ from retailcast.llm.common import batch_of, columns_of, slices, written
 MIN_RUN = 8  # tokens; a power of two, as the sort doubles its prefix
 SHARD_TOKENS = 500_000  # tokens sorted in one suffix array, about
 MOST_REPEATED = 0.8  # a page with more of its unmarked tokens in repeated runs is a near copy, not boilerplate
+SHARD_BLOCKS = 8_000  # blocks of articles sorted in one suffix array, about
+LEAST_ARTICLES = 10  # fewer different articles of a host don't tell its notices from shared prose
+COMMON = 0.5  # a notice is held by more of a host's articles than this, and is less than this of the article
 RAW = "script|style|title|textarea|noscript|template|iframe"  # left out up to their end, or that of the page
 HELD = "svg|select|object|audio|video|canvas"  # left out if they end; without an end tag only the tag is
 TOKEN = re.compile(
@@ -133,11 +141,11 @@ def _labels(name: str, attrs: str) -> frozenset[str]:
     return frozenset(out)
 
 
-PARSED = ("page_id long, url string, host string, article string, marked boolean, other string, outside string, "
-          "tokens long, stream long, content long")
+PARSED = ("page_id long, url string, host string, article array<string>, marked boolean, other string, outside string, "
+          "tokens long, stream long, content long, story long, symbols binary")
 
 
-def signed_hash(text: str) -> int:
+def signed_hash(text: str | bytes) -> int:
     h = xxhash.xxh64_intdigest(text)
     return h - (1 << 64) if h >> 63 else h
 
@@ -150,8 +158,9 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 article, furniture, other = page_blocks(page or "")
                 outside = " ".join(furniture)
                 stream, blocks = " ".join((*furniture, *other)), json.dumps(other)
-                rows.append((page_id, url, host, " ".join(article), bool(article), blocks, outside,
-                             len(stream.split()), signed_hash(stream), signed_hash(f"{len(outside)} {blocks} {outside}")))
+                symbols = np.array([(signed_hash(b), b.count(" ") + 1) for b in article], dtype=np.int64).tobytes()
+                rows.append((page_id, url, host, article, bool(article), blocks, outside, len(stream.split()), signed_hash(stream),
+                             signed_hash(f"{len(outside)} {blocks} {outside}"), signed_hash(symbols), symbols))
             yield batch_of(PARSED, rows)
 
 
@@ -247,15 +256,123 @@ def _clean(run: int):
     return clean
 
 
-def main_text(pages: DataFrame, min_run: int = MIN_RUN, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def common_prefixes(ids: np.ndarray, order: np.ndarray, run: int) -> np.ndarray:
+    """How many symbols, ``run`` at most, each suffix but the first of ``order`` shares with the one before it."""
+    out, same, n = np.zeros(max(0, len(order) - 1), dtype=np.int64), np.ones(max(0, len(order) - 1), dtype=bool), len(ids)
+    for k in range(run):
+        a, b = order[:-1] + k, order[1:] + k
+        same &= (np.maximum(a, b) < n) & (ids[np.minimum(a, n - 1)] == ids[np.minimum(b, n - 1)])
+        out += same
+    return out
+
+
+class ArticleShard:
+    """Different articles of a host, put end to end with a separator of its own after each; blocks are the symbols.
+
+    The window of a block is the shortest run of blocks from it on that holds ``run`` tokens.
+    """
+
+    def __init__(self, pdf: pd.DataFrame, run: int):
+        self.articles = [np.frombuffer(b, dtype=np.int64).reshape(-1, 2) for b in pdf["symbols"]]
+        lengths = np.array([len(a) for a in self.articles], dtype=np.int64)
+        self.first = np.concatenate([[0], np.cumsum(lengths + 1)])
+        n = int(self.first[-1])
+        self.page = np.repeat(np.arange(len(lengths)), lengths + 1)
+        block = np.ones(n, dtype=bool)
+        block[self.first[1:] - 1] = False
+        hashes, tokens = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        hashes[block], tokens[block] = np.concatenate(self.articles).T
+        ids = -1 - self.page
+        ids[block] = np.unique(hashes[block], return_inverse=True)[1]
+        total = np.concatenate([[0], np.cumsum(tokens)])
+        window = np.searchsorted(total, total[:-1] + run) - np.arange(n)
+        self.whole = np.arange(n) + window < self.first[1:][self.page]
+        self.window = np.where(self.whole, window, run + 1)
+        grams = np.zeros(n, dtype=np.uint64)
+        for k in range(run):
+            at = np.nonzero(self.whole & (self.window > k))[0]
+            grams[at] = grams[at] * np.uint64(0x100000001B3) + hashes[at + k].view(np.uint64)
+        self.grams = grams.view(np.int64)
+        # neighbours in suffix order hold the same window if they share as many symbols
+        order, _rank = sorted_suffixes(ids, run)
+        group = np.concatenate([[0], np.cumsum(common_prefixes(ids, order, run) < self.window[order[1:]])])
+        held = np.unique(group * len(lengths) + self.page[order]) // len(lengths)
+        self.holders = np.zeros(n, dtype=np.int64)  # articles of this shard that hold the window
+        self.holders[order] = np.bincount(held)[group]
+
+    def left_out(self, shared: pd.DataFrame, n_articles: int) -> list[list[int]]:
+        """Per article its blocks in windows that most of the host's ``n_articles`` hold; none if they were half of its tokens.
+
+        ``shared`` has the holders in all shards, of the windows (``gram``) for which that can make a difference.
+        """
+        grams, n = shared["gram"].to_numpy(np.int64), shared["n"].to_numpy(np.int64)
+        by_gram = np.argsort(grams)
+        grams, n = grams[by_gram], n[by_gram]
+        holders = self.holders.copy()
+        if len(grams):
+            at = np.minimum(np.searchsorted(grams, self.grams), len(grams) - 1)
+            holders = np.where(grams[at] == self.grams, n[at], holders)
+        start = np.nonzero(self.whole & (holders > COMMON * n_articles))[0]
+        depth = np.zeros(len(self.page) + 1, dtype=np.int64)
+        np.add.at(depth, start, 1)
+        np.add.at(depth, start + self.window[start], -1)
+        covered = np.cumsum(depth) > 0
+        out = []
+        for article, at in zip(self.articles, self.first):
+            held, tokens = covered[at:at + len(article)], article[:, 1]
+            out.append(np.nonzero(held)[0].tolist() if tokens[held].sum() < COMMON * tokens.sum() else [])
+        return out
+
+
+def _article_grams(run: int):
+    def grams(pdf: pd.DataFrame) -> pd.DataFrame:
+        shard = ArticleShard(pdf, run)
+        gram, at = np.unique(shard.grams[shard.whole], return_index=True)
+        n = shard.holders[shard.whole][at]
+        return pd.DataFrame({"host": pdf["host"].iloc[0], "shard": pdf["shard"].iloc[0], "gram": gram, "n": n, "most": n > COMMON * len(pdf)})
+    return grams
+
+
+def _notices(run: int):
+    def notices(articles: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
+        left_out = ArticleShard(articles, run).left_out(shared, int(articles["articles"].iloc[0])) if len(articles) else []
+        out = [(host, story, blocks) for host, story, blocks in zip(articles["host"], articles["story"], left_out) if blocks]
+        return pd.DataFrame(out, columns=["host", "story", "left_out"])
+    return notices
+
+
+def article_notices(articles: DataFrame, min_run: int = MIN_RUN, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
+    """host, story, left_out for the rows of ``host, story, symbols`` (one per different article) that hold notices.
+
+    ``symbols`` has the hash and the number of tokens of each block; ``left_out`` numbers the blocks, from 0, in runs of
+    ``min_run`` tokens or more that more than COMMON of the host's articles hold.  Hosts of fewer than LEAST_ARTICLES
+    articles give none.  Hosts are cut into shards of about ``shard_blocks``.  What most articles of a host hold, most
+    articles of some shard hold: the holders of such runs in all shards are added up by the run's hash.
+    """
+    sizes = (articles.groupBy("host").agg(F.sum(F.length("symbols") / 16).alias("n"), F.count("*").alias("articles"))
+             .where(F.col("articles") >= LEAST_ARTICLES).select("host", "articles", F.ceil(F.col("n") / shard_blocks).alias("shards")))
+    # dealt anew after the join, which may leave a host's articles together
+    dealt = (articles.join(written(sizes, "sizes"), "host").withColumn("shard", F.pmod(F.xxhash64("story"), F.col("shards")))
+             .repartition("host", "shard"))
+    grams = (dealt.where("shards > 1").groupBy("host", "shard")
+             .applyInPandas(_article_grams(min_run), "host string, shard long, gram long, n long, most boolean"))
+    grams = written(grams, "article-grams")
+    often = written(grams.where("most").select("host", "gram").distinct(), "often")
+    often = written(grams.join(often, ["host", "gram"]).select("host", "shard", "gram", "n"), "often-held")
+    shared = often.drop("n").join(often.groupBy("host", "gram").agg(F.sum("n").alias("n")), ["host", "gram"])
+    return (dealt.groupBy("host", "shard").cogroup(shared.groupBy("host", "shard"))
+            .applyInPandas(_notices(min_run), "host string, story long, left_out array<int>"))
+
+
+def main_text(pages: DataFrame, min_run: int = MIN_RUN, shard_tokens: int = SHARD_TOKENS, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
     """page_id, url, text, n_chars, n_outside, n_repeated for every row of ``page_id, url, html``.
 
-    ``text``: the blocks of the marked article, or else the unique runs of the unmarked blocks, joined
-    by one space.  ``n_outside`` counts the tokens outside a marked article, ``n_repeated`` those of
-    them in runs that other pages of the host repeat.  Null or empty html gives empty text; pages
-    without a host form one host; rows that repeat an id are pages of their own, but equal streams
-    count as one page.  An empty table gives no row; other columns are left out.  A page without a marked article
-    more than MOST_REPEATED of whose unmarked tokens other pages repeat is a near copy of one, and keeps them all.
+    ``text``: the blocks of the marked article without those in runs that most of the host's articles hold, or else the
+    unique runs of the unmarked blocks, joined by one space.  ``n_outside`` counts the tokens outside a marked article,
+    ``n_repeated`` those of them in runs that other pages of the host repeat.  Null or empty html gives empty text; pages
+    without a host form one host; rows that repeat an id are pages of their own, but equal streams count as one page and
+    equal articles as one article.  An empty table gives no row; other columns are left out.  A page without a marked
+    article more than MOST_REPEATED of whose unmarked tokens other pages repeat is a near copy of one, and keeps them all.
 
     A host of many pages is cut into shards of about ``shard_tokens``, each with its own suffix array.
     Substrings that only different shards share are found by joining the hashes of the shards'
@@ -264,10 +381,13 @@ def main_text(pages: DataFrame, min_run: int = MIN_RUN, shard_tokens: int = SHAR
     if min_run & (min_run - 1):
         raise ValueError("min_run must be a power of two")
     rows = pages.select(F.col("page_id").cast("long"), "url", host_of(F.col("url")).alias("host"), "html")
-    # parsed twice, for the streams and for the result: cheaper than a written copy of all articles
+    # parsed twice, for the arrays and for the result: cheaper than a written copy of all articles
     parsed = rows.mapInArrow(_parse, PARSED)
+    page = ["host", "stream", "content", "story"]
+    found = written(parsed.where("tokens > 0 or marked").select(*page, "marked", "other", "outside", "tokens", "symbols"), "pages")
+    articles = written(found.where("marked").select("host", "story", "symbols").dropDuplicates(["host", "story"]), "articles")
     # copies of one stream count as one page (they'd repeat each other entirely), in one shard
-    streams = written(parsed.where("tokens > 0").select("host", "stream", "content", "other", "outside", "tokens")
+    streams = written(found.where("tokens > 0").select("host", "stream", "content", "other", "outside", "tokens")
                       .dropDuplicates(["host", "stream", "content"]), "streams")
     sizes = streams.groupBy("host").agg(F.sum("tokens").alias("n")).select("host", F.ceil(F.col("n") / shard_tokens).alias("shards"))
     streams = streams.join(sizes, "host").withColumn("shard", F.pmod(F.xxhash64("stream"), F.col("shards")))
@@ -276,9 +396,13 @@ def main_text(pages: DataFrame, min_run: int = MIN_RUN, shard_tokens: int = SHAR
     both = grams.groupBy("host", "gram").count().where("count > 1").select("host", "gram")
     shared = grams.join(both, ["host", "gram"])
     clean = streams.groupBy("host", "shard").cogroup(shared.groupBy("host", "shard")).applyInPandas(_clean(min_run), CLEAN)
-    text = F.when(F.col("marked"), F.col("article")).otherwise(F.coalesce("kept", F.lit("")))
-    return (parsed.select("host", "stream", "content", "page_id", "url", "article", "marked")
-            .join(clean, ["host", "stream", "content"], "left").withColumn("text", text)
+    notices = article_notices(articles, min_run, shard_blocks)
+    said = found.select(*page).distinct().join(clean, ["host", "stream", "content"], "left").join(notices, ["host", "story"], "left")
+    blocks = F.when(F.col("left_out").isNull(), F.col("article")).otherwise(
+        F.filter("article", lambda _, i: ~F.array_contains("left_out", i)))
+    text = F.when(F.col("marked"), F.array_join(blocks, " ")).otherwise(F.coalesce("kept", F.lit("")))
+    return (parsed.select(*page, "page_id", "url", "article", "marked")
+            .join(said, page, "left").withColumn("text", text)
             .select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"),
                     F.coalesce("n_outside", F.lit(0)).cast("long").alias("n_outside"),
                     F.coalesce("n_repeated", F.lit(0)).cast("long").alias("n_repeated")))

@@ -2,6 +2,7 @@ import html
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from retailcast.llm import chat, page_text, queries
@@ -122,6 +123,54 @@ def test_boilerplate_across_pages(spark, shard_tokens):
     assert page_text.main_text(df.limit(0)).count() == 0
 
 
+def words(name, n):
+    return " ".join(f"{name}x{k}" for k in range(n))
+
+
+@pytest.mark.parametrize("shard_blocks", [20, 8_000])
+def test_notices_that_most_articles_hold(spark, shard_blocks):
+    """A run of whole blocks of most of a host's articles is left out; prose that fewer articles share stays, and so do near copies."""
+    notice, strip, quote = words("n", 9), ["Share", "Send by mail", "Print", "Save it for later"], words("q", 40)
+    story = {}
+    for i in range(12):  # a notice in all, a strip of short blocks in 8, a quote in 6 of 12; "By the staff" is no run of 8 tokens
+        story[i] = ["By the staff", words(f"a{i}", 40), notice, *([quote] if i < 6 else []), words(f"b{i}", 20 + i), *(strip if i > 3 else [])]
+    few = {100 + i: [words(f"f{i}", 40), notice] for i in range(9)}
+    near = {200 + i: [notice, quote, words(f"c{i}", 30)] for i in range(11)}
+    two_ways = {300 + i: [words(f"d{i}", 40), *([notice, strip[0]] if i % 2 else [strip[0], notice])] for i in range(12)}
+    pages = [(i, f"http://h{i // 100}.org/{i}", "<article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article><div>home</div>")
+             for i, blocks in (story | few | near | two_ways).items()]
+    pages += [(i + 50, url, page) for i, url, page in pages if i < 4]  # copies are no further evidence
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r for r in page_text.main_text(df, shard_blocks=shard_blocks).collect()}
+    assert len(got) == len(pages)
+    for i, blocks in story.items():
+        want = " ".join(b for b in blocks if b != notice and b not in strip)
+        assert (got[i]["text"], got[i]["n_chars"], got[i]["n_repeated"]) == (want, len(want), 0), i
+        assert i > 3 or got[i + 50]["text"] == want
+    for i, blocks in (few | near).items():
+        assert got[i]["text"] == " ".join(blocks), i
+    for i, blocks in two_ways.items():
+        assert got[i]["text"] == " ".join(b for b in blocks if b != notice), i
+
+
+def test_holders_of_windows_by_hand():
+    """Against plain counting: the shortest run of whole blocks with enough tokens, and in how many articles it is."""
+    rng = random.Random(4)
+    for _ in range(60):
+        run, articles = rng.choice([1, 2, 4, 8]), [[rng.randint(1, 4) for _ in range(rng.randint(1, 12))] for _ in range(rng.randint(1, 6))]
+        sizes = {b: rng.choice([1, 2, 3, 9]) for b in range(1, 5)}
+        windows = []
+        for a in articles:
+            ends = [next((j for j in range(i + 1, len(a) + 1) if sum(sizes[b] for b in a[i:j]) >= run), None) for i in range(len(a))]
+            windows.append([tuple(a[i:j]) if j else None for i, j in enumerate(ends)] + [None])
+        symbols = [np.array([(b, sizes[b]) for b in a], dtype=np.int64).tobytes() for a in articles]
+        shard = page_text.ArticleShard(pd.DataFrame({"symbols": symbols}), run)
+        flat = [w for ws in windows for w in ws]
+        assert list(shard.whole) == [w is not None for w in flat]
+        assert all(h == sum(w in ws for ws in windows) for w, h in zip(flat, shard.holders) if w)
+        assert all((a == b) == (v == w) for v, a in zip(flat, shard.grams) for w, b in zip(flat, shard.grams) if v and w)
+
+
 def test_page_query_gives_the_articles(spark):
     import re
 
