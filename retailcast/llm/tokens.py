@@ -3,6 +3,7 @@
 A byte-level BPE splits a text into pieces before it merges anything, and a single space
 or line feed between two non-space characters always starts a new piece.  So a text can be
 cut there and the ids of its parts joined: equal parts are encoded once and looked up later.
+The ids of words stay known from text to text, in a table whose size is bounded.
 Texts in which white space comes in any other form are cut only where the rule holds.
 """
 
@@ -27,7 +28,10 @@ RUN = rf"^\n?{LATIN}+[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{{|}}~]*$"
 LETTER, MARK = (np.isin(np.arange(256), list(chars)) for chars in (
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"))
 MOST_MARKS = 8  # after a run of letters; words with more are encoded on their own
-TEXT_AT_ONCE = 1 << 20  # characters cut into words at a time
+TEXT_AT_ONCE = 2 << 20  # characters cut into words at a time
+# Known words, and bytes of them and their ids; beyond, the half of the words that most blocks of text held stays
+KNOWN_WORDS, KNOWN_BYTES = 400_000, 24 << 20
+LONGEST_KNOWN = 64  # bytes of a word that may stay
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -76,6 +80,11 @@ class Encoder:
         for token, i in vocabulary.items():
             self.sizes[i] = len(token)
         self.line = np.frombuffer(self.plain("\n"), "<u4")[0]
+        # the known words; where each one's ids begin in the pool, their number, whether a line feed's id comes
+        # first, whether the word can't be encoded on its own, and how many blocks of text held it
+        self.words, self.pool = pa.array([], pa.large_string()), np.empty(0, "<u4")
+        self.starts, self.counts, self.seen = (np.empty(0, np.int32) for _ in range(3))
+        self.lead, self.odd = (np.empty(0, bool) for _ in range(2))
 
     def plain(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -117,6 +126,51 @@ class Encoder:
         letters = np.cumsum(end - begin + ~first)
         return run, ids, np.diff(np.searchsorted(np.cumsum(self.sizes[ids]), letters) + 1, prepend=0)
 
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Places of different words among the known ones; new words are encoded and become known."""
+        found = pc.index_in(words, value_set=self.words)
+        new = np.nonzero(found.is_null().to_numpy(zero_copy_only=False))[0]
+        at = np.array(found.fill_null(0))
+        at[new] = np.arange(len(self.words), len(self.words) + len(new))
+        if len(new):
+            self._learn(words.take(pa.array(new)))
+        self.seen[at] += 1
+        return at
+
+    def _learn(self, words: pa.Array) -> None:
+        runs, ids, n = self._runs(words)
+        sizes, lead, odd = np.zeros(len(words), np.int64), np.zeros(len(words), bool), np.zeros(len(words), bool)
+        sizes[runs] = n
+        lead[runs] = pc.starts_with(words, "\n").to_numpy(zero_copy_only=False)[runs]
+        starts = len(self.pool) + np.cumsum(sizes) - sizes - lead  # a line feed's id stands before its word's
+        pools, at = [self.pool, ids], len(self.pool) + len(ids)
+        for k in np.nonzero(~runs)[0]:
+            w = words[int(k)].as_py()
+            first = w.startswith("\n")
+            odd[k] = w[first:].split() != [w[first:]]  # empty, or white space within
+            if not odd[k]:
+                ids = np.frombuffer(self.plain(w if first else " " + w), "<u4")
+                starts[k], sizes[k], at = at, len(ids), at + len(ids)
+                pools.append(ids)
+                if first and ids[0] != self.line:
+                    raise ValueError(f"a line feed joins its word in {w!r}")
+        self.words, self.pool = pa.concat_arrays([self.words, words]), np.concatenate(pools)
+        self.starts = np.concatenate([self.starts, starts.astype(np.int32)])
+        self.counts = np.concatenate([self.counts, (sizes + lead).astype(np.int32)])
+        self.seen = np.concatenate([self.seen, np.zeros(len(words), np.int32)])
+        self.lead, self.odd = np.concatenate([self.lead, lead]), np.concatenate([self.odd, odd])
+
+    def _forget(self) -> None:
+        """Half of the known words stay, those that most blocks of text held, but no long ones; later blocks weigh more."""
+        short = np.nonzero(pc.binary_length(self.words).to_numpy() <= LONGEST_KNOWN)[0]
+        stay = np.sort(short[np.argsort(-self.seen[short], kind="stable")[:len(self.words) // 2]])
+        lead, counts = self.lead[stay], self.counts[stay]
+        own = counts - lead
+        ends = np.cumsum(own, dtype=np.int32)
+        self.pool = self.pool[np.repeat(self.starts[stay] + lead - (ends - own), own) + np.arange(own.sum(), dtype=np.int32)]
+        self.words, self.seen = self.words.take(pa.array(stay)), self.seen[stay] // 2
+        self.starts, self.counts, self.lead, self.odd = ends - counts, counts, lead, self.odd[stay]
+
     def _by_parts(self, text: str) -> bytes:
         first, *rest = CUT.split(text)
         return self.plain(first) + b"".join(self.plain(" " + p) for p in rest)
@@ -141,36 +195,22 @@ class Encoder:
         yield from self._encode_some(some)
 
     def _encode_some(self, texts: list[str]) -> Iterator[bytes]:
-        """Cut all texts into words, encode each different word once, and put the ids of all words in place."""
+        """Cut all texts into words, encode those not known yet, and put the ids of all words in place."""
         if not texts:
             return
         # the first word of a text is written like one after a line feed, whose id is dropped again
         texts = [t.replace("\n", " \n") for t in texts]
         words = pc.split_pattern(pa.array(["\n" + " \n".join(texts)], pa.large_string()), " ").values.dictionary_encode()
-        codes, different = words.indices.to_numpy(), words.dictionary
-        runs, pool, n = self._runs(different)
-        sizes, lead, odd = np.zeros(len(different), np.int64), np.zeros(len(different), bool), np.zeros(len(different), bool)
-        sizes[runs] = n
-        lead[runs] = pc.starts_with(different, "\n").to_numpy(zero_copy_only=False)[runs]
-        starts = np.cumsum(sizes) - sizes - lead  # in the pool; a line feed's id stands before its word's
-        pools, at = [pool], len(pool)
-        for k in np.nonzero(~runs)[0]:
-            w = different[int(k)].as_py()
-            first = w.startswith("\n")
-            odd[k] = w[first:].split() != [w[first:]]  # empty, or white space within
-            if not odd[k]:
-                ids = np.frombuffer(self.plain(w if first else " " + w), "<u4")
-                starts[k], sizes[k], at = at, len(ids), at + len(ids)
-                pools.append(ids)
-                if first and ids[0] != self.line:
-                    raise ValueError(f"a line feed joins its word in {w!r}")
-        counts = (sizes + lead).astype(np.int32)[codes]
+        codes = self._places(words.dictionary)[words.indices.to_numpy()]
+        counts, lead, odd = self.counts[codes], self.lead[codes], self.odd[codes]
         ends = np.cumsum(counts, dtype=np.int32)
-        place = np.repeat(starts.astype(np.int32)[codes] - (ends - counts), counts)
+        place = np.repeat(self.starts[codes] - (ends - counts), counts)
         place += np.arange(ends[-1], dtype=np.int32)
-        ids = np.concatenate(pools)[place]
-        ids[(ends - counts)[lead[codes]]] = self.line
-        del words, place, pools
+        ids = self.pool[place]
+        ids[(ends - counts)[lead]] = self.line
+        del words, place
+        if len(self.words) > KNOWN_WORDS or self.words.nbytes + self.pool.nbytes > KNOWN_BYTES:
+            self._forget()
         pa.default_memory_pool().release_unused()
         has_odd = odd.any()
         word = 0
@@ -178,7 +218,7 @@ class Encoder:
             n = text.count(" ") + 1
             if not text:
                 yield b""
-            elif has_odd and odd[codes[word:word + n]].any():
+            elif has_odd and odd[word:word + n].any():
                 yield self._by_parts(text.replace(" \n", "\n"))
             else:
                 yield ids[ends[word] - counts[word] + 1:ends[word + n - 1]].tobytes()

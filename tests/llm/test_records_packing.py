@@ -3,10 +3,11 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
-from retailcast.llm import packing, queries, records
+from retailcast.llm import packing, queries, records, tokens
 from retailcast.llm.common import shared_path
 from retailcast.llm.tokens import Encoder, tokenizer_path
 from tests.conftest import SF_SMALL
@@ -209,3 +210,52 @@ def test_queries_encode_like_an_unchanged_tokenizer(spark, tmp_path):
         start += len(ids)
     pieces = [r.asDict() for r in queries.op8_sequence_packing(spark, str(tmp_path)).collect()]
     check_packing(pieces, list(enumerate(texts)), default, 2048, 1)
+
+
+class Counted:
+    """The encoder's tokenizer of pieces, keeping the words that it is given."""
+
+    def __init__(self, pieces):
+        self.pieces, self.words = pieces, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.words += [w for t in texts for w in t.split()]
+        return self.pieces.encode_batch_fast(texts, **options)
+
+
+def _counted():
+    e = Encoder(special=True)
+    e.pieces = Counted(e.pieces)
+    return e, e.pieces.words
+
+
+def test_records_encode_a_word_once_over_many_batches(monkeypatch, plain):
+    e, words = _counted()
+    monkeypatch.setattr(records, "encoder", lambda *_: e)
+    texts = ["one two\nthree, one", "two one\nthree, four", "one two\nthree, four five"]
+    batches = [pa.record_batch([pa.array([k], pa.int64()), pa.array([t])], names=["doc_id", "text"]) for k, t in enumerate(texts)]
+    data = b"".join(f.as_py() + b"\n" for b in records._frames(None, 2, True)(iter(batches)) for f in b.column("frame"))
+    assert [list(np.frombuffer(r[-1], "<u4")) for r in records.parse("s", data)] == [plain(t) + [2] for t in texts]
+    # a word is another one after a line feed, with a space before it and with none; marks are words of their own
+    assert sorted(words) == sorted(["one", "Ġtwo", "three", ",", "Ġone", "two", "Ġfour", "Ġfive"])
+
+
+def test_the_table_of_known_words_stays_small(monkeypatch, plain):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["a", "of", "\nthe", "\n", "", "can't", "x" * 90, "7%", "né", f"w{rng.random()}"]) for _ in range(30)) for _ in range(300)]
+    want = [plain(t) for t in texts]
+    monkeypatch.setattr(tokens, "TEXT_AT_ONCE", 200)
+    for words, size in ((40, 1 << 20), (1 << 20, 500), (1, 1)):
+        monkeypatch.setattr(tokens, "KNOWN_WORDS", words)
+        monkeypatch.setattr(tokens, "KNOWN_BYTES", size)
+        e = Encoder()
+        for at in range(0, len(texts), 50):
+            assert [list(np.frombuffer(x, "<u4")) for x in e.encode_many(texts[at:at + 50])] == want[at:at + 50]
+            assert len(e.words) <= max(words, 40) and e.words.nbytes + e.pool.nbytes <= max(size, 500)
+    often = [t for t in ("of", "\nthe", "a") for _ in range(9)]
+    monkeypatch.setattr(tokens, "KNOWN_WORDS", 8)
+    monkeypatch.setattr(tokens, "KNOWN_BYTES", 1 << 20)
+    e, words = _counted()
+    for k in range(20):
+        e.encode(f"x of the of the w{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 2]}")
+    assert words.count("Ġof") == words.count("Ġthe") == 1  # what every text holds is not forgotten
