@@ -240,6 +240,20 @@ def test_records_encode_a_word_once_over_many_batches(monkeypatch, plain):
     assert sorted(words) == sorted(["one", "Ġtwo", "three", ",", "Ġone", "two", "Ġfour", "Ġfive"])
 
 
+def test_packing_encodes_a_word_once_over_many_batches(monkeypatch, plain):
+    e, words = _counted()
+    monkeypatch.setattr(packing, "encoder", lambda *_: e)
+    texts = ["of the\nday", "the of\nday", "of of\nthe the", "<|endoftext|> of", "of the night"]
+    batches = [pa.record_batch([pa.array([k], pa.int64()), pa.array([k], pa.int64()), pa.array([t])], names=["row_id", "doc_id", "text"])
+               for k, t in enumerate(texts)]
+    got = {}
+    for b in packing._cut(None, 1, 3, True)(iter(batches)):
+        for r in b.to_pylist():
+            got.setdefault(r["doc_id"], []).extend(np.frombuffer(r["ids"], "<u4").tolist())
+    assert got == {k: ([50256] + plain(" of") if k == 3 else plain(t)) + [1] for k, t in enumerate(texts)}
+    assert sorted(words) == sorted(["of", "Ġthe", "day", "the", "Ġof", "Ġnight"])
+
+
 def test_the_table_of_known_words_stays_small(monkeypatch, plain):
     rng = random.Random(4)
     texts = [" ".join(rng.choice(["a", "of", "\nthe", "\n", "", "can't", "x" * 90, "7%", "né", f"w{rng.random()}"]) for _ in range(30)) for _ in range(300)]
